@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberwall.session import new_path, store
+
 HOST = "gw.example"
 YEAR = 2024
 
@@ -57,8 +59,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", payload)
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id`` and ``value``: the lines of the firewall and of another program."""
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
     second = F.col("ts").cast("timestamp")
@@ -98,31 +99,64 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_port, from_pool(user * 7 + k), length, F.lit("S"), F.lit("1"), F.lit(""),
         F.lit("1024"), F.lit(""),
     ]
-    v4_end = [pick(OPTIONS, kind), F.lit("")]
+    v4_end = [pick(OPTIONS, kind), F.when(k == 11, ",more,fields").otherwise("")]
     v6 = [
         F.lit("6"), F.lit(""), text(user * 100 + k), F.lit("1"), F.lit("UDP"),
         F.lit("17"), text(amount + 20), F.concat(F.lit("fd00::"), text(user)),
         F.lit("ff02::2"),
     ]
-
-    def line(*parts: list[Column]) -> Column:
-        return F.concat_ws(",", *[c for part in parts for c in part])
-
-    value = (
-        F.when(k >= 90, line(start, shared, v6))
-        .when(k == 9, line(start))
-        .when(k.between(1, 3), line(start, shared, v4_front))
-        .when(kind == "purchase", line(start, shared, v4_front, v4_back))
-        .when(k == 11, line(start, shared, v4_front, v4_back, v4_end, [F.lit("more,fields")]))
-        .otherwise(line(start, shared, v4_front, v4_back, v4_end))
+    # Null parts are left out of the line, which makes the short ones.
+    v4_line = k < 90
+    enough = k != 9
+    whole = v4_line & enough & ~k.between(1, 3)
+    groups = {
+        "start": (F.lit(True), start),
+        "shared": (enough, shared),
+        "v6": (~v4_line, v6),
+        "front": (v4_line & enough, v4_front),
+        "back": (whole, v4_back),
+        "end": (whole & (kind != "purchase"), v4_end),
+    }
+    printed = e.select(
+        F.col("event_id").alias("id"),
+        *[
+            F.when(used, F.concat_ws(",", *fields)).alias(name)
+            for name, (used, fields) in groups.items()
+        ],
     )
+    value = F.concat_ws(",", *groups)
     other = table(spark, sf_dir, "conversations").select(
         F.lit(None).cast("bigint").alias("id"),
         F.concat(
             F.lit(f"Jan  1 00:00:00 {HOST} sshd[99]: "), F.translate("text", "\n\r", "  ")
         ).alias("value"),
     )
-    return e.select(F.col("event_id").alias("id"), value.alias("value")).unionByName(other)
+    return printed.select("id", value.alias("value")).unionByName(other)
+
+
+_PRINTED: dict[tuple[str, str], DataFrame] = {}
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id`` and ``value``: the lines of the firewall and of another program,
+    printed once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PRINTED:
+        _PRINTED[key] = store(_lines(spark, sf_dir), "log_lines")
+    return _PRINTED[key]
+
+
+_TEXT: dict[tuple[str, str], str] = {}
+
+
+def log_text(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the same lines as text files, without ids."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TEXT:
+        path = new_path(spark, "log_text")
+        log_lines(spark, sf_dir).select("value").write.text(path)
+        _TEXT[key] = path
+    return _TEXT[key]
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -246,6 +246,7 @@ FROM v4 JOIN raw4 ON v4.id = raw4.id
 """,
 )
 add("typed_v4", f"SELECT {quoted(schema.V4_COLUMNS)} FROM v4")
+add("typed_v4_from_text", f"SELECT {quoted(schema.V4_COLUMNS[1:])} FROM v4")
 add("typed_v6", f"SELECT {quoted(schema.V6_COLUMNS)} FROM v6")
 add("minute_key", "SELECT id, minute FROM minutes")
 add(
