@@ -61,6 +61,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if e.rdd.getNumPartitions() < cores:  # a small table in one file
+        e = e.repartition(cores)
     k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
     second = F.col("ts").cast("timestamp")
     amount = F.floor("value").cast("int")

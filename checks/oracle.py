@@ -533,7 +533,7 @@ add("join_log_ip4", f"SELECT {LOG}, {quoted(IP4)} FROM enriched")
 add(
     "load_tables",
     """
-SELECT table_name, count(*) AS n_rows, count(*) AS n_ids, CAST(sum(id) AS BIGINT) AS sum_ids
+SELECT table_name, count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_in_log
 FROM (SELECT 'pfsense_log' AS table_name, id FROM v4
   UNION ALL SELECT 'pfsense_log', id FROM v6
   UNION ALL SELECT 'ip4', id FROM v4 UNION ALL SELECT 'ip6', id FROM v6)

@@ -565,30 +565,29 @@ def join_log_ip4(spark, sf_dir):
 
 @query
 def load_tables(spark, sf_dir):
-    """The whole load from text, done anew, with the size of each table."""
+    """The whole load from text files, done anew: rows and ids of each table and
+    how many of its ids the log knows."""
     made = load.build_tables(
-        adapter.log_lines(spark, sf_dir),
+        read_log(spark, adapter.log_text(spark, sf_dir)),
         HOST,
         adapter.geo(spark, sf_dir),
         YEAR,
         **DETECTION,
     )
-    result = None
-    for name, df in made.items():
-        path = new_path(spark, name)
-        df.write.parquet(path)
-        size = (
-            spark.read.schema(df.schema)
-            .parquet(path)
-            .agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct("id").alias("n_ids"),
-                F.sum("id").alias("sum_ids"),
-            )
+    written = {name: store(df, name) for name, df in made.items()}
+    known = written["pfsense_log"].select("id", F.lit(1).alias("known"))
+    sizes = [
+        df.select("id")
+        .join(known, "id", "left")
+        .agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("id").alias("n_ids"),
+            F.count("known").alias("n_in_log"),
         )
-        result = size if result is None else result.unionByName(size)
-    return result
+        for name, df in written.items()
+    ]
+    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
 
 
 # --- dashboard ---------------------------------------------------------------

@@ -6,6 +6,7 @@ from emberwall.functions.text import (
     is_number,
     json_field,
     options_list,
+    options_text,
     whitespace_to_null,
 )
 from emberwall.functions.ports import port_class
@@ -18,6 +19,7 @@ __all__ = [
     "json_field",
     "minute_key",
     "options_list",
+    "options_text",
     "port_class",
     "syslog_timestamp",
     "whitespace_to_null",

@@ -28,6 +28,11 @@ def options_list(text: Column) -> Column:
     return F.split(text, ";")
 
 
+def options_text(text: Column) -> Column:
+    """The options as Spark prints a list of them: ``[mss, nop]``."""
+    return F.concat(F.lit("["), F.replace(text, F.lit(";"), F.lit(", ")), F.lit("]"))
+
+
 def json_field(payload: Column, name: str, default: str | None = None) -> Column:
     """One key of a JSON text as text; ``default`` where the key is missing."""
     value = F.from_json(payload, f"`{name}` string")[name]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from emberwall import schema
 from emberwall.functions import minute_key
 from emberwall.operators.quantiles import exact_quantiles
+from emberwall.session import broadcast_top
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
@@ -66,8 +67,7 @@ def minute_sources(df: DataFrame, minutes: DataFrame | Sequence[str]) -> DataFra
 
 def peak_minute_sources(df: DataFrame, k: int = schema.DEFAULT_TOP) -> DataFrame:
     """Sources active in the ``k`` minutes with the most rows."""
-    # k rows, so broadcasting them is bounded
-    return minute_sources(df, F.broadcast(logs_per_minute(df, k)))
+    return minute_sources(df, broadcast_top(logs_per_minute(df, k), k))
 
 
 def _frequencies(df: DataFrame, column: str) -> DataFrame:

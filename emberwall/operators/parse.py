@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +10,12 @@ from emberwall.functions import (
     blank_to_null,
     fields_of,
     options_list,
+    options_text,
     syslog_timestamp,
     whitespace_to_null,
 )
 
+PROCESS_NUMBER = r"^\[\d+\]: "
 IP_VERSION_AT = schema.V4_FIELDS.index("ip_version")
 
 
@@ -61,23 +61,49 @@ def parse_fields(df: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _header_parts(header: Column, host: str) -> Column:
-    """Time text and rule number around the name of host and program, which may
-    carry a process number."""
-    return F.split(header, rf" {re.escape(host)} filterlog(?:\[\d+\])?: ", 2)
-
-
-def _time_text(parts: Column) -> Column:
-    return F.regexp_replace(F.get(parts, F.lit(0)), "  ", " ")
+def _with_time_and_rule(df: DataFrame, header: Column, host: str) -> DataFrame:
+    """Add ``_time`` and ``_rule``, the time text and the rule number around the
+    names of host and program. The program may carry its process number. A header
+    of another form has no rule, and its text as a whole is no time."""
+    program = f" {host} filterlog"
+    at = F.instr("_header", program)
+    after = F.col("_after")
+    return (
+        df.select("*", header.alias("_header"))
+        .select(
+            "*",
+            F.substring("_header", F.lit(1), at - 1).alias("_before"),
+            F.when(
+                at > 0, F.substring("_header", at + len(program), F.length("_header"))
+            ).alias("_after"),
+        )
+        .select(
+            "*",
+            F.when(after.startswith(": "), F.substring(after, F.lit(3), F.length(after)))
+            .when(
+                after.rlike(PROCESS_NUMBER), F.regexp_replace(after, PROCESS_NUMBER, "")
+            )
+            .alias("_rule"),
+        )
+        .select(
+            "*",
+            F.replace(
+                F.when(F.col("_rule").isNotNull(), F.col("_before")).otherwise(
+                    F.col("_header")
+                ),
+                F.lit("  "),
+                F.lit(" "),
+            ).alias("_time"),
+        )
+        .drop("_header", "_before", "_after")
+    )
 
 
 def parse_header(df: DataFrame, host: str) -> DataFrame:
     """Split the leading field into the time as text and the rule number."""
-    parts = _header_parts(F.col("timestamp_rule"), host)
-    return df.select(
-        "*",
-        _time_text(parts).alias("timestamp"),
-        F.get(parts, F.lit(1)).alias("rule_number"),
+    split = _with_time_and_rule(df, F.col("timestamp_rule"), host)
+    return split.withColumnsRenamed(
+        {"_time": "timestamp", "_rule": "rule_number"}
     ).drop("timestamp_rule")
 
 
@@ -125,17 +151,16 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
 
 def _split_lines(df: DataFrame, width: int, host: str) -> DataFrame:
     """Split every line and its header once, for all columns taken from them."""
-    split = df.select("id", "ip_version", fields_of(F.col("value"), width).alias("_fields"))
-    parts = _header_parts(F.get("_fields", F.lit(0)), host)
-    return split.select("*", parts.alias("_header"))
+    split = df.select("id", fields_of(F.col("value"), width).alias("_fields"))
+    return _with_time_and_rule(split, F.get("_fields", F.lit(0)), host)
 
 
 def _typed_columns(
     names: list[str], types: dict[str, str], year: int, blank_as_null: bool
 ) -> dict[str, Column]:
     raw = {name: F.get("_fields", F.lit(i)) for i, name in enumerate(names)}
-    raw["rule_number"] = F.get("_header", F.lit(1))
-    raw["timestamp"] = _time_text(F.col("_header"))
+    raw["rule_number"] = F.col("_rule")
+    raw["timestamp"] = F.col("_time")
     if blank_as_null:
         raw = {name: blank_to_null(text) for name, text in raw.items()}
     raw["timestamp"] = syslog_timestamp(raw["timestamp"], year)
@@ -145,10 +170,8 @@ def _typed_columns(
 
 def _v4_columns(year: int, blank_as_null: bool, options_as_text: bool) -> list[Column]:
     columns = _typed_columns(schema.V4_FIELDS, schema.V4_TYPES, year, blank_as_null)
-    options = options_list(columns["options"])
-    if options_as_text:
-        options = options.cast("string")
-    columns["options"] = options.alias("options")
+    convert = options_text if options_as_text else options_list
+    columns["options"] = convert(columns["options"]).alias("options")
     return [columns[name] for name in schema.V4_COLUMNS if name != "id"]
 
 
@@ -185,11 +208,11 @@ def parse_versions(
     df: DataFrame, host: str, year: int = schema.DEFAULT_YEAR
 ) -> DataFrame:
     """Both versions in one pass over the text: ``id``, ``ip_version`` and one
-    struct per version, null where the line is of the other version. Lines of
-    neither version are left out. ``rows_of`` takes the flat rows out again."""
+    struct per version, null where the line is not of that version. ``rows_of``
+    takes the flat rows out again."""
     split = _split_lines(df, len(schema.V4_FIELDS), host)
-    version = F.col("ip_version").try_cast("int")
-    return split.filter(version.isin(4, 6)).select(
+    version = F.get("_fields", F.lit(IP_VERSION_AT)).try_cast("int")
+    return split.select(
         "id",
         version.alias("ip_version"),
         F.when(version == 4, F.struct(*_v4_columns(year, False, True))).alias("v4"),

@@ -10,7 +10,7 @@ from emberwall.functions import is_number
 from emberwall.functions import port_class as class_of
 from emberwall.functions.ports import PRIVATE, REGISTERED, STANDARD
 from emberwall.operators.describe import value_counts
-from emberwall.session import store
+from emberwall.session import broadcast_top, store
 
 PORTS = ["source_port", "destination_port"]
 
@@ -73,7 +73,7 @@ def with_port_counts(
     result = df
     for port in PORTS:
         counts = _counted(base, port, k)
-        counts = F.broadcast(counts) if k is not None else store(counts, port)
+        counts = store(counts, port) if k is None else broadcast_top(counts, k)
         result = result.join(counts, F.col(port) == F.col(f"_{port}"), "left")
         result = result.drop(f"_{port}")
     return result
@@ -123,8 +123,7 @@ def all_notable_ports(
             F.col(f"{port}_counted").cast("double").alias("n"),
         )
         counts = one if counts is None else counts.unionByName(one)
-    if k is not None:
-        counts = F.broadcast(counts)  # 2 * k rows
+    counts = broadcast_top(counts, None if k is None else 2 * k)
     limit = F.lit(None).cast("int")
     for side, kind, above in NOTABLE:
         limit = F.when(

@@ -11,7 +11,7 @@ from emberwall import schema
 from emberwall.operators.detect import flag_text, source_profile
 from emberwall.operators.enrich import country_of
 from emberwall.operators.parse import extract, parse_versions, rows_of
-from emberwall.operators.tables import split_tables
+from emberwall.operators.tables import divide, split_tables
 from emberwall.session import store
 from emberwall.sinks import write_table
 
@@ -25,7 +25,7 @@ def parse_and_store(
     the rows, so everything taken from the two frames agrees on them.
     """
     parsed = parse_versions(extract(lines, host), host, year)
-    stored = store(parsed, "parsed", partition_by=("ip_version",))
+    stored = store(parsed, "parsed")
     return rows_of(stored, 4), rows_of(stored, 6)
 
 
@@ -78,7 +78,14 @@ def build_tables(
     """``pfsense_log``, ``ip4`` and ``ip6`` from log lines, not yet written.
     ``detection`` takes the keywords of ``enrich_v4``."""
     v4, v6 = parse_and_store(lines, host, year)
-    return split_tables(enrich_v4(v4, geo, **detection), v6, keep_boundary, ordered)
+    # the log needs nothing of the enrichment, so it is taken from before it
+    log = split_tables(v4, v6, ordered=ordered)["pfsense_log"]
+    enriched = enrich_v4(v4, geo, **detection)
+    return {
+        "pfsense_log": log,
+        "ip4": divide(enriched, 4, keep_boundary)[1],
+        "ip6": divide(v6, 6, keep_boundary)[1],
+    }
 
 
 def load(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the library counts on. Log times carry no zone, so the session zone
 #: decides their meaning; adaptive execution splits skewed join partitions.
@@ -17,6 +18,10 @@ RECOMMENDED = {
 }
 
 
+#: Most rows of a top list that are broadcast on the word of its limit.
+BROADCAST_ROWS = 100_000
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
@@ -45,7 +50,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/emberwall/{uuid.uuid4().hex}/{name}"
 
 
-def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the frame that reads it back.
 
     This cuts the lineage in a way that survives lost executors. It also gives
@@ -55,5 +60,11 @@ def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_top(df: DataFrame, rows: int | None) -> DataFrame:
+    """Broadcast a frame limited to ``rows`` rows if that is few; Spark decides
+    from its size otherwise."""
+    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
