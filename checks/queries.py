@@ -71,7 +71,8 @@ def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOADED:
         lines = adapter.log_lines(spark, sf_dir)
-        v4, v6 = load.parse_and_store(lines, HOST, YEAR)
+        parsed = load.parse_and_store(lines, HOST, YEAR)
+        v4, v6 = parse.rows_of(parsed, 4), parse.rows_of(parsed, 6)
         geo = adapter.geo(spark, sf_dir)
         enriched = store(load.enrich_v4(v4, geo, **DETECTION), "enriched")
         made = tables.split_tables(enriched, v6, ordered=False)

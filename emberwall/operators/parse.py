@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,28 +158,28 @@ def _split_lines(df: DataFrame, width: int, host: str) -> DataFrame:
 
 
 def _typed_columns(
-    names: list[str], types: dict[str, str], year: int, blank_as_null: bool
+    names: list[str], types: dict[str, str], year: int, blank: Callable | None
 ) -> dict[str, Column]:
+    """Every kept column of a line, typed; ``blank`` treats blank text first."""
     raw = {name: F.get("_fields", F.lit(i)) for i, name in enumerate(names)}
     raw["rule_number"] = F.col("_rule")
     raw["timestamp"] = F.col("_time")
-    if blank_as_null:
-        raw = {name: blank_to_null(text) for name, text in raw.items()}
+    if blank is not None:
+        raw = {name: blank(text) for name, text in raw.items()}
     raw["timestamp"] = syslog_timestamp(raw["timestamp"], year)
     typed = {n: c.try_cast(types[n]) if n in types else c for n, c in raw.items()}
     return {n: c.alias(n) for n, c in typed.items() if n not in schema.UNUSED_FIELDS}
 
 
-def _v4_columns(year: int, blank_as_null: bool, options_as_text: bool) -> list[Column]:
-    columns = _typed_columns(schema.V4_FIELDS, schema.V4_TYPES, year, blank_as_null)
+def _v4_columns(year: int, blank: Callable | None, options_as_text: bool = True):
+    columns = _typed_columns(schema.V4_FIELDS, schema.V4_TYPES, year, blank)
     convert = options_text if options_as_text else options_list
     columns["options"] = convert(columns["options"]).alias("options")
-    return [columns[name] for name in schema.V4_COLUMNS if name != "id"]
+    return columns
 
 
-def _v6_columns(year: int, blank_as_null: bool) -> list[Column]:
-    columns = _typed_columns(schema.V6_FIELDS, schema.V6_TYPES, year, blank_as_null)
-    return [columns[name] for name in schema.V6_COLUMNS if name != "id"]
+def _v6_columns(year: int, blank: Callable | None) -> dict[str, Column]:
+    return _typed_columns(schema.V6_FIELDS, schema.V6_TYPES, year, blank)
 
 
 def parse_v4(
@@ -190,7 +192,9 @@ def parse_v4(
     """Typed IPv4 rows. Blank text stays blank unless ``blank_as_null``;
     ``options`` is the list printed as text unless ``options_as_text`` is off."""
     split = _split_lines(df, len(schema.V4_FIELDS), host)
-    return split.select("id", *_v4_columns(year, blank_as_null, options_as_text))
+    blank = blank_to_null if blank_as_null else None
+    columns = _v4_columns(year, blank, options_as_text)
+    return split.select("id", *[columns[name] for name in schema.V4_COLUMNS[1:]])
 
 
 def parse_v6(
@@ -201,24 +205,44 @@ def parse_v6(
 ) -> DataFrame:
     """Typed IPv6 rows, blank text as null unless switched off."""
     split = _split_lines(df, len(schema.V6_FIELDS), host)
-    return split.select("id", *_v6_columns(year, blank_as_null))
+    columns = _v6_columns(year, blank_to_null if blank_as_null else None)
+    return split.select("id", *[columns[name] for name in schema.V6_COLUMNS[1:]])
 
 
 def parse_versions(
     df: DataFrame, host: str, year: int = schema.DEFAULT_YEAR
 ) -> DataFrame:
-    """Both versions in one pass over the text: ``id``, ``ip_version`` and one
-    struct per version, null where the line is not of that version. ``rows_of``
-    takes the flat rows out again."""
+    """Both versions in one pass over the text: the columns of the log, and the
+    other columns in one struct per version, null where the line is not of it.
+    ``rows_of`` and ``log_of`` take flat rows out again."""
     split = _split_lines(df, len(schema.V4_FIELDS), host)
     version = F.get("_fields", F.lit(IP_VERSION_AT)).try_cast("int")
+    is_v6 = F.coalesce(version == 6, F.lit(False))
+
+    def blank_v6_to_null(text: Column) -> Column:
+        return F.when(~(is_v6 & (text == "")), text)
+
+    log = _v4_columns(year, blank_v6_to_null)
+    v4 = _v4_columns(year, None)
+    v6 = _v6_columns(year, blank_to_null)
     return split.select(
         "id",
-        version.alias("ip_version"),
-        F.when(version == 4, F.struct(*_v4_columns(year, False, True))).alias("v4"),
-        F.when(version == 6, F.struct(*_v6_columns(year, True))).alias("v6"),
+        *[log[name] for name in schema.LOG_COLUMNS[1:]],
+        F.when(version == 4, F.struct(*_own(v4, schema.V4_COLUMNS))).alias("v4"),
+        F.when(version == 6, F.struct(*_own(v6, schema.V6_COLUMNS))).alias("v6"),
     )
 
 
+def _own(columns: dict[str, Column], names: list[str]) -> list[Column]:
+    return [columns[name] for name in names if name not in schema.LOG_COLUMNS]
+
+
 def rows_of(parsed: DataFrame, version: int) -> DataFrame:
-    return parsed.filter(F.col("ip_version") == version).select("id", f"v{version}.*")
+    """Typed rows of one version, as ``parse_v4`` and ``parse_v6`` give them."""
+    rows = parsed.filter(F.col("ip_version") == version)
+    return rows.select(*schema.LOG_COLUMNS, f"v{version}.*")
+
+
+def log_of(parsed: DataFrame) -> DataFrame:
+    """Log rows of both versions, without a union of the two."""
+    return parsed.filter(F.col("ip_version").isin(4, 6)).select(*schema.LOG_COLUMNS)

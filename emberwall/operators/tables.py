@@ -19,13 +19,18 @@ def divide(
     return df.select(*schema.LOG_COLUMNS), df.select("id", *rest)
 
 
+def by_time(log: DataFrame) -> DataFrame:
+    """Order by time. The id breaks ties, so that one busy second can still be
+    spread over several tasks."""
+    return log.orderBy("timestamp", "id")
+
+
 def merged_log(
     v4_log: DataFrame, v6_log: DataFrame, ordered: bool = True
 ) -> DataFrame:
-    """All log rows of both versions by time. The id breaks ties, so that one
-    busy second can still be spread over several tasks."""
+    """All log rows of both versions, by time."""
     log = v4_log.unionByName(v6_log)
-    return log.orderBy("timestamp", "id") if ordered else log
+    return by_time(log) if ordered else log
 
 
 def split_tables(

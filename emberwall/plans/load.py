@@ -10,23 +10,21 @@ from pyspark.sql import functions as F
 from emberwall import schema
 from emberwall.operators.detect import flag_text, source_profile
 from emberwall.operators.enrich import country_of
-from emberwall.operators.parse import extract, parse_versions, rows_of
-from emberwall.operators.tables import divide, split_tables
+from emberwall.operators.parse import extract, log_of, parse_versions, rows_of
+from emberwall.operators.tables import by_time, divide
 from emberwall.session import store
 from emberwall.sinks import write_table
 
 
 def parse_and_store(
     lines: DataFrame, host: str, year: int = schema.DEFAULT_YEAR
-) -> tuple[DataFrame, DataFrame]:
-    """Typed IPv4 and IPv6 rows of the log lines.
+) -> DataFrame:
+    """The parsed log of both versions, for ``rows_of`` and ``log_of``.
 
     The text is read and split once. Ids are given in that pass and stored with
-    the rows, so everything taken from the two frames agrees on them.
+    the rows, so all that is taken from the result agrees on them.
     """
-    parsed = parse_versions(extract(lines, host), host, year)
-    stored = store(parsed, "parsed")
-    return rows_of(stored, 4), rows_of(stored, 6)
+    return store(parse_versions(extract(lines, host), host, year), "parsed")
 
 
 def enrich_v4(
@@ -77,14 +75,13 @@ def build_tables(
 ) -> dict[str, DataFrame]:
     """``pfsense_log``, ``ip4`` and ``ip6`` from log lines, not yet written.
     ``detection`` takes the keywords of ``enrich_v4``."""
-    v4, v6 = parse_and_store(lines, host, year)
-    # the log needs nothing of the enrichment, so it is taken from before it
-    log = split_tables(v4, v6, ordered=ordered)["pfsense_log"]
-    enriched = enrich_v4(v4, geo, **detection)
+    parsed = parse_and_store(lines, host, year)
+    log = log_of(parsed)
+    v4 = enrich_v4(rows_of(parsed, 4), geo, **detection)
     return {
-        "pfsense_log": log,
-        "ip4": divide(enriched, 4, keep_boundary)[1],
-        "ip6": divide(v6, 6, keep_boundary)[1],
+        "pfsense_log": by_time(log) if ordered else log,
+        "ip4": divide(v4, 4, keep_boundary)[1],
+        "ip6": divide(rows_of(parsed, 6), 6, keep_boundary)[1],
     }
 
 

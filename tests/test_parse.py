@@ -125,7 +125,8 @@ def test_versions(lines):
 
 def test_both_versions_in_one_pass(lines):
     bad = TCP.replace(",4,0x0", ",x,0x0")
-    extracted = parse.extract(lines(TCP, V6, UDP, bad, f"{START},short"), HOST)
+    blank = V6.replace("em0", "")
+    extracted = parse.extract(lines(TCP, blank, UDP, bad, f"{START},short"), HOST)
     parsed = parse.parse_versions(extracted, HOST, 2020)
     v4 = parse.parse_v4(parse.by_ip_version(extracted, 4), HOST, 2020)
     v6 = parse.parse_v6(parse.by_ip_version(extracted, 6), HOST, 2020)
@@ -133,6 +134,9 @@ def test_both_versions_in_one_pass(lines):
     assert parse.rows_of(parsed, 4).collect() == v4.collect()
     assert parse.rows_of(parsed, 6).dtypes == v6.dtypes
     assert parse.rows_of(parsed, 6).collect() == v6.collect()
+    assert parse.log_of(parsed).collect() == [
+        row[:9] for row in v4.collect()[:1] + v6.collect() + v4.collect()[1:]
+    ]
 
 
 def test_surplus_fields_are_ignored(lines):

@@ -64,7 +64,8 @@ def test_generated_code_is_small_enough_to_compile(spark):
 
 def test_detectors_read_three_columns_and_shuffle_counts_only(spark, tables):
     plan = plan_of(detect.source_profile(tables["v4"]))
-    assert "v4:struct<timestamp:timestamp,source_ip:string,data_length:int>" in plan
+    assert "v4:struct<source_ip:string,data_length:int>" in plan
+    assert "tracker_id" not in plan
     assert plan.count("FileScan") == 1
     assert shuffles(plan) == 2  # per window, per source
     for exchange in re.findall(r"Exchange.*\n.*", plan):
