@@ -37,21 +37,29 @@ def with_minute_key(df: DataFrame) -> DataFrame:
     return df.withColumn("minute", minute_key(F.col("timestamp")))
 
 
+def _per_minute(df: DataFrame) -> DataFrame:
+    """Rows and bytes per minute key. Minutes are counted as times first: a key is
+    made as text once per minute, not once per row."""
+    exact = (
+        df.filter(F.col("timestamp").isNotNull())
+        .groupBy(F.date_trunc("minute", "timestamp").alias("at"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("data_length").alias("bytes"))
+    )
+    return exact.groupBy(minute_key(F.col("at")).alias("minute")).agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
+    )
+
+
 def logs_per_minute(df: DataFrame, k: int | None = None) -> DataFrame:
-    return value_counts(with_minute_key(df), "minute", k=k)
+    """Rows per minute in ``n``, busiest minute first."""
+    ordered = _per_minute(df).select("minute", "n").orderBy(F.desc("n"), "minute")
+    return ordered if k is None else ordered.limit(k)
 
 
 def bytes_per_minute(df: DataFrame, k: int | None = None) -> DataFrame:
     """Bytes of all sources per minute; 0 where no row of the minute has a length."""
-    sums = (
-        with_minute_key(df)
-        .filter(F.col("minute").isNotNull())
-        .groupBy("minute")
-        .agg(F.coalesce(F.sum("data_length"), F.lit(0)).alias("bytes"))
-    )
-    if k is None:
-        return sums
-    return sums.orderBy(F.desc("bytes"), "minute").limit(k)
+    sums = _per_minute(df).select("minute", "bytes")
+    return sums if k is None else sums.orderBy(F.desc("bytes"), "minute").limit(k)
 
 
 def minute_sources(df: DataFrame, minutes: DataFrame | Sequence[str]) -> DataFrame:

@@ -76,10 +76,18 @@ def enrich_country(
 def top_sources_metadata(
     df: DataFrame, metadata: DataFrame, k: int = schema.DEFAULT_TOP_METADATA
 ) -> DataFrame:
-    """The ``k`` most frequent sources with their metadata, ``'0'`` where unknown."""
+    """The ``k`` most frequent sources with their metadata, ``'0'`` where unknown.
+
+    The stored top list is small, so a large ``metadata`` is cut down to it in
+    place, without a shuffle, before the two are joined.
+    """
     top = value_counts(df, "source_ip", k=k)
-    top = top.select(F.col("source_ip").alias("ip"), F.col("n").alias("frequency"))
-    return top.join(metadata, "ip", "left").select(
+    top = store(
+        top.select(F.col("source_ip").alias("ip"), F.col("n").alias("frequency")),
+        "top_sources",
+    )
+    known = metadata.join(top, "ip", "left_semi")
+    return top.join(known, "ip", "left").select(
         "ip",
         "frequency",
         *[F.coalesce(c, F.lit("0")).alias(c) for c in METADATA_COLUMNS],

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-STEPS_PER_DOUBLING = 64
+RANGES_PER_DOUBLING = 64
+STEPS_PER_RANGE = 4096
 
 
 def value_range(value: Column) -> Column:
@@ -17,10 +17,16 @@ def value_range(value: Column) -> Column:
     Ranges are 1/64 of a doubling wide, on both sides of zero, so there are at
     most some 270,000 of them whatever the data, and far fewer in practice.
     """
-    size = F.abs(value)
-    tiny = F.lit(5e-324)
-    step = F.floor(F.log2(F.greatest(size, tiny)) * STEPS_PER_DOUBLING) + 70_000
-    return F.when(value > 0, step).when(value < 0, -step).otherwise(F.lit(0))
+    size = F.greatest(F.abs(value), F.lit(5e-324))
+    place = F.least(F.log2(size) * RANGES_PER_DOUBLING, F.lit(70_000.0))
+    number = F.floor(place) + 70_000
+    return F.when(value > 0, number).when(value < 0, -number).otherwise(F.lit(0))
+
+
+def step_in_range(value: Column, low: Column, high: Column) -> Column:
+    """Number of the equal step between ``low`` and ``high`` a value lies in."""
+    part = (value - low) / F.when(high > low, high - low)
+    return F.coalesce(F.floor(part * STEPS_PER_RANGE), F.lit(0))
 
 
 def _ranks(total: Column, probabilities: Sequence[float]) -> Column:
@@ -46,64 +52,89 @@ def _reaches(target: Column, before: Column, count: Column) -> Column:
     )
 
 
+def _so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _before(count: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(count).over(_so_far(window)), F.lit(0))
+
+
+def _reached(targets: Column, before: str, count: str) -> Column:
+    return F.filter(targets, lambda t: _reaches(t, F.col(before), F.col(count)))
+
+
 def exact_quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float]
 ) -> DataFrame:
-    """Rows (``p``, ``value``), interpolated linearly between neighbours.
+    """Rows (``p``, ``value``), interpolated linearly between neighbours. Null and
+    NaN are not counted.
 
-    Values are counted first, so equal values travel as one row. The counts per
-    range tell which few ranges hold the wanted ranks, and only the values of
-    those ranges are put in order.
+    Values are counted first, so equal values travel as one row. Counts per range
+    tell which few ranges hold the wanted ranks, counts per step which steps of
+    these, and only the values of those steps are put in order.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).filter(
-        F.col("value").isNotNull()
-    )
+    number = F.col(column).cast("double")
+    values = df.select(number.alias("value")).filter("value IS NOT NULL")
+    values = values.filter(~F.isnan("value"))
     counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     counted = counted.withColumn("range", value_range(F.col("value")))
 
     # One row per range, so the windows over all of them are bounded.
-    ranges = counted.groupBy("range").agg(F.sum("n").alias("range_n"))
-    so_far = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("range").rowsBetween(
+    by_range = Window.orderBy("range")
+    everything = by_range.rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    placed = ranges.select(
-        "range",
-        "range_n",
-        F.coalesce(F.sum("range_n").over(so_far), F.lit(0)).alias("before"),
-        F.sum("range_n").over(everything).alias("total"),
+    ranges = (
+        counted.groupBy("range")
+        .agg(
+            F.sum("n").alias("range_n"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
+        .withColumn("before", _before("range_n", by_range))
+        .withColumn(
+            "targets", _ranks(F.sum("range_n").over(everything), probabilities)
+        )
+        .withColumn("targets", _reached(F.col("targets"), "before", "range_n"))
+        .filter(F.size("targets") > 0)
+        .drop("range_n")
     )
-    wanted = placed.select(
-        "range",
-        "before",
-        F.filter(
-            _ranks(F.col("total"), probabilities),
-            lambda t: _reaches(t, F.col("before"), F.col("range_n")),
-        ).alias("targets"),
-    ).filter(F.size("targets") > 0)
-
-    # At most two ranges per probability are wanted.
-    inside = counted.join(F.broadcast(wanted), "range")
-    earlier = (
-        Window.partitionBy("range")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, -1)
+
+    # At most two ranges per probability are wanted, of 4096 steps each.
+    ranges = F.broadcast(ranges)
+    step = step_in_range(F.col("value"), F.col("low"), F.col("high"))
+    by_step = Window.partitionBy("range").orderBy("step")
+    steps = (
+        counted.join(ranges, "range")
+        .groupBy("range", step.alias("step"))
+        .agg(F.sum("n").alias("step_n"))
+        .join(ranges, "range")
+        .withColumn("before", F.col("before") + _before("step_n", by_step))
+        .withColumn("targets", _reached(F.col("targets"), "before", "step_n"))
+        .filter(F.size("targets") > 0)
+        .drop("step_n")
+    )
+
+    # At most two steps per probability are wanted.
+    by_value = Window.partitionBy("range", "step").orderBy("value")
+    found = (
+        counted.join(F.broadcast(steps), "range")
+        .filter(F.col("step") == step)
+        .withColumn("before", F.col("before") + _before("n", by_value))
+        .withColumn("targets", _reached(F.col("targets"), "before", "n"))
+        .select("value", "n", "before", F.explode("targets").alias("target"))
     )
-    start = F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    ordered = inside.select("value", "n", "targets", start.alias("start"))
-    found = ordered.select(
-        "value", "n", "start", F.explode("targets").alias("target")
-    ).filter(_reaches(F.col("target"), F.col("start"), F.col("n")))
 
     def at(rank: str) -> Column:
-        place = F.col(f"target.{rank}")
-        here = (place >= F.col("start")) & (place < F.col("start") + F.col("n"))
-        return F.max(F.when(here, F.col("value")))
+        place = F.col(f"target.{rank}") - F.col("before")
+        return F.max(F.when((place >= 0) & (place < F.col("n")), F.col("value")))
 
     pairs = found.groupBy(F.col("target.p").alias("p")).agg(
         at("low").alias("low"),
         at("high").alias("high"),
         F.max("target.part").alias("part"),
     )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    way = (F.col("high") - F.col("low")) * F.col("part")
+    value = F.when(F.col("part") == 0, F.col("low")).otherwise(F.col("low") + way)
     return pairs.select("p", value.alias("value"))

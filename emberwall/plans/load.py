@@ -93,9 +93,10 @@ def load(
     write_mode: str | None = None,
     db_url: str | None = None,
     db_properties: Mapping[str, str] | None = None,
+    connections: int | None = None,
     **options,
 ) -> None:
     """Build the three tables and write each to its target: a path, or a table
     name if ``write_mode`` is ``database``."""
     for name, df in build_tables(lines, host, geo, **options).items():
-        write_table(df, targets[name], write_mode, db_url, db_properties)
+        write_table(df, targets[name], write_mode, db_url, db_properties, connections)

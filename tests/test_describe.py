@@ -44,6 +44,21 @@ def test_one_value_in_most_rows(spark):
     assert got == {0.25: 7.0, 0.5: 7.0, 0.75: 7.0}
 
 
+def test_values_close_together(spark):
+    """All values in one range; their steps tell them apart."""
+    rng = random.Random(1)
+    numbers = [1.7e9 + rng.random() for _ in range(3000)]
+    wanted = [0.1, 0.25, 0.5, 0.75, 0.999]
+    got = quantiles(spark, numbers, wanted)
+    for p in wanted:
+        assert got[p] == pytest.approx(np.quantile(numbers, p), rel=1e-15)
+
+
+def test_nan_and_infinity(spark):
+    got = quantiles(spark, [float("inf"), float("nan"), 1.0, -5.0, 0.0], [0.0, 0.5, 1.0])
+    assert got == {0.0: -5.0, 0.5: 0.5, 1.0: float("inf")}
+
+
 def test_describe_number(spark):
     numbers = [1, 2, 3, 4, -2, None]
     df = spark.createDataFrame([(n,) for n in numbers], "x int")
