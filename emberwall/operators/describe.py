@@ -137,16 +137,10 @@ def describe_number(df: DataFrame, column: str) -> DataFrame:
     )
     names = ["count", "mean", "std", "min", "max"]
     pairs = [F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in names]
-    # a column without values still has its three quartile rows, as null
-    pairs += [
-        F.struct(F.lit(n).alias("statistic"), F.lit(None).cast("double").alias("value"))
-        for n in QUARTILES
-    ]
     rows = summary.select(F.inline(F.array(*pairs)))
     quartiles = exact_quantiles(df, column, list(QUARTILES.values()))
     name = F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%"))
-    rows = rows.unionByName(quartiles.select(name.alias("statistic"), "value"))
-    return rows.groupBy("statistic").agg(F.max("value").alias("value"))
+    return rows.unionByName(quartiles.select(name.alias("statistic"), "value"))
 
 
 def column_max(df: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -29,27 +31,20 @@ def step_in_range(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.floor(part * STEPS_PER_RANGE), F.lit(0))
 
 
-def _ranks(total: Column, probabilities: Sequence[float]) -> Column:
-    """For each probability the two ranks (from 0) around it and the way between."""
-    ranks = []
-    for p in probabilities:
-        at = F.lit(p) * (total - 1)
-        ranks.append(
-            F.struct(
-                F.lit(p).alias("p"),
-                F.floor(at).alias("low"),
-                F.ceil(at).alias("high"),
-                (at - F.floor(at)).alias("part"),
-            )
-        )
-    return F.array(*ranks)
+def _place(p: float) -> Column:
+    """Where among ``total`` values in order, counted from 0, the quantile lies."""
+    return F.lit(p) * (F.col("total") - 1)
 
 
-def _reaches(target: Column, before: Column, count: Column) -> Column:
-    """Whether one of the two ranks is among the ``count`` after the first ``before``."""
-    return ((target["low"] >= before) & (target["low"] < before + count)) | (
-        (target["high"] >= before) & (target["high"] < before + count)
-    )
+def _covers(rank: Column, count: str) -> Column:
+    """Whether a rank is among the ``count`` after the first ``before``."""
+    return (rank >= F.col("before")) & (rank < F.col("before") + F.col(count))
+
+
+def _wanted(probabilities: Sequence[float], count: str) -> Column:
+    """Whether any quantile needs one of these values."""
+    ranks = [side(_place(p)) for p in probabilities for side in (F.floor, F.ceil)]
+    return reduce(or_, [_covers(rank, count) for rank in ranks])
 
 
 def _so_far(window: WindowSpec) -> WindowSpec:
@@ -60,15 +55,11 @@ def _before(count: str, window: WindowSpec) -> Column:
     return F.coalesce(F.sum(count).over(_so_far(window)), F.lit(0))
 
 
-def _reached(targets: Column, before: str, count: str) -> Column:
-    return F.filter(targets, lambda t: _reaches(t, F.col(before), F.col(count)))
-
-
 def exact_quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Rows (``p``, ``value``), interpolated linearly between neighbours. Null and
-    NaN are not counted.
+    NaN are not counted; without any other value the quantiles are null.
 
     Values are counted first, so equal values travel as one row. Counts per range
     tell which few ranges hold the wanted ranks, counts per step which steps of
@@ -92,28 +83,24 @@ def exact_quantiles(
             F.min("value").alias("low"),
             F.max("value").alias("high"),
         )
-        .withColumn("before", _before("range_n", by_range))
-        .withColumn(
-            "targets", _ranks(F.sum("range_n").over(everything), probabilities)
+        .select(
+            "*",
+            _before("range_n", by_range).alias("before"),
+            F.sum("range_n").over(everything).alias("total"),
         )
-        .withColumn("targets", _reached(F.col("targets"), "before", "range_n"))
-        .filter(F.size("targets") > 0)
-        .drop("range_n")
+        .filter(_wanted(probabilities, "range_n"))
     )
 
     # At most two ranges per probability are wanted, of 4096 steps each.
-    ranges = F.broadcast(ranges)
     step = step_in_range(F.col("value"), F.col("low"), F.col("high"))
     by_step = Window.partitionBy("range").orderBy("step")
+    same = [F.max(c).alias(c) for c in ("low", "high", "before", "total")]
     steps = (
-        counted.join(ranges, "range")
+        counted.join(F.broadcast(ranges), "range")
         .groupBy("range", step.alias("step"))
-        .agg(F.sum("n").alias("step_n"))
-        .join(ranges, "range")
+        .agg(F.sum("n").alias("step_n"), *same)
         .withColumn("before", F.col("before") + _before("step_n", by_step))
-        .withColumn("targets", _reached(F.col("targets"), "before", "step_n"))
-        .filter(F.size("targets") > 0)
-        .drop("step_n")
+        .filter(_wanted(probabilities, "step_n"))
     )
 
     # At most two steps per probability are wanted.
@@ -122,19 +109,20 @@ def exact_quantiles(
         counted.join(F.broadcast(steps), "range")
         .filter(F.col("step") == step)
         .withColumn("before", F.col("before") + _before("n", by_value))
-        .withColumn("targets", _reached(F.col("targets"), "before", "n"))
-        .select("value", "n", "before", F.explode("targets").alias("target"))
     )
 
-    def at(rank: str) -> Column:
-        place = F.col(f"target.{rank}") - F.col("before")
-        return F.max(F.when((place >= 0) & (place < F.col("n")), F.col("value")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when(_covers(rank, "n"), F.col("value")))
 
-    pairs = found.groupBy(F.col("target.p").alias("p")).agg(
-        at("low").alias("low"),
-        at("high").alias("high"),
-        F.max("target.part").alias("part"),
+    ends = found.agg(
+        F.max("total").alias("total"),
+        *[at(F.floor(_place(p))).alias(f"low_{i}") for i, p in enumerate(probabilities)],
+        *[at(F.ceil(_place(p))).alias(f"high_{i}") for i, p in enumerate(probabilities)],
     )
-    way = (F.col("high") - F.col("low")) * F.col("part")
-    value = F.when(F.col("part") == 0, F.col("low")).otherwise(F.col("low") + way)
-    return pairs.select("p", value.alias("value"))
+    rows = []
+    for i, p in enumerate(probabilities):
+        low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
+        part = _place(p) - F.floor(_place(p))
+        value = F.when(part == 0, low).otherwise(low + (high - low) * part)
+        rows.append(F.struct(F.lit(p).alias("p"), value.alias("value")))
+    return ends.select(F.inline(F.array(*rows)))
