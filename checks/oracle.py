@@ -6,7 +6,14 @@ The typed columns come straight from ``events``; no line is printed or parsed.
 from __future__ import annotations
 
 from checks.adapter import HOST, PORT_POOL
-from checks.queries import GEO_MIN_ROWS, MIN_BYTES, MIN_ROWS, PEAK_MINUTES, TIME_RANGE
+from checks.queries import (
+    AS_DOUBLE,
+    GEO_MIN_ROWS,
+    MIN_BYTES,
+    MIN_ROWS,
+    PEAK_MINUTES,
+    TIME_RANGE,
+)
 from emberwall import schema
 
 POOL = "[" + ", ".join(f"'{p}'" for p in PORT_POOL) + "]"
@@ -136,7 +143,11 @@ _SQL: dict[str, str] = {}
 
 
 def add(name: str, select: str) -> None:
-    _SQL[name] = f"WITH {BASE.strip()}\n{select.strip()}"
+    sql = f"WITH {BASE.strip()}\n{select.strip()}"
+    if name in AS_DOUBLE:
+        casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in AS_DOUBLE[name])
+        sql = f"SELECT * REPLACE ({casts}) FROM ({sql})"
+    _SQL[name] = sql
 
 
 def oracle_sql() -> dict[str, str]:

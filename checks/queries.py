@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,22 @@ DETECTION = {
 TIME_RANGE = ("2024-01-05 00:00:00", "2024-01-20 12:00:00")
 PEAK_MINUTES = 20
 
+# Whole numbers that may be null, by query. Data frames outside Spark often have no
+# such type and show them as doubles, so both sides of the comparison give doubles.
+AS_DOUBLE = {
+    "split_options": ["n_options"],
+    "typed_v4": ["data_length"],
+    "typed_v4_from_text": ["data_length"],
+    "bandwidth_per_window": ["count"],
+    "enriched_ip4": ["data_length"],
+    "port_counts_joined": ["source_port_counted", "destination_port_counted"],
+    "port_counts_all": ["source_port_counted", "destination_port_counted"],
+    "divide_ip4": ["data_length"],
+    "join_log_ip4": ["data_length"],
+    "dash_threat_bandwidth": ["time"],
+    "dash_threat_frequency": ["time"],
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -39,7 +56,7 @@ def query(run: Query) -> Query:
     """Register under the name of the function."""
 
     def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _comparable(run(apply_settings(spark), sf_dir))
+        return _comparable(run(apply_settings(spark), sf_dir), run.__name__)
 
     _QUERIES[run.__name__] = prepared
     return run
@@ -49,14 +66,15 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _comparable(df: DataFrame) -> DataFrame:
-    """Times without a zone, as in the SQL."""
+def _comparable(df: DataFrame, name: str) -> DataFrame:
+    """Types both sides of the comparison have: times without a zone, as in the
+    SQL, and doubles where ``AS_DOUBLE`` says so."""
+    kinds = {c: "timestamp_ntz" for c, kind in df.dtypes if kind == "timestamp"}
+    kinds.update({c: "double" for c in AS_DOUBLE.get(name, [])})
     return df.select(
         *[
-            F.col(f"`{name}`").cast("timestamp_ntz").alias(name)
-            if kind == "timestamp"
-            else F.col(f"`{name}`")
-            for name, kind in df.dtypes
+            F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`")
+            for c in df.columns
         ]
     )
 
@@ -77,10 +95,10 @@ def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         enriched = store(load.enrich_v4(v4, geo, **DETECTION), "enriched")
         made = tables.split_tables(enriched, v6, ordered=False)
         buckets = spark.sparkContext.defaultParallelism
-        number = len(_LOADED)
+        suffix = uuid.uuid4().hex
         for name in ("pfsense_log", "ip4"):
             path = new_path(spark, name)
-            made[name] = write_bucketed(made[name], f"{name}_{number}", buckets, path)
+            made[name] = write_bucketed(made[name], f"{name}_{suffix}", buckets, path)
         _LOADED[key] = {"v4": v4, "v6": v6, "enriched": enriched, **made}
     return _LOADED[key]
 

@@ -22,7 +22,9 @@ def value_range(value: Column) -> Column:
     size = F.greatest(F.abs(value), F.lit(5e-324))
     place = F.least(F.log2(size) * RANGES_PER_DOUBLING, F.lit(70_000.0))
     number = F.floor(place) + 70_000
-    return F.when(value > 0, number).when(value < 0, -number).otherwise(F.lit(0))
+    signed = F.when(value > 0, number).when(value < 0, -number)
+    # never null, so that joins on it add no filter and share one scan
+    return F.coalesce(signed, F.lit(0))
 
 
 def step_in_range(value: Column, low: Column, high: Column) -> Column:

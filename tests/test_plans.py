@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import adapter
 from checks.queries import DETECTION, loaded, queries
 from emberwall.operators import describe, detect, enrich, parse
+from emberwall.operators.quantiles import exact_quantiles
 from emberwall.plans import dashboard, load
 from emberwall.sources import read_log
 
@@ -134,3 +135,10 @@ def test_quartiles_gather_only_bounded_rows(spark, tables):
     assert singles
     for child in singles:
         assert "range" in child or "keys=[]" in child
+
+
+def test_quantiles_scan_once(tables):
+    df = exact_quantiles(tables["v4"], "data_length", [0.25, 0.5, 0.75])
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 2
