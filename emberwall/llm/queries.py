@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from emberwall.llm.byte_bpe import encode
 from emberwall.llm.heap_bpe import count_tokens
+from emberwall.llm.pattern_packing import pack
 from emberwall.llm.rule_cascade import judge
 from emberwall.llm.secret_scan import KINDS, find_secrets
+from emberwall.llm.simhash_index import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -61,6 +63,18 @@ def op7_byte_bpe(spark, sf_dir):
     return encoded.select("doc_id", "bpe.*")
 
 
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return pack(
+        documents(spark, sf_dir),
+        public_tokenizers.path("word_bpe_49k.json"),
+        keep=["doc_id"],
+        limit=4096,
+        end_id=1,
+        with_ids=False,
+    )
+
+
 def _joined(spans):
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
@@ -82,3 +96,15 @@ def op9_secret_scans(spark, sf_dir):
         F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
         _joined(spans).alias("spans"),
     )
+
+
+@query
+def op10_simhash_near_dedup(spark, sf_dir):
+    found = near_duplicates(
+        documents(spark, sf_dir), out="simhash", keep=["doc_id"], shingle=3, most=2
+    )
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("simhash.fingerprint")), 16, "0").alias("fingerprint"),
+        F.col("simhash.component_id").alias("component_id"),
+    )
