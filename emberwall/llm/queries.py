@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from emberwall.llm.byte_bpe import encode
 from emberwall.llm.heap_bpe import count_tokens
+from emberwall.llm.neighbour_vote import score_quality
 from emberwall.llm.pattern_packing import pack
 from emberwall.llm.rule_cascade import judge
 from emberwall.llm.secret_scan import KINDS, find_secrets
@@ -32,6 +33,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+def remainder(divisor: int, id_column: str = "doc_id"):
+    """What is left of the CRC-32 of the id as text; 0 for a null id."""
+    crc = F.crc32(F.col(id_column).cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(divisor)), F.lit(0))
+
+
+@query
+def op2_quality_classifier(spark, sf_dir):
+    held_out = remainder(3) == 1
+    scored = score_quality(
+        documents(spark, sf_dir),
+        spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"),
+        ~held_out,
+        out="vote",
+        keep=["doc_id"],
+    )
+    score = F.col("vote.score")
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_quality_rules(spark, sf_dir):
     judged = judge(documents(spark, sf_dir), out="quality", keep=["doc_id"])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from emberwall.llm.common import Rows, column_bytes, with_result
 from emberwall.llm.words import (
-    Hasher, chunks, distinct_per_text, mix, owners, seen_twice,
+    Hasher, chunks, distinct_per_text, mix, owners, repeated_words,
 )
 
 FIELDS = (
@@ -62,18 +62,8 @@ def text_metrics(texts: list[bytes]) -> dict[str, np.ndarray]:
         lines = np.bincount(text, minlength=n)
         found["n_dup_lines"].append(lines - distinct_per_text(line, text, n))
 
-        # Windows of three words, by text and hash.
         owner = owners(words)
-        hashes = part.word_hashes()
-        repeated = np.zeros(len(hashes), bool)
-        if len(hashes) > 2:
-            inside = owner[2:] == owner[:-2]
-            window = mix(hashes[:-2] + mix(hashes[1:-1] + mix(hashes[2:])))
-            window = mix(window + mix(owner[:-2].astype(np.uint64)))
-            at = np.flatnonzero(inside)
-            again = at[seen_twice(window[at])]
-            for shift in range(3):
-                repeated[again + shift] = True
+        repeated = repeated_words(part.word_hashes(), owner)
         found["n_repeat_words"].append(np.bincount(owner[repeated], minlength=n))
     none = np.zeros(0, np.int64)
     return {k: np.concatenate([none, *v]) for k, v in found.items()}

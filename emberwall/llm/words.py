@@ -139,3 +139,17 @@ def distinct_per_text(keys: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     ranked = keys[order]
     first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
     return np.bincount(text[order][first], minlength=n)
+
+
+def repeated_words(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places of the words in three-word runs that occur twice or more in a text."""
+    if len(hashes) < 3:
+        return np.zeros(0, np.int64)
+    run = mix(hashes[:-2] + mix(hashes[1:-1] + mix(hashes[2:])))
+    run = mix(run + mix(owner[:-2].astype(np.uint64)))
+    at = np.flatnonzero(owner[2:] == owner[:-2])
+    marked = np.zeros(len(hashes), bool)
+    starts = at[seen_twice(run[at])]
+    for shift in range(3):
+        marked[starts + shift] = True
+    return np.flatnonzero(marked)
