@@ -145,18 +145,20 @@ def score_quality(
     """``docs`` with a struct column ``out``: ``score`` from 0 to 1, and from how
     many neighbours. ``learn_from`` says, on the id, whose labels may be used.
 
-    ``most_labelled`` rows are taken by the smallest hash of their id.
+    Ids are chosen by the share of a hash that gives about ``most_labelled`` of
+    them, which is the most that is taken.
     """
     spark = docs.sparkSession
-    chosen = (
+    eligible = (
         labels.filter(learn_from)
         .filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
         .groupBy(id_column)
         .agg(F.min(label).cast("int").alias("_label"))
         .join(docs.select(id_column).distinct(), id_column, "left_semi")
-        .orderBy(F.xxhash64(id_column), id_column)
-        .limit(most_labelled)
     )
+    share = int(min(1.0, most_labelled / max(eligible.count(), 1)) * 1_000_000)
+    chosen = eligible.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < share)
+    chosen = chosen.limit(most_labelled)
     seen, total = document_frequency(docs, text)
     rarity = np.log((1 + total) / (1 + seen)).astype(np.float32) + 1
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from emberwall.llm.byte_bpe import encode
 from emberwall.llm.heap_bpe import count_tokens
+from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality
 from emberwall.llm.pattern_packing import pack
 from emberwall.llm.rule_cascade import judge
@@ -76,6 +77,12 @@ def op5_token_counts(spark, sf_dir):
     return counted.select("doc_id", "tokens.*")
 
 
+@query
+def op6_nearest_neighbours(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return search(vectors, F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
 @query
 def op7_byte_bpe(spark, sf_dir):
     encoded = encode(
@@ -111,10 +118,11 @@ def _joined(spans):
 def op9_secret_scans(spark, sf_dir):
     spans = F.col("secrets")
     base = F.filter(spans, lambda s: s["kind"] != "random")
-    counts = [
-        F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in KINDS[:3]
-    ]
+
+    def count_of(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count_of(kind).alias(f"n_{kind}") for kind in KINDS[:3]]
     found = find_secrets(documents(spark, sf_dir), out="secrets", keep=["doc_id"])
     return found.select(
         "doc_id",
