@@ -13,6 +13,7 @@ from emberwall.llm.heap_bpe import count_tokens
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality
 from emberwall.llm.pattern_packing import pack
+from emberwall.llm.prefix_free import remove_repeats
 from emberwall.llm.rule_cascade import judge
 from emberwall.llm.secret_scan import KINDS, find_secrets
 from emberwall.llm.simhash_index import near_duplicates
@@ -59,6 +60,14 @@ def op2_quality_classifier(spark, sf_dir):
     )
 
 
+@query
+def op3_suffix_array_dedup(spark, sf_dir):
+    cleaned = remove_repeats(
+        documents(spark, sf_dir), out="repeats", keep=["doc_id"], length=200, digests=True
+    )
+    return cleaned.select("doc_id", "repeats.*")
+
+
 @query
 def op4_quality_rules(spark, sf_dir):
     judged = judge(documents(spark, sf_dir), out="quality", keep=["doc_id"])
