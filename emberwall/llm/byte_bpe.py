@@ -90,7 +90,7 @@ class Codec:
         size = self.tokenizer.get_vocab_size()
         tokens = map(self.tokenizer.id_to_token, range(size))
         self.bytes_of = [bytes(map(to_byte.__getitem__, t)) if t else b"" for t in tokens]
-        self.known: dict[str, tuple[list[int], list[tuple[int, int]], str]] = {}
+        self.known: dict[str, tuple[int, str, bytes, list[int], list[tuple[int, int]]]] = {}
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that are new, all in one call of the library."""
@@ -98,13 +98,17 @@ class Codec:
             self.known.clear()
         new = [p for p in pieces if p not in self.known]
         for piece, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[piece] = (e.ids, e.offsets, ",".join(map(str, e.ids)))
+            ids = e.ids
+            shown = ",".join(map(str, ids))
+            self.known[piece] = (len(ids), shown, self.decode(ids), ids, e.offsets)
 
-    def encode(self, texts: list[str]) -> list[list[tuple[list[int], list, str]]]:
-        """The encoded pieces of each text, in order."""
+    def encode(self, texts: list[str]) -> list[list[tuple]]:
+        """The encoded pieces of each text, in order: number of ids, ids as text,
+        decoded bytes, ids, offsets. A piece is encoded and decoded once."""
         split = [self.pieces(text) for text in texts]
         self.learn(set().union(*split))
-        return [[self.known[p] for p in pieces] for pieces in split]
+        get = self.known.__getitem__
+        return [list(map(get, pieces)) for pieces in split]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -140,12 +144,10 @@ def encode(
             counts, ids, decoded = [], [], []
             for group in _groups(column_bytes(batch.column(at)), texts_at_once):
                 for pieces in codec.encode(group):
-                    counts.append(sum(len(p[0]) for p in pieces))
-                    joined = ",".join([p[2] for p in pieces])
-                    ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                    sha = hashlib.sha256()
-                    sha.update(b"".join([codec.decode(p[0]) for p in pieces]))
-                    decoded.append(sha.hexdigest())
+                    sizes, shown, raw, *_ = zip(*pieces) if pieces else ((), (), ())
+                    counts.append(sum(sizes))
+                    ids.append(hashlib.sha256(",".join(shown).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
             return [
                 ("n_tokens", pa.array(counts, pa.int64())),
                 ("ids_sha256", pa.array(ids, pa.string())),
@@ -157,7 +159,7 @@ def encode(
             for group in _groups(column_bytes(batch.column(at)), texts_at_once):
                 for pieces in codec.encode(group):
                     place, own, first, last = 0, [], [], []
-                    for piece_ids, offsets, _ in pieces:
+                    for *_, piece_ids, offsets in pieces:
                         own += piece_ids
                         first += [place + a for a, _ in offsets]
                         last += [place + b for _, b in offsets]
