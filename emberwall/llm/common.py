@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.session import new_path
+from emberwall.session import new_path, store
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -129,3 +130,49 @@ def block_rows(packed: pa.Array) -> pa.RecordBatch:
 def shuffle_parts(df: DataFrame) -> int:
     """How many parts a shuffle has here; set it to suit the data."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ask_shards(
+    messages: DataFrame, answer: Callable[[pa.Table], pa.Table], column: str
+) -> DataFrame:
+    """Let each shard answer the messages (``block``, ``shard``, ...) sent to it, and
+    put the answers together by block: rows (``block``, ``column``), where ``column`` is
+    an array of (``shard``, ``reply``). The answers are stored in the shared folder."""
+    replies = messages.groupBy("shard").applyInArrow(
+        answer, "block long, shard int, reply binary"
+    )
+    by_block = replies.groupBy("block").agg(
+        F.collect_list(F.struct("shard", "reply")).alias(column)
+    )
+    return store(by_block, column)
+
+
+def replies(table: pa.Table, parts: list[bytes]) -> pa.Table:
+    """One reply to each message of ``table``."""
+    return pa.Table.from_arrays(
+        [table.column("block"), table.column("shard"), pa.array(parts, pa.binary())],
+        ["block", "shard", "reply"],
+    )
+
+
+def replace_text(df: DataFrame, text: str, result: str, kept: str, changed: str) -> DataFrame:
+    """``df`` with the bytes ``kept`` of the struct column ``result`` as text where its
+    field ``changed`` is not 0; bytes that are no whole character are left out."""
+    at, where = df.columns.index(text), df.columns.index(result)
+
+    def run(batches: Rows) -> Rows:
+        for batch in batches:
+            found = batch.column(where)
+            new = [
+                value if not n else cut.decode("utf-8", "ignore")
+                for value, n, cut in zip(
+                    batch.column(at).to_pylist(),
+                    found.field(changed).to_pylist(),
+                    found.field(kept).to_pylist(),
+                )
+            ]
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)

@@ -38,9 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, block_rows, column_bytes, pack_blocks, shuffle_parts, struct_of
+from emberwall.llm.common import (
+    Rows, ask_shards, block_rows, column_bytes, pack_blocks, replies, shuffle_parts, struct_of,
+)
 from emberwall.llm.words import Hasher, mix
-from emberwall.session import store
 
 GRAM = 8
 #: Triggers are places whose hash is below 2^64 times this.
@@ -298,7 +299,7 @@ def repeated_windows(
 
 def _bits(raw: list[dict] | None, sizes: np.ndarray) -> np.ndarray:
     """The flags of a block from what the shards sent, in the order of the shards."""
-    held = {x["shard"]: x["bits"] for x in raw or []}
+    held = {x["shard"]: x["reply"] for x in raw or []}
     parts = [
         np.unpackbits(np.frombuffer(held[s], np.uint8), count=n).astype(bool)
         for s, n in enumerate(sizes.tolist())
@@ -362,26 +363,12 @@ class Block:
         return _covered(len(self.parse.data), starts, self.parse.length)
 
 
-def _answered(messages: DataFrame, answer, columns: str) -> DataFrame:
-    """Shards answer; their answers are put together by block, and stored."""
-    replies = messages.groupBy("shard").applyInArrow(
-        answer, "block long, shard int, bits binary"
-    )
-    by_block = replies.groupBy("block").agg(
-        F.collect_list(F.struct("shard", "bits")).alias(columns)
-    )
-    return store(by_block, columns)
-
-
 def _split_bits(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Table:
     ends = np.cumsum(sizes)
     bits = [
         np.packbits(flags[e - n : e]).tobytes() for e, n in zip(ends.tolist(), sizes.tolist())
     ]
-    return pa.Table.from_arrays(
-        [table.column("block"), table.column("shard"), pa.array(bits, pa.binary())],
-        ["block", "shard", "bits"],
-    )
+    return replies(table, bits)
 
 
 def count_phrases(table: pa.Table) -> pa.Table:
@@ -465,7 +452,7 @@ def remove_repeats(
     messages = texts.mapInArrow(
         send_phrases, "block long, shard int, keys binary, again binary"
     )
-    phrases = _answered(messages, count_phrases, "phrases")
+    phrases = ask_shards(messages, count_phrases, "phrases")
 
     def send_entries(batches: Rows) -> Rows:
         hasher = Hasher()
@@ -488,7 +475,7 @@ def remove_repeats(
     messages = known.mapInArrow(
         send_entries, "block long, shard int, keys binary, shapes binary, blob binary"
     )
-    windows = _answered(messages, compare_entries, "windows")
+    windows = ask_shards(messages, compare_entries, "windows")
 
     fields = T.StructType.fromDDL(DIGESTS if digests else TEXTS)
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(out, fields)])

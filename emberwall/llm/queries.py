@@ -12,6 +12,7 @@ from emberwall.llm.byte_bpe import encode
 from emberwall.llm.heap_bpe import count_tokens
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality
+from emberwall.llm.ngram_trie import score_texts
 from emberwall.llm.pattern_packing import pack
 from emberwall.llm.prefix_free import remove_repeats
 from emberwall.llm.rule_cascade import judge
@@ -41,6 +42,13 @@ def remainder(divisor: int, id_column: str = "doc_id"):
     return F.coalesce(F.pmod(crc, F.lit(divisor)), F.lit(0))
 
 
+@query
+def op1_lm_scoring(spark, sf_dir):
+    held_out = remainder(7) == 2
+    scored = score_texts(documents(spark, sf_dir), ~held_out, out="lm", keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "lm.*")
+
+
 @query
 def op2_quality_classifier(spark, sf_dir):
     held_out = remainder(3) == 1
