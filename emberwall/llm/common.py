@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -25,6 +27,13 @@ def column_texts(column: pa.Array) -> list[str]:
     return [x.decode("utf-8", "replace") for x in column_bytes(column)]
 
 
+def worker_memory(name: str) -> dict:
+    """A dictionary that lasts as long as the Python worker, for what tasks after one
+    another can use again. Users of it must bound its size."""
+    own = sys.modules.setdefault("emberwall_worker_memory", types.ModuleType("memory"))
+    return own.__dict__.setdefault(name, {})
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name`` with underscores put before it until no column is called so."""
     taken = {c.lower() for c in df.columns}

@@ -3,9 +3,10 @@
 The model is the smoothed bigram ``(c(v, w) + m p(w)) / (c(v) + m)``, where ``p`` is the
 unigram with one added, and ``v`` the word before or the beginning of the text; the end
 of a text is a word. What is seen in learning is in the trie: a level of contexts and
-a level of the words that follow each. Both are monotone sequences in Elias-Fano form,
-as are the pointers between them; the word level is made monotone by counting on from
-context to context, and a word is found by successor search relative to its context.
+a level of the words that follow each, numbered by the vocabulary of the shard. These
+are monotone sequences in Elias-Fano form, as are the pointers between them; the word
+level is made monotone by counting on from context to context, and a word is found by
+successor search relative to its context.
 Probabilities are kept as one byte, in steps of 1/16 of a power of ten. The levels lie
 one behind another in one memory map.
 
@@ -114,17 +115,18 @@ def successor(level: dict[str, np.ndarray], targets: np.ndarray) -> tuple[np.nda
 class Trie:
     """Contexts, pointers, following words and their codes, in one memory map."""
 
-    LEVELS = ("contexts", "pointers", "words")
-
     def __init__(self, context: np.ndarray, start: np.ndarray, word: np.ndarray, code: np.ndarray):
         """``context`` in order; ``start`` is where its words begin, one more than
         contexts; ``word`` in order within a context."""
+        vocabulary, number = np.unique(word, return_inverse=True)
+        self.different = max(len(vocabulary), 1)
         relative = np.repeat(np.arange(len(context), dtype=np.uint64), np.diff(start))
-        chained = (relative << np.uint64(32)) | word.astype(np.uint64)
+        chained = relative * np.uint64(self.different) + number.astype(np.uint64)
         levels = {
             "contexts": encode_monotone(context, 1 << 64),
+            "vocabulary": encode_monotone(vocabulary, 1 << 32),
             "pointers": encode_monotone(start.astype(np.uint64), len(word) + 1),
-            "words": encode_monotone(chained, max(len(context), 1) << 32),
+            "words": encode_monotone(chained, max(len(context), 1) * self.different),
         }
         arrays = {(k, name): x for k, level in levels.items() for name, x in level.items()}
         arrays["codes", ""] = code.astype(np.uint8)
@@ -145,10 +147,12 @@ class Trie:
         """Codes of pairs in order, or ``UNSEEN``: ``context`` are the different contexts
         asked for, in order, ``of`` which one of them each pair has."""
         number, known = successor(self.levels["contexts"], context)
+        asked_words, place = np.unique(word, return_inverse=True)
+        own, in_trie = successor(self.levels["vocabulary"], asked_words.astype(np.uint64))
         out = np.full(len(word), UNSEEN, np.uint8)
-        asked = np.flatnonzero(known[of])
-        base = number[of[asked]].astype(np.uint64) << np.uint64(32)
-        at, equal = successor(self.levels["words"], base | word[asked].astype(np.uint64))
+        asked = np.flatnonzero(known[of] & in_trie[place])
+        base = number[of[asked]].astype(np.uint64) * np.uint64(self.different)
+        at, equal = successor(self.levels["words"], base + own[place[asked]].astype(np.uint64))
         out[asked[equal]] = self.codes[at[equal]]
         return out
 

@@ -30,13 +30,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, column_bytes
+from emberwall.llm.common import Rows, column_bytes, worker_memory
+from emberwall.llm.heap_bpe import byte_symbols
 from emberwall.session import store
 
 CLASSES = 128
 MOST_PARTS = 4
-#: Words a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Words a worker remembers before it starts anew.
+REMEMBERED = 700_000
+#: Words split or given to the library at a time.
+AT_ONCE = 20_000
 
 
 # --- tokens -------------------------------------------------------------------
@@ -44,27 +47,86 @@ REMEMBERED = 400_000
 
 class Encoder:
     """Ids of whole texts. The tokenizer drops white space and never joins across
-    it, so a text is the sequence of its words, and the different words of a batch
-    are encoded by the library at once."""
+    it, so a text is the sequence of its words. Words are remembered.
+
+    A word of Latin letters without marks to compose is the sequence of its runs of
+    letters, single digits and runs of other signs, so different runs are given to the
+    library's model; other words are given to the library as they are.
+    """
 
     def __init__(self, definition: str):
+        import os
+
+        import regex
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, bytes] = {}
+        self.symbols = dict(enumerate(byte_symbols()))
+        # How the vocabulary's tokenizer splits words.
+        runs = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        self.runs_of = regex.compile(rf"\n|{runs}").findall
+        self.plain = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+").fullmatch
+        # for these definitions only, so that another vocabulary starts anew
+        memory = worker_memory(f"packing {zlib.crc32(definition.encode())}")
+        self.words: dict[bytes, bytes] = memory.setdefault("words", {})
+        self.runs: dict[str, bytes] = memory.setdefault("runs", {})
+
+    def _learn_run(self, run: str) -> bytes:
+        shown = run.encode().decode("latin-1").translate(self.symbols)
+        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
+        raw = self.runs[run] = np.array(ids, "<u4").tobytes()
+        return raw
+
+    def learn(self, words: set[bytes]) -> None:
+        plain, other = [], []
+        for word in words:
+            shown = word.decode("utf-8", "replace")
+            if self.plain(shown) and "<|" not in shown:
+                plain.append((word, shown))
+            else:
+                other.append((word, shown))
+        for k in range(0, len(plain), AT_ONCE):
+            group = plain[k : k + AT_ONCE]
+            split = self.runs_of("\n".join([shown for _, shown in group]).lower())
+            if len(self.runs) > REMEMBERED:
+                self.runs.clear()
+            parts: list[bytes] = []
+            at = iter(group)
+            for run in [*split, "\n"]:
+                if run == "\n":
+                    self.words[next(at)[0]] = b"".join(parts)
+                    parts = []
+                else:
+                    parts.append(self.runs.get(run) or self._learn_run(run))
+        for k in range(0, len(other), AT_ONCE):
+            group = other[k : k + AT_ONCE]
+            shown = [x for _, x in group]
+            encoded = self.tokenizer.encode_batch_fast(shown, add_special_tokens=False)
+            for (word, _), e in zip(group, encoded):
+                self.words[word] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids as little-endian unsigned 32-bit numbers."""
-        split = [text.split() for text in texts]
-        words = set().union(*split)
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        shown = [w.decode("utf-8", "replace") for w in new]
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(shown, add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        get = self.words.get
+        found, open_, unknown = [], [], set()
+        for text in texts:
+            words = text.split()
+            parts = list(map(get, words))
+            if None in parts:
+                places = [i for i, part in enumerate(parts) if part is None]
+                missing = [words[i] for i in places]
+                unknown.update(missing)
+                open_.append((parts, places, missing))
+            found.append(parts)
+        self.learn(unknown)
+        for parts, places, missing in open_:
+            for i, word in zip(places, missing):
+                parts[i] = self.words[word]
+        return [b"".join(parts) for parts in found]
 
 
 def pieces_of(

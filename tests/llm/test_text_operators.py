@@ -1,0 +1,231 @@
+"""Operators that look at one text at a time, against plain versions."""
+
+import hashlib
+import re
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from emberwall.llm.byte_bpe import encode, read_ranks
+from emberwall.llm.heap_bpe import count_merged, count_tokens
+from emberwall.llm.rule_cascade import RULES, judge, measure_rules, order_rules
+from emberwall.llm.secret_scan import (
+    CLASSES, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
+)
+
+PATTERN = public_tokenizers.PATTERN
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# --- quality rules --------------------------------------------------------------
+
+
+def plain_metrics(text):
+    text = text or ""
+    words = words_of(text)
+    runs = Counter(zip(words, words[1:], words[2:]))
+    marked, seen, again = set(), set(), 0
+    for i, run in enumerate(zip(words, words[1:], words[2:])):
+        if runs[run] > 1:
+            marked |= {i, i + 1, i + 2}
+    for line in text.split("\n"):
+        if words_of(line):
+            again += line in seen
+            seen.add(line)
+    n = len(words)
+    return {
+        "n_words": n,
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": again,
+        "n_repeat_words": len(marked),
+        "base_failed": n < 50 or 100 * len(marked) > 50 * n,
+    }
+
+
+def test_metrics_and_verdict(docs, texts, by_text):
+    found = by_text(judge(docs, out="verdict"), "verdict")
+    assert set(found) == set(texts)
+    for (_, text), got in found.items():
+        m = plain_metrics(text)
+        assert {k: got[k] for k in m} == m
+        raw = (text or "").encode()
+        rejected = [r.name for r in RULES if not m["base_failed"] and r.rejects(raw, m)]
+        assert got["kept"] == (not m["base_failed"] and not rejected)
+        if rejected:
+            assert got["rejected_by"] in rejected
+
+
+def test_clean_prose_is_kept_and_junk_is_not(docs, by_text):
+    found = by_text(judge(docs, out="verdict"), "verdict")
+    kept = {i for (i, _), v in found.items() if v["kept"]}
+    assert set(range(30)) <= kept
+    assert not kept & {37, 38, 39}
+
+
+def test_order_is_by_rejections_per_cost(docs):
+    measured = measure_rules(docs)
+    assert [name for name, _, _ in measured] == [r.name for r in RULES]
+    a, b, *rest = RULES
+    cost = [(a.name, 1.0, 0.5), (b.name, 0.1, 0.2), *[(r.name, 1.0, 0.0) for r in rest]]
+    assert [r.name for r in order_rules(RULES, cost)][:2] == [b.name, a.name]
+
+
+def test_order_does_not_change_the_verdict(docs, by_text):
+    one = by_text(judge(docs, out="verdict"), "verdict")
+    other = by_text(judge(docs, out="verdict", rules=RULES[::-1]), "verdict")
+    assert {k: v["kept"] for k, v in one.items()} == {k: v["kept"] for k, v in other.items()}
+
+
+# --- token counts and byte-level BPE ----------------------------------------------
+
+
+def test_counts_as_the_library(docs, texts, by_text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    found = by_text(count_tokens(docs, path, PATTERN, out="tokens", limit=512), "tokens")
+    assert set(found) == set(texts)
+    for (_, text), got in found.items():
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        size = len((text or "").encode())
+        assert got == {"n_bytes": size, "n_tokens": n, "over_limit": n > 512}
+
+
+def test_lowest_rank_merges_first_and_leftmost():
+    ranks = {("b", "c"): 0, ("a", "b"): 1, ("a", "bc"): 2}
+    assert count_merged(list("abc"), ranks) == 1
+    assert count_merged(list("aab"), {("a", "a"): 0}) == 2
+    assert count_merged(list("aaaaa"), {("a", "a"): 0, ("aa", "aa"): 1}) == 2
+    assert count_merged([], ranks) == 0
+
+
+@pytest.fixture(scope="module")
+def reference():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return tiktoken.Encoding(
+        "own", pat_str=PATTERN, mergeable_ranks=read_ranks(path), special_tokens={}
+    )
+
+
+def test_ids_offsets_and_round_trip(docs, texts, by_text, reference):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = by_text(encode(docs, path, PATTERN, out="bpe"), "bpe")
+    assert set(found) == set(texts)
+    for (_, text), got in found.items():
+        text = text or ""
+        assert got["ids"] == reference.encode_ordinary(text)
+        assert got["decoded"] == text
+        covered = set()
+        for start, end in zip(got["starts"], got["ends"]):
+            assert 0 <= start <= end <= len(text)
+            covered |= set(range(start, end))
+        assert covered == set(range(len(text)))
+
+
+def test_digests(docs, by_text, reference):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    for (_, text), got in by_text(
+        encode(docs, path, PATTERN, out="bpe", digests=True), "bpe"
+    ).items():
+        ids = reference.encode_ordinary(text or "")
+        shown = ",".join(map(str, ids)).encode()
+        assert got == {
+            "n_tokens": len(ids),
+            "ids_sha256": hashlib.sha256(shown).hexdigest(),
+            "decoded_sha256": hashlib.sha256((text or "").encode()).hexdigest(),
+        }
+
+
+# --- secrets ----------------------------------------------------------------------
+
+
+def plain_spans(text):
+    text, found = text or "", []
+    names = "".join(f"[{c.upper()}{c}]" for c in "password")
+    assign = re.compile(
+        rf"""({names}|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+        r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    found += [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    kinds = ("assign", "access", "hex")
+    return [{"kind": kinds[k], "start": s, "end": e} for s, k, e in sorted(found)]
+
+
+def test_base_spans_stay(docs, texts, by_text):
+    found = by_text(find_secrets(docs, out="secrets"), "secrets")
+    assert set(found) == set(texts)
+    for (_, text), got in found.items():
+        base = [{k: s[k] for k in ("kind", "start", "end")} for s in got if s["kind"] != "random"]
+        assert base == plain_spans(text)
+        assert [s["start"] for s in got] == sorted(s["start"] for s in got)
+
+
+def test_case_folds_only_ascii_letters(spark):
+    rows = [(1, "ſecret=abcdefgh toKen=abcdefgh TOKEN = 'abcdefgh'")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = find_secrets(df, out="secrets").first()["secrets"]
+    assert [(s["kind"], s["start"]) for s in got] == [("assign", 34)]
+
+
+def test_random_token_is_found_and_even_pattern_is_not(docs, by_text):
+    found = by_text(find_secrets(docs, out="secrets"), "secrets")
+    (text, spans), = [(t, s) for (i, t), s in found.items() if i == 41]
+    shown = [text[s["start"] : s["end"]] for s in spans]
+    assert shown == [text.split()[2]] and spans[0]["kind"] == "random"
+
+
+def test_battery():
+    import random
+    import string
+
+    rng = random.Random(2)
+    alphabet = string.digits + string.ascii_letters
+    drawn = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(400)]
+    p = [randomness(x, infer_encoding(x)) for x in drawn if infer_encoding(x)]
+    assert 0.05 < sum(x < 0.1 for x in p) / len(p) < 0.2
+    assert randomness("aA0" * 14, infer_encoding("aA0" * 14)) < 1e-3
+    assert infer_encoding("justletters") is None
+
+
+def test_thresholds_follow_the_procedure(spark):
+    low = [(3, 0.0001)] * 50 + [(3, 0.5), (3, 0.9)]
+    limits = excuse_thresholds(spark.createDataFrame(low, "class int, p double"))
+    assert 0 < limits[3] < 0.5 and limits[0] == 0 and len(limits) == len(CLASSES)
+
+
+def test_redaction(docs, by_text):
+    found = find_secrets(docs, out="secrets")
+    spans = by_text(found, "secrets")
+    new = {}
+    for row in redact(found, "text", "secrets").collect():
+        new.setdefault(row["doc_id"], row["text"])
+    for (i, text), own in spans.items():
+        if i is not None and not own:
+            assert new[i] == text
+    assert "[SECRET]" in new[40] and "0f0f" not in new[40] and "AKIA" not in new[40]
+
+
+# --- all of them --------------------------------------------------------------------
+
+
+def test_empty_tables(no_docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert judge(no_docs, out="r").count() == 0
+    assert count_tokens(no_docs, path, PATTERN, out="r").count() == 0
+    assert encode(no_docs, ranks, PATTERN, out="r").count() == 0
+    assert find_secrets(no_docs, out="r").count() == 0
+
+
+def test_columns_of_the_input_stay(docs):
+    judged = judge(docs, out="verdict")
+    assert judged.columns == [*docs.columns, "verdict"]
+    assert {row["kept"] for row in judged.collect()} == {"own"}
