@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwall.session import new_path, store
+from emberwall.sinks import write_csv
+from emberwall.sources import read_blocklist, read_geo, read_metadata, read_port_names
 
 HOST = "gw.example"
 YEAR = 2024
@@ -60,10 +62,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    if e.rdd.getNumPartitions() < cores:  # a small table in one file
-        e = e.repartition(cores)
+    # the tables are single files, so the rows are dealt out for the work to come
+    e = events(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
     k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
     second = F.col("ts").cast("timestamp")
     amount = F.floor("value").cast("int")
@@ -78,16 +78,24 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" {HOST} filterlog: "
     )
     header = F.concat(time, program, text(k))
+
+    def tagged(tag: str, number: Column, of: int) -> Column:
+        """A value of a column, unlike those of its neighbours."""
+        return F.concat(F.lit(tag), text(F.pmod(number, F.lit(of))))
+
+    v4_line = k < 90
     start = [
-        header, F.lit(""), F.lit(""), F.concat(F.lit("10000"), text(F.floor(k / 20))),
-        F.lit("em0"),
+        header, F.when(v4_line, tagged("s", k, 30)).otherwise(""),
+        F.when(v4_line, tagged("a", user, 9)).otherwise(""),
+        F.concat(F.lit("10000"), text(F.floor(k / 20))), tagged("em", user, 4),
     ]
     shared = [
-        F.lit("match"), F.lit("block"), F.when(kind == "purchase", "out").otherwise("in"),
+        tagged("r", k, 3), tagged("b", k, 5), F.when(kind == "purchase", "out").otherwise("in"),
     ]
     v4_front = [
-        F.when(k == 8, "x").otherwise("4"), F.lit("0x0"), F.lit(""), F.lit("64"),
-        F.lit("1"), F.lit("0"), F.lit("DF"), F.lit("6"), pick(PROTOCOLS, kind),
+        F.when(k == 8, "x").otherwise("4"), tagged("0x", user, 16),
+        F.when(k % 2 == 1, "CE").otherwise(""), text(50 + k % 7), text(user * 3 + k),
+        text(k % 8), tagged("F", user, 3), text(k + 100), pick(PROTOCOLS, kind),
         text(amount + 20),
     ]
     source_port = (
@@ -99,17 +107,17 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     length = F.when(k == 0, "").when(k == 7, "abc").otherwise(text(amount - 2))
     v4_back = [
         address(user), F.concat(F.lit("192.0.2."), text(F.pmod(user, F.lit(7)))),
-        source_port, from_pool(user * 7 + k), length, F.lit("S"), F.lit("1"), F.lit(""),
-        F.lit("1024"), F.lit(""),
+        source_port, from_pool(user * 7 + k), length, tagged("S", k, 4),
+        text(user * 1000 + k), F.when(k % 3 == 0, "").otherwise(text(k + 7)),
+        text(1024 + k), tagged("u", k, 50),
     ]
     v4_end = [pick(OPTIONS, kind), F.when(k == 11, ",more,fields").otherwise("")]
     v6 = [
-        F.lit("6"), F.lit(""), text(user * 100 + k), F.lit("1"), F.lit("UDP"),
-        F.lit("17"), text(amount + 20), F.concat(F.lit("fd00::"), text(user)),
-        F.lit("ff02::2"),
+        F.lit("6"), F.lit(""), text(user * 100 + k), text(1 + k % 9), tagged("U", k, 2),
+        text(user % 100), text(amount + 20), F.concat(F.lit("fd00::"), text(user)),
+        tagged("ff02::", user, 11),
     ]
     # Null parts are left out of the line, which makes the short ones.
-    v4_line = k < 90
     enough = k != 9
     whole = v4_line & enough & ~k.between(1, 3)
     groups = {
@@ -162,30 +170,47 @@ def log_text(spark: SparkSession, sf_dir: str) -> str:
     return _TEXT[key]
 
 
-def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ip, country_code, status: customers by nation; overdrawn ones are unknown."""
-    customer = table(spark, sf_dir, "customer").filter("c_acctbal >= -500")
+#: Added to the number of an overdrawn customer, whose address then is in no log.
+UNKNOWN = 16_000_000
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers with their nation and address; overdrawn ones are unknown to
+    the log. Every fifth customer has a second nation, so its address comes twice."""
+    customer = table(spark, sf_dir, "customer")
+    shift = F.when(F.col("c_acctbal") < -500, UNKNOWN).otherwise(0)
+    own = F.struct(F.lit(0).alias("again"), F.col("c_nationkey").alias("key"))
+    other = F.struct(
+        F.lit(1).alias("again"), F.pmod(F.col("c_nationkey") + 7, F.lit(25)).alias("key")
+    )
+    places = F.when(F.col("c_custkey") % 5 == 0, F.array(own, other)).otherwise(F.array(own))
+    rows = customer.select(
+        "*", address(F.col("c_custkey") + shift).alias("ip"), F.inline(places)
+    )
     nation = table(spark, sf_dir, "nation")
+    return rows.join(nation, F.col("key") == F.col("n_nationkey"))
+
+
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segment = F.col("c_mktsegment")
     status = (
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", "timeout")
-        .when(F.col("c_mktsegment") == "BUILDING", "error")
+        F.when((segment == "AUTOMOBILE") & (F.col("again") == 0), "timeout")
+        .when(segment == "BUILDING", "error")
         .otherwise("ok")
     )
-    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select(
-        address(F.col("c_custkey")).alias("ip"),
+    return _customers(spark, sf_dir).select(
+        "ip",
         F.when(status == "ok", F.col("n_name")).alias("country_code"),
         status.alias("status"),
     )
 
 
-def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").filter("c_acctbal >= -500")
-    nation = table(spark, sf_dir, "nation")
+def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = F.lit(None).cast("string")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        address(F.col("c_custkey")).alias("ip"),
-        F.col("c_name").alias("org"),
+    branch = F.when(F.col("again") == 1, " branch").otherwise("")
+    return _customers(spark, sf_dir).select(
+        "ip",
+        F.concat("c_name", branch).alias("org"),
         nothing.alias("city"),
         F.col("n_name").alias("country"),
         text(F.col("n_regionkey")).alias("region"),
@@ -198,7 +223,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def port_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _port_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """port and name; numbers that are both a part and a supplier have two names."""
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("int").alias("port"), F.col("p_name").alias("name")
@@ -209,10 +234,50 @@ def port_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.unionByName(supplier)
 
 
-def blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ip and list_name; an address may be on both lists."""
     supplier = table(spark, sf_dir, "supplier")
     ip = address(F.col("s_suppkey")).alias("ip")
     poor = supplier.filter("s_acctbal < 4000").select(ip, F.lit("poor").alias("list_name"))
     near = supplier.filter("s_nationkey < 8").select(ip, F.lit("near").alias("list_name"))
     return poor.unionByName(near)
+
+
+_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def _file(spark: SparkSession, sf_dir: str, name: str, make, as_text: bool = False) -> str:
+    """Path of a lookup written as CSV with header, or as text, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FILES:
+        path = new_path(spark, name)
+        df = make(spark, sf_dir)
+        df.write.text(path) if as_text else write_csv(df, path)
+        _FILES[key] = path
+    return _FILES[key]
+
+
+def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_geo(spark, _file(spark, sf_dir, "geo", _geo))
+
+
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_metadata(spark, _file(spark, sf_dir, "metadata", _metadata))
+
+
+def port_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_port_names(spark, _file(spark, sf_dir, "port_names", _port_names))
+
+
+def blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both lists, each from a file of its own with comment lines and surplus fields."""
+    lists = []
+    for name in ("poor", "near"):
+        def lines(spark, sf_dir, name=name):
+            own = _blocklist(spark, sf_dir).filter(F.col("list_name") == name)
+            banner = spark.createDataFrame([("# addresses of a list",), ("",)], "value string")
+            return banner.unionByName(own.select(F.concat("ip", F.lit(", seen")).alias("value")))
+
+        path = _file(spark, sf_dir, f"blocklist_{name}", lines, as_text=True)
+        lists.append(read_blocklist(spark, path, name))
+    return lists[0].unionByName(lists[1])

@@ -59,7 +59,7 @@ def _rows(names: list[str], rows) -> Counter:
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
 }
 
 

@@ -5,7 +5,7 @@ The typed columns come straight from ``events``; no line is printed or parsed.
 
 from __future__ import annotations
 
-from checks.adapter import HOST, PORT_POOL
+from checks.adapter import HOST, PORT_POOL, UNKNOWN
 from checks.queries import (
     AS_DOUBLE,
     GEO_MIN_ROWS,
@@ -47,38 +47,55 @@ v4 AS (
   SELECT id,
     CASE WHEN k <> 6 THEN date_trunc('second', ts) END AS "timestamp",
     CAST(k AS VARCHAR) AS rule_number, '10000' || (k // 20) AS tracker_id,
-    'em0' AS real_interface, 'match' AS reason, 'block' AS action,
+    'em' || user_id % 4 AS real_interface, 'r' || k % 3 AS reason, 'b' || k % 5 AS action,
     CASE WHEN event_type = 'purchase' THEN 'out' ELSE 'in' END AS traffic_direction,
-    4 AS ip_version, '0x0' AS tos, '' AS ecn, '64' AS ttl, '1' AS ipv4_id, 0 AS "offset",
-    'DF' AS flags, '6' AS protocoll_id, protocol AS protocoll_text,
+    4 AS ip_version, '0x' || user_id % 16 AS tos, CASE WHEN k % 2 = 1 THEN 'CE' ELSE '' END AS ecn,
+    CAST(50 + k % 7 AS VARCHAR) AS ttl, CAST(user_id * 3 + k AS VARCHAR) AS ipv4_id,
+    k % 8 AS "offset", 'F' || user_id % 3 AS flags, CAST(k + 100 AS VARCHAR) AS protocoll_id,
+    protocol AS protocoll_text,
     amount + 20 AS length,
     CASE WHEN whole THEN {address('user_id')} END AS source_ip,
     CASE WHEN whole THEN '192.0.2.' || (user_id % 7) END AS destination_ip,
     CASE WHEN whole THEN sport END AS source_port,
     CASE WHEN whole THEN dport END AS destination_port,
     CASE WHEN whole AND k NOT IN (0, 7) THEN amount - 2 END AS data_length,
-    CASE WHEN whole THEN 'S' END AS tcp_flag, CASE WHEN whole THEN '1' END AS sequence_num,
-    CASE WHEN whole THEN '' END AS ack, CASE WHEN whole THEN '1024' END AS "window",
+    CASE WHEN whole THEN 'S' || k % 4 END AS tcp_flag,
+    CASE WHEN whole THEN CAST(user_id * 1000 + k AS VARCHAR) END AS sequence_num,
+    CASE WHEN whole AND k % 3 = 0 THEN '' WHEN whole THEN CAST(k + 7 AS VARCHAR) END AS ack,
+    CASE WHEN whole THEN CAST(1024 + k AS VARCHAR) END AS "window",
     CASE WHEN whole THEN '[' || replace(opts, ';', ', ') || ']' END AS options
   FROM raw4
 ),
 v6 AS (
   SELECT id, date_trunc('second', ts) AS "timestamp", CAST(k AS VARCHAR) AS rule_number,
-    '10000' || (k // 20) AS tracker_id, 'em0' AS real_interface, 'match' AS reason,
-    'block' AS action,
+    '10000' || (k // 20) AS tracker_id, 'em' || user_id % 4 AS real_interface,
+    'r' || k % 3 AS reason, 'b' || k % 5 AS action,
     CASE WHEN event_type = 'purchase' THEN 'out' ELSE 'in' END AS traffic_direction,
     6 AS ip_version, CAST(NULL AS VARCHAR) AS class,
-    CAST(user_id * 100 + k AS VARCHAR) AS flow_label, 1 AS hop_limit, 'UDP' AS protocol,
-    '17' AS protocol_id, amount + 20 AS length, 'fd00::' || user_id AS source_ip,
-    'ff02::2' AS destination_ip
+    CAST(user_id * 100 + k AS VARCHAR) AS flow_label, 1 + k % 9 AS hop_limit,
+    'U' || k % 2 AS protocol, CAST(user_id % 100 AS VARCHAR) AS protocol_id,
+    amount + 20 AS length, 'fd00::' || user_id AS source_ip,
+    'ff02::' || user_id % 11 AS destination_ip
   FROM e WHERE k >= 90
 ),
+places AS (
+  SELECT *, 0 AS again, c_nationkey AS "key" FROM customer
+  UNION ALL SELECT *, 1, (c_nationkey + 7) % 25 FROM customer WHERE c_custkey % 5 = 0
+),
+customers AS (
+  SELECT *, {address(f'(c_custkey + CASE WHEN c_acctbal < -500 THEN {UNKNOWN} ELSE 0 END)')} AS ip
+  FROM places JOIN nation ON "key" = n_nationkey
+),
+all_geo AS (
+  SELECT ip, CASE WHEN c_mktsegment = 'AUTOMOBILE' AND again = 0 THEN 'timeout'
+      WHEN c_mktsegment = 'BUILDING' THEN 'error' ELSE 'ok' END AS status,
+    CASE WHEN c_mktsegment <> 'BUILDING' AND (c_mktsegment <> 'AUTOMOBILE' OR again = 1)
+      THEN n_name END AS country_code
+  FROM customers
+),
 geo AS (
-  SELECT {address('c_custkey')} AS ip,
-    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'timeout' WHEN 'BUILDING' THEN 'error'
-      ELSE 'ok' END AS status,
-    CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN n_name END AS country_code
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= -500
+  SELECT * FROM all_geo QUALIFY row_number() OVER (PARTITION BY ip
+    ORDER BY status <> 'ok', country_code IS NULL, country_code, status) = 1
 ),
 buckets AS (
   SELECT source_ip, date_trunc('day', "timestamp") AS window_start,
@@ -185,12 +202,13 @@ HEADER = f"""CASE WHEN k = 6 THEN 'Foo 99 00:00:00' ELSE {TIME_TEXT} END
 add(
     "parse_fields_v4",
     f"""
-SELECT v4.id, {HEADER} AS timestamp_rule, '' AS sub_rule_number, '' AS anchor, tracker_id,
+SELECT v4.id, {HEADER} AS timestamp_rule, 's' || k % 30 AS sub_rule_number,
+  'a' || user_id % 9 AS anchor, tracker_id,
   real_interface, reason, action, traffic_direction, '4' AS ip_version, tos, ecn, ttl,
-  ipv4_id, '0' AS "offset", flags, protocoll_id, protocoll_text,
+  ipv4_id, CAST("offset" AS VARCHAR) AS "offset", flags, protocoll_id, protocoll_text,
   CAST(length AS VARCHAR) AS length, source_ip, destination_ip, source_port,
   destination_port, CASE WHEN whole THEN len END AS data_length, tcp_flag, sequence_num,
-  ack, "window", CASE WHEN whole THEN '' END AS urg,
+  ack, "window", CASE WHEN whole THEN 'u' || k % 50 END AS urg,
   CASE WHEN whole THEN opts END AS options,
   CASE WHEN whole AND event_type <> 'purchase' THEN '' END AS extra
 FROM v4 JOIN raw4 ON v4.id = raw4.id
@@ -201,8 +219,8 @@ add(
     f"""
 SELECT v6.id, {HEADER} AS timestamp_rule, '' AS sub_rule_number, '' AS anchor, tracker_id,
   real_interface, reason, action, traffic_direction, '6' AS ip_version, '' AS class,
-  flow_label, '1' AS hop_limit, protocol, protocol_id, CAST(length AS VARCHAR) AS length,
-  source_ip, destination_ip
+  flow_label, CAST(hop_limit AS VARCHAR) AS hop_limit, protocol, protocol_id,
+  CAST(length AS VARCHAR) AS length, source_ip, destination_ip
 FROM v6 JOIN e ON v6.id = e.id
 """,
 )
@@ -226,16 +244,19 @@ SELECT id, CAST(NULL AS VARCHAR) AS sub_rule_number, CAST(NULL AS VARCHAR) AS an
 add(
     "whitespace_to_null",
     """
-SELECT id, CAST(NULL AS VARCHAR) AS ecn, CAST(NULL AS VARCHAR) AS ack, source_port,
-  protocoll_text FROM clean
+SELECT id, nullif(ecn, '') AS ecn, nullif(ack, '') AS ack, source_port, protocoll_text
+FROM clean
 """,
 )
 add(
     "drop_null_columns",
-    """
-SELECT id, rule_number, tracker_id, real_interface, reason, action, traffic_direction,
-  '6' AS ip_version, flow_label, '1' AS hop_limit, protocol, protocol_id,
-  CAST(length AS VARCHAR) AS length, source_ip, destination_ip FROM v6
+    f"""
+SELECT v6.id, CASE WHEN k = 6 THEN 'Foo 99 00:00:00'
+    ELSE strftime(ts, '%b ') || day(ts) || strftime(ts, ' %H:%M:%S') END AS "timestamp",
+  rule_number, tracker_id, real_interface, reason, action, traffic_direction,
+  '6' AS ip_version, flow_label, CAST(hop_limit AS VARCHAR) AS hop_limit, protocol, protocol_id,
+  CAST(length AS VARCHAR) AS length, source_ip, destination_ip
+FROM v6 JOIN e ON v6.id = e.id
 """,
 )
 add(
@@ -330,10 +351,11 @@ add(
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1000
 ),
 meta AS (
-  SELECT {address('c_custkey')} AS ip, c_name, n_name, n_regionkey, c_mktsegment
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= -500
+  SELECT ip, c_name || CASE WHEN again = 1 THEN ' branch' ELSE '' END AS org, n_name,
+    n_regionkey, c_mktsegment
+  FROM customers QUALIFY row_number() OVER (PARTITION BY ip ORDER BY org, n_name) = 1
 )
-SELECT top.ip, frequency, coalesce(c_name, '0') AS org, '0' AS city,
+SELECT top.ip, frequency, coalesce(org, '0') AS org, '0' AS city,
   coalesce(n_name, '0') AS country, coalesce(CAST(n_regionkey AS VARCHAR), '0') AS region,
   '0' AS postal,
   CASE WHEN c_mktsegment <> 'MACHINERY' THEN lower(c_mktsegment) ELSE '0' END AS hostname,
@@ -585,3 +607,10 @@ add(
     "panel_country_totals",
     f'SELECT "metric", CAST(sum("value") AS BIGINT) AS total FROM ({COUNTRY}) GROUP BY 1',
 )
+
+# --- what the load wrote, and the panels as SQL text ---------------------------
+
+add("load_log", f"""SELECT {LOG}, strftime("timestamp", '%Y-%m-%d') AS "date" FROM ({MERGED})""")
+for name in list(_SQL):
+    if name.startswith("dash_"):
+        _SQL[name.replace("dash_", "sql_dash_")] = _SQL[name]

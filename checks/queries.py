@@ -14,7 +14,6 @@ from emberwall import schema
 from emberwall.operators import describe, detect, enrich, parse, ports, tables
 from emberwall.plans import dashboard, load
 from emberwall.session import apply_settings, new_path, store
-from emberwall.sinks import write_bucketed
 from emberwall.sources import read_log
 
 # The tables have about two rows per source and day, so the thresholds are low
@@ -46,6 +45,8 @@ AS_DOUBLE = {
     "join_log_ip4": ["data_length"],
     "dash_threat_bandwidth": ["time"],
     "dash_threat_frequency": ["time"],
+    "sql_dash_threat_bandwidth": ["time"],
+    "sql_dash_threat_frequency": ["time"],
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,20 +86,23 @@ _LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Typed frames ``v4`` and ``v6`` and the tables made from them."""
+    """Typed frames ``v4`` and ``v6``, ``enriched``, and the tables that ``load``
+    writes from the log text for the dashboard."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOADED:
         lines = adapter.log_lines(spark, sf_dir)
+        geo = adapter.geo(spark, sf_dir)
         parsed = load.parse_and_store(lines, HOST, YEAR)
         v4, v6 = parse.rows_of(parsed, 4), parse.rows_of(parsed, 6)
-        geo = adapter.geo(spark, sf_dir)
         enriched = store(load.enrich_v4(v4, geo, **DETECTION), "enriched")
-        made = tables.split_tables(enriched, v6, ordered=False)
-        buckets = spark.sparkContext.defaultParallelism
         suffix = uuid.uuid4().hex
-        for name in ("pfsense_log", "ip4"):
-            path = new_path(spark, name)
-            made[name] = write_bucketed(made[name], f"{name}_{suffix}", buckets, path)
+        names = {n: f"{n}_{suffix}" for n in ("pfsense_log", "ip4", "ip6")}
+        targets = {name: new_path(spark, name) for name in names}
+        load.load(
+            lines, HOST, geo, targets, "dashboard", year=YEAR,
+            buckets=spark.sparkContext.defaultParallelism, table_names=names, **DETECTION,
+        )
+        made = {name: spark.table(table) for name, table in names.items()}
         _LOADED[key] = {"v4": v4, "v6": v6, "enriched": enriched, **made}
     return _LOADED[key]
 
@@ -195,7 +199,7 @@ def whitespace_to_null(spark, sf_dir):
 @query
 def drop_null_columns(spark, sf_dir):
     raw = parse.blanks_to_null(_headed(spark, sf_dir, 6))
-    return parse.drop_null_columns(raw.drop("timestamp"))
+    return parse.drop_null_columns(raw)
 
 
 @query
@@ -246,8 +250,7 @@ def minute_key(spark, sf_dir):
 @query
 def json_field(spark, sf_dir):
     events = adapter.table(spark, sf_dir, "events").select("event_id", "props")
-    events = enrich.json_field(events, "props", "k")
-    return enrich.json_field(events, "props", "absent").drop("props")
+    return enrich.json_field(events, "props", ["k", "absent"]).drop("props")
 
 
 # --- detection ---------------------------------------------------------------
@@ -410,8 +413,7 @@ def port_counts_all(spark, sf_dir):
 
 @query
 def notable_ports(spark, sf_dir):
-    rows = _clean(spark, sf_dir)
-    return ports.all_notable_ports(ports.numeric_ports(rows), counted_on=rows)
+    return ports.all_notable_ports(_clean(spark, sf_dir))
 
 
 # --- counts and top lists ----------------------------------------------------
@@ -579,7 +581,14 @@ def merged_log(spark, sf_dir):
 @query
 def join_log_ip4(spark, sf_dir):
     rows = loaded(spark, sf_dir)
-    return tables.join_log_ip4(rows["pfsense_log"], rows["ip4"])
+    return tables.join_log_ip4(rows["pfsense_log"], rows["ip4"]).drop("date")
+
+
+@query
+def load_log(spark, sf_dir):
+    """The log as the load wrote it."""
+    log = loaded(spark, sf_dir)["pfsense_log"]
+    return log.select(*schema.LOG_COLUMNS, F.col("date").cast("string").alias("date"))
 
 
 @query
@@ -630,6 +639,21 @@ _dashboard(dashboard.dash_frequency_over_time)
 _dashboard(dashboard.dash_logs_over_time)
 
 
+def _sql_panel(name: str) -> None:
+    def run(spark, sf_dir):
+        rows = loaded(spark, sf_dir)
+        dashboard.register_views({n: rows[n] for n in ("pfsense_log", "ip4")})
+        ranged = TIME_RANGE if name == "dash_country" else None
+        return spark.sql(dashboard.panel_sql(ranged)[name])
+
+    run.__name__ = f"sql_{name}"
+    query(run)
+
+
+for _name in dashboard.panel_sql():
+    _sql_panel(_name)
+
+
 @query
 def panel_threat_means(spark, sf_dir):
     panels = {"bandwidth": _bandwidth, "frequency": _frequency}

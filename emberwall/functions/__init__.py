@@ -4,7 +4,7 @@ from emberwall.functions.text import (
     blank_to_null,
     fields_of,
     is_number,
-    json_field,
+    json_struct,
     options_list,
     options_text,
     whitespace_to_null,
@@ -16,7 +16,7 @@ __all__ = [
     "blank_to_null",
     "fields_of",
     "is_number",
-    "json_field",
+    "json_struct",
     "minute_key",
     "options_list",
     "options_text",

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What a float literal looks like in text; Spark's own cast also takes "12d".
 NUMBER = r"^\s*[+-]?(?i:(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
@@ -33,7 +36,7 @@ def options_text(text: Column) -> Column:
     return F.concat(F.lit("["), F.replace(text, F.lit(";"), F.lit(", ")), F.lit("]"))
 
 
-def json_field(payload: Column, name: str, default: str | None = None) -> Column:
-    """One key of a JSON text as text; ``default`` where the key is missing."""
-    value = F.from_json(payload, f"`{name}` string")[name]
-    return value if default is None else F.coalesce(value, F.lit(default))
+def json_struct(payload: Column, names: Sequence[str]) -> Column:
+    """Keys of a JSON text as a struct of texts."""
+    kind = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return F.from_json(payload, kind)

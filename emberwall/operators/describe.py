@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from emberwall import schema
 from emberwall.functions import minute_key
-from emberwall.operators.quantiles import exact_quantiles
-from emberwall.session import broadcast_top
+from emberwall.operators.quantiles import count_values, quantiles_of
+from emberwall.session import store
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
@@ -62,20 +63,36 @@ def bytes_per_minute(df: DataFrame, k: int | None = None) -> DataFrame:
     return sums if k is None else sums.orderBy(F.desc("bytes"), "minute").limit(k)
 
 
+def _minute_code(month, day, hour, minute) -> Column:
+    """A minute key as a number."""
+    return ((month * 100 + day) * 100 + hour) * 100 + minute
+
+
+def _code_of_key(key: Column) -> Column:
+    """The number of a key ``MM-dd HH:mm``; null for other text."""
+    parts = [F.substring(key, at, 2).try_cast("int") for at in (1, 4, 7, 10)]
+    return _minute_code(*parts)
+
+
 def minute_sources(df: DataFrame, minutes: DataFrame | Sequence[str]) -> DataFrame:
     """Sources active in the given minutes: a list of keys, or a frame with a
-    ``minute`` column such as a top list."""
-    keyed = with_minute_key(df)
+    ``minute`` column such as a top list. Rows are compared by numbers taken from
+    their time; no text is made of it."""
+    parts = [f("timestamp") for f in (F.month, F.dayofmonth, F.hour, F.minute)]
+    code = _minute_code(*parts)
     if isinstance(minutes, DataFrame):
-        keyed = keyed.join(minutes.select("minute"), "minute", "left_semi")
+        wanted = minutes.select(_code_of_key(F.col("minute")).alias("_code")).distinct()
+        rows = df.join(wanted, code == F.col("_code"), "left_semi")
     else:
-        keyed = keyed.filter(F.col("minute").isin(*minutes))
-    return value_counts(keyed, "source_ip")
+        keys = [k.replace("-", " ").replace(":", " ").split() for k in minutes]
+        codes = [_minute_code(*map(int, k)) for k in keys if len(k) == 4]
+        rows = df.filter(code.isin(*codes)) if codes else df.limit(0)
+    return value_counts(rows, "source_ip")
 
 
 def peak_minute_sources(df: DataFrame, k: int = schema.DEFAULT_TOP) -> DataFrame:
     """Sources active in the ``k`` minutes with the most rows."""
-    return minute_sources(df, broadcast_top(logs_per_minute(df, k), k))
+    return minute_sources(df, store(logs_per_minute(df, k), "peak_minutes"))
 
 
 def _frequencies(df: DataFrame, column: str) -> DataFrame:
@@ -125,22 +142,30 @@ def describe_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
 
 
 def describe_number(df: DataFrame, column: str) -> DataFrame:
-    """Rows (``statistic``, ``value``): count, mean, std, min, quartiles, max.
-    The quartiles are exact."""
-    number = F.col(column).cast("double")
-    summary = df.agg(
-        F.count(column).cast("double").alias("count"),
-        F.avg(column).cast("double").alias("mean"),
-        F.stddev_samp(number).alias("std"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
-    )
-    names = ["count", "mean", "std", "min", "max"]
-    pairs = [F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in names]
-    rows = summary.select(F.inline(F.array(*pairs)))
-    quartiles = exact_quantiles(df, column, list(QUARTILES.values()))
-    name = F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%"))
-    return rows.unionByName(quartiles.select(name.alias("statistic"), "value"))
+    """Rows (``statistic``, ``value``): count, mean, std, min, quartiles, max of the
+    values that are neither null nor NaN. The quartiles are exact.
+
+    The rows are read once: different values are counted and stored, and all
+    statistics come from the counts.
+    """
+    counted = store(count_values(df, column), "values")
+    sums = counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    ).first()
+    total, mean = sums["count"], sums["mean"]
+    std = None
+    if total > 1:
+        off = F.col("value") - F.lit(mean)
+        std = math.sqrt(counted.agg(F.sum(off * off * F.col("n"))).first()[0] / (total - 1))
+    found = quantiles_of(counted, list(QUARTILES.values()))
+    rows = [
+        ("count", float(total)), ("mean", mean), ("std", std), ("min", sums["min"]),
+        *[(name, found[p]) for name, p in QUARTILES.items()], ("max", sums["max"]),
+    ]
+    return df.sparkSession.createDataFrame(rows, "statistic string, value double")
 
 
 def column_max(df: DataFrame) -> DataFrame:

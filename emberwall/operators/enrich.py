@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberwall import schema
-from emberwall.functions import json_field as json_key
+from emberwall.functions import json_struct
 from emberwall.operators.describe import value_counts
 from emberwall.session import store
 
+# Columns of the metadata lookup.
 METADATA_COLUMNS = [
     "org", "city", "country", "region", "postal", "hostname", "location", "timezone",
 ]
@@ -39,21 +40,44 @@ def country_of(code: Column, status: Column, failure_codes: bool = False) -> Col
     )
 
 
+def one_country_per_ip(geo: DataFrame) -> DataFrame:
+    """``geo(ip, country_code, status)`` with one row per address: status ``ok``
+    first, then rows with a country, then the smallest country and status."""
+    order = F.struct(
+        F.coalesce(F.col("status") != "ok", F.lit(True)).alias("failed"),
+        F.col("country_code").isNull().alias("unknown"),
+        "country_code",
+        "status",
+    )
+    best = geo.groupBy("ip").agg(F.min(order).alias("best"))
+    return best.select("ip", "best.country_code", "best.status")
+
+
 def geo_lookup(
     df: DataFrame, geo: DataFrame, failure_codes: bool = False
 ) -> DataFrame:
     """Country of every ``source_ip`` of ``df`` from the table ``geo(ip,
-    country_code, status)``; the status of an address not in it is ``missing``."""
-    found = df.join(geo, df["source_ip"] == geo["ip"], "left")
+    country_code, status)``; the status of an address not in it is ``missing``.
+    An address that ``geo`` repeats is looked up as by ``one_country_per_ip``, so
+    no row of ``df`` is ever doubled."""
+    known = one_country_per_ip(geo)
+    found = df.join(known, df["source_ip"] == known["ip"], "left")
     return found.select(
         *[df[c] for c in df.columns],
-        country_of(geo["country_code"], geo["status"], failure_codes).alias(
+        country_of(known["country_code"], known["status"], failure_codes).alias(
             "source_country_code"
         ),
-        F.coalesce(geo["status"], F.lit("missing")).alias("geo_status"),
+        F.coalesce(known["status"], F.lit("missing")).alias("geo_status"),
     )
 
 
+def geo_of(sources: DataFrame, geo: DataFrame) -> DataFrame:
+    """The rows of ``geo`` for stored ``sources``: cut down in place where the list
+    is small, so a large lookup table is not shuffled whole."""
+    wanted = sources.select(F.col("source_ip").alias("ip"))
+    return geo.join(wanted, "ip", "left_semi")
+
+
 def enrich_country(
     df: DataFrame,
     geo: DataFrame,
@@ -63,7 +87,8 @@ def enrich_country(
     """Add ``source_country_code``; only frequent sources carry one."""
     counts = df.groupBy("source_ip").agg(F.count(F.lit(1)).alias("_rows"))
     frequent = counts.filter(F.col("_rows") >= min_rows).select("source_ip")
-    countries = geo_lookup(frequent, geo, failure_codes)
+    frequent = store(frequent, "frequent")
+    countries = geo_lookup(frequent, geo_of(frequent, geo), failure_codes)
     countries = store(
         countries.filter("source_country_code IS NOT NULL").drop("geo_status"),
         "countries",
@@ -73,10 +98,17 @@ def enrich_country(
     )
 
 
+def one_metadata_per_ip(metadata: DataFrame) -> DataFrame:
+    """One row per address: the smallest in the order of the columns, null first."""
+    best = metadata.groupBy("ip").agg(F.min(F.struct(*METADATA_COLUMNS)).alias("best"))
+    return best.select("ip", "best.*")
+
+
 def top_sources_metadata(
     df: DataFrame, metadata: DataFrame, k: int = schema.DEFAULT_TOP_METADATA
 ) -> DataFrame:
-    """The ``k`` most frequent sources with their metadata, ``'0'`` where unknown.
+    """The ``k`` most frequent sources with their metadata, ``'0'`` where unknown;
+    one row each, whatever ``metadata`` repeats.
 
     The stored top list is small, so a large ``metadata`` is cut down to it in
     place, without a shuffle, before the two are joined.
@@ -86,7 +118,7 @@ def top_sources_metadata(
         top.select(F.col("source_ip").alias("ip"), F.col("n").alias("frequency")),
         "top_sources",
     )
-    known = metadata.join(top, "ip", "left_semi")
+    known = one_metadata_per_ip(metadata.join(top, "ip", "left_semi"))
     return top.join(known, "ip", "left").select(
         "ip",
         "frequency",
@@ -95,10 +127,14 @@ def top_sources_metadata(
 
 
 def json_field(
-    df: DataFrame, column: str, name: str, default: str | None = "0"
+    df: DataFrame, column: str, name: str | Sequence[str], default: str | None = "0"
 ) -> DataFrame:
-    """Take one key of a JSON column into a column of its own."""
-    return df.withColumn(name, json_key(F.col(column), name, default))
+    """Take keys of a JSON column into columns of their own; the text is parsed once."""
+    names = [name] if isinstance(name, str) else list(name)
+    parsed = df.select("*", json_struct(F.col(column), names).alias("_parsed"))
+    return parsed.withColumns(
+        {n: F.coalesce(F.col("_parsed").getField(n), F.lit(default)) for n in names}
+    ).drop("_parsed")
 
 
 def _with_names(

@@ -28,7 +28,8 @@ def filter_log_lines(lines: DataFrame, host: str) -> DataFrame:
 
 def assign_id(df: DataFrame) -> DataFrame:
     """Add a unique id. It depends on the partitions, so store the frame once
-    and take every table from the stored copy."""
+    and take every table from the stored copy. Each load counts anew; lines that
+    come with an ``id`` of the caller's keep it."""
     return df.withColumn("id", F.monotonically_increasing_id())
 
 

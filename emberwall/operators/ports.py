@@ -9,8 +9,7 @@ from emberwall import schema
 from emberwall.functions import is_number
 from emberwall.functions import port_class as class_of
 from emberwall.functions.ports import PRIVATE, REGISTERED, STANDARD
-from emberwall.operators.describe import value_counts
-from emberwall.session import broadcast_top, store
+from emberwall.session import store
 
 PORTS = ["source_port", "destination_port"]
 
@@ -56,82 +55,77 @@ def port_class(df: DataFrame) -> DataFrame:
     return df.select("*", *[class_of(F.col(p)).alias(f"{p}_class") for p in PORTS])
 
 
-def _counted(df: DataFrame, port: str, k: int | None) -> DataFrame:
-    counts = value_counts(df, port, k=k)
-    return counts.select(
-        F.col(port).alias(f"_{port}"), F.col("n").alias(f"{port}_counted")
+def port_counts(df: DataFrame) -> DataFrame:
+    """(``side``, ``port``, ``n``, ``usable``), from one pass over the rows: how often a
+    port occurs, and whether it does in a row both of whose ports are numbers or
+    missing. Counts are combined before they move."""
+    usable = _usable("source_port") & _usable("destination_port")
+    sides = [F.struct(F.lit(p).alias("side"), F.col(p).alias("port")) for p in PORTS]
+    rows = df.select(usable.alias("usable"), F.inline(F.array(*sides)))
+    return (
+        rows.filter(F.col("port").isNotNull())
+        .groupBy("side", "port")
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("usable").alias("usable"))
     )
 
 
+def _most_frequent(counts: DataFrame, side: str, k: int | None) -> DataFrame:
+    own = counts.filter(F.col("side") == side)
+    return own if k is None else own.orderBy(F.desc("n"), "port").limit(k)
+
+
 def with_port_counts(
     df: DataFrame, k: int | None = schema.DEFAULT_TOP, counted_on: DataFrame | None = None
 ) -> DataFrame:
     """Add how often the source and the destination port occur; null for ports
     outside the ``k`` most frequent (``None``: count all ports). Counts are taken
-    on ``counted_on``, by default the frame itself."""
-    base = df if counted_on is None else counted_on
+    on ``counted_on``, by default the frame itself, for both sides at once."""
+    counts = store(port_counts(df if counted_on is None else counted_on), "ports")
     result = df
     for port in PORTS:
-        counts = _counted(base, port, k)
-        counts = store(counts, port) if k is None else broadcast_top(counts, k)
-        result = result.join(counts, F.col(port) == F.col(f"_{port}"), "left")
+        own = _most_frequent(counts, port, k).select(
+            F.col("port").alias(f"_{port}"), F.col("n").alias(f"{port}_counted")
+        )
+        result = result.join(own, F.col(port) == F.col(f"_{port}"), "left")
         result = result.drop(f"_{port}")
     return result
 
 
-def notable_ports(
-    df: DataFrame,
-    side: str,
-    port_class: str,
-    above: int,
-    k: int | None = schema.DEFAULT_TOP,
-    counted_on: DataFrame | None = None,
+def all_notable_ports(
+    df: DataFrame, k: int | None = schema.DEFAULT_TOP, counts: DataFrame | None = None
 ) -> DataFrame:
-    """Ports of one class that occur more than ``above`` times, in (``side``,
-    ``class``, ``port``, ``n``).
+    """Every list of ``NOTABLE`` in one frame: (``side``, ``class``, ``port``, ``n``).
 
-    ``n`` is the mean of the joined count over the rows of the port. It is the
-    same on each of these rows, so one row per port is joined, not the log.
+    Ports are counted on all rows of ``df``, in one pass whose counts are stored;
+    listed are those of rows whose ports are numbers or missing. ``n`` is the mean of
+    the joined count over the rows of the port, which is the same on each of them,
+    so no row of the log is joined.
     """
-    present = (
-        df.filter(class_of(F.col(side)) == port_class).select(F.col(side)).distinct()
-    )
-    counts = _counted(df if counted_on is None else counted_on, side, k)
-    counts = counts.filter(F.col(f"{side}_counted") > above)
-    return present.join(counts, F.col(side) == F.col(f"_{side}")).select(
-        F.lit(side).alias("side"),
-        F.lit(port_class).alias("class"),
-        F.col(side).alias("port"),
-        F.col(f"{side}_counted").cast("double").alias("n"),
+    if counts is None:
+        counts = store(port_counts(df), "ports")
+    top = _most_frequent(counts, PORTS[0], k).unionByName(_most_frequent(counts, PORTS[1], k))
+    classed = top.filter("usable").withColumn("class", class_of(F.col("port")))
+    limit = F.lit(None).cast("int")
+    for side, kind, above in NOTABLE:
+        limit = F.when(
+            (F.col("side") == side) & (F.col("class") == kind), above
+        ).otherwise(limit)
+    return classed.filter(F.col("n") > limit).select(
+        "side", "class", "port", F.col("n").cast("double").alias("n")
     )
 
 
-def all_notable_ports(
+def notable_ports(
     df: DataFrame,
+    side: str,
+    port_class: str,
+    above: int,
     k: int | None = schema.DEFAULT_TOP,
-    counted_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Every list of ``NOTABLE`` in one frame, from one pass over the rows."""
-    sides = [F.struct(F.lit(p).alias("side"), F.col(p).alias("port")) for p in PORTS]
-    present = df.select(F.inline(F.array(*sides))).distinct()
-    base = df if counted_on is None else counted_on
-    counts = None
-    for port in PORTS:
-        one = _counted(base, port, k).select(
-            F.lit(port).alias("side"),
-            F.col(f"_{port}").alias("port"),
-            F.col(f"{port}_counted").cast("double").alias("n"),
-        )
-        counts = one if counts is None else counts.unionByName(one)
-    counts = broadcast_top(counts, None if k is None else 2 * k)
-    limit = F.lit(None).cast("int")
-    for side, kind, above in NOTABLE:
-        limit = F.when(
-            (F.col("side") == side) & (F.col("class") == kind), above
-        ).otherwise(limit)
-    return (
-        present.join(counts, ["side", "port"])
-        .withColumn("class", class_of(F.col("port")))
-        .filter(F.col("n") > limit)
-        .select("side", "class", "port", "n")
+    """Ports of one class that occur more than ``above`` times, as one list of
+    ``all_notable_ports``."""
+    top = _most_frequent(port_counts(df), side, k).filter("usable")
+    classed = top.withColumn("class", class_of(F.col("port")))
+    return classed.filter((F.col("class") == port_class) & (F.col("n") > above)).select(
+        "side", "class", "port", F.col("n").cast("double").alias("n")
     )

@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberwall.session import store
+
 RANGES_PER_DOUBLING = 64
-STEPS_PER_RANGE = 4096
+STEPS = 4096
+#: A range holds some 2^46 doubles, so four times 4096 steps end at single values.
+LEVELS = 4
+
+
+@dataclass(frozen=True)
+class Cell:
+    """All values from ``low`` to ``high``: ``n`` of them, after ``before`` smaller."""
+
+    low: float
+    high: float
+    before: int
+    n: int
+
+    def holds(self, rank: int) -> bool:
+        return self.before <= rank < self.before + self.n
 
 
 def value_range(value: Column) -> Column:
@@ -23,108 +40,88 @@ def value_range(value: Column) -> Column:
     place = F.least(F.log2(size) * RANGES_PER_DOUBLING, F.lit(70_000.0))
     number = F.floor(place) + 70_000
     signed = F.when(value > 0, number).when(value < 0, -number)
-    # never null, so that joins on it add no filter and share one scan
     return F.coalesce(signed, F.lit(0))
 
 
-def step_in_range(value: Column, low: Column, high: Column) -> Column:
-    """Number of the equal step between ``low`` and ``high`` a value lies in."""
-    part = (value - low) / F.when(high > low, high - low)
-    return F.coalesce(F.floor(part * STEPS_PER_RANGE), F.lit(0))
-
-
-def _place(p: float) -> Column:
-    """Where among ``total`` values in order, counted from 0, the quantile lies."""
-    return F.lit(p) * (F.col("total") - 1)
-
-
-def _covers(rank: Column, count: str) -> Column:
-    """Whether a rank is among the ``count`` after the first ``before``."""
-    return (rank >= F.col("before")) & (rank < F.col("before") + F.col(count))
-
-
-def _wanted(probabilities: Sequence[float], count: str) -> Column:
-    """Whether any quantile needs one of these values."""
-    ranks = [side(_place(p)) for p in probabilities for side in (F.floor, F.ceil)]
-    return reduce(or_, [_covers(rank, count) for rank in ranks])
-
-
-def _so_far(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _before(count: str, window: WindowSpec) -> Column:
-    return F.coalesce(F.sum(count).over(_so_far(window)), F.lit(0))
-
-
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float]
-) -> DataFrame:
-    """Rows (``p``, ``value``), interpolated linearly between neighbours. Null and
-    NaN are not counted; without any other value the quantiles are null.
-
-    Values are counted first, so equal values travel as one row. Counts per range
-    tell which few ranges hold the wanted ranks, counts per step which steps of
-    these, and only the values of those steps are put in order.
-    """
+def count_values(df: DataFrame, column: str) -> DataFrame:
+    """(``value``, ``n``) of the different values as doubles, without null and NaN."""
     number = F.col(column).cast("double")
     values = df.select(number.alias("value")).filter("value IS NOT NULL")
     values = values.filter(~F.isnan("value"))
-    counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("range", value_range(F.col("value")))
+    return values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
-    # One row per range, so the windows over all of them are bounded.
-    by_range = Window.orderBy("range")
-    everything = by_range.rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    ranges = (
-        counted.groupBy("range")
+
+def _cells(rows: DataFrame, keys: list[str], ranks: Sequence[int]) -> list[Cell]:
+    """Cells of the rows with equal keys that hold one of the ranks. The rows carry
+    ``start``, how many values come before those with the same first key."""
+    window = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
+    earlier = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    cells = (
+        rows.groupBy(*keys)
         .agg(
-            F.sum("n").alias("range_n"),
+            F.sum("n").alias("n"),
             F.min("value").alias("low"),
             F.max("value").alias("high"),
+            F.max("start").alias("start"),
         )
-        .select(
-            "*",
-            _before("range_n", by_range).alias("before"),
-            F.sum("range_n").over(everything).alias("total"),
-        )
-        .filter(_wanted(probabilities, "range_n"))
+        .withColumn("before", F.col("start") + F.coalesce(earlier, F.lit(0)))
     )
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | F.lit(rank).between(F.col("before"), F.col("before") + F.col("n") - 1)
+    found = cells.filter(wanted).select("low", "high", "before", "n").collect()
+    return [Cell(*row) for row in found]
 
-    # At most two ranges per probability are wanted, of 4096 steps each.
-    step = step_in_range(F.col("value"), F.col("low"), F.col("high"))
-    by_step = Window.partitionBy("range").orderBy("step")
-    same = [F.max(c).alias(c) for c in ("low", "high", "before", "total")]
-    steps = (
-        counted.join(F.broadcast(ranges), "range")
-        .groupBy("range", step.alias("step"))
-        .agg(F.sum("n").alias("step_n"), *same)
-        .withColumn("before", F.col("before") + _before("step_n", by_step))
-        .filter(_wanted(probabilities, "step_n"))
-    )
 
-    # At most two steps per probability are wanted.
-    by_value = Window.partitionBy("range", "step").orderBy("value")
-    found = (
-        counted.join(F.broadcast(steps), "range")
-        .filter(F.col("step") == step)
-        .withColumn("before", F.col("before") + _before("n", by_value))
+def quantiles_of(counted: DataFrame, probabilities: Sequence[float]) -> dict[float, float | None]:
+    """Quantiles of the values of ``counted(value, n)``, interpolated linearly between
+    neighbours; without any value they are null.
+
+    Counts per range tell which few ranges hold the wanted ranks; each of these is
+    split into steps between its own lowest and highest value, and so on, until a
+    cell is a single value. No task puts more in order than there are ranges, or
+    steps of two cells per probability, and only these few cells come to the driver.
+    """
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not total:
+        return dict.fromkeys(probabilities)
+    places = {p: p * (total - 1) for p in probabilities}
+    ranks = sorted({f(x) for x in places.values() for f in (math.floor, math.ceil)})
+    rows = counted.select(
+        "value", "n", value_range(F.col("value")).alias("cell"), F.lit(0).alias("start")
     )
+    cells = _cells(rows, ["cell"], ranks)
+    for _ in range(LEVELS):
+        wide = [c for c in cells if c.low < c.high]
+        if not wide:
+            break
+        cell = step = start = F.lit(None)
+        for i, c in enumerate(wide):
+            inside = F.col("value").between(F.lit(c.low), F.lit(c.high))
+            width = c.high - c.low
+            part = (F.col("value") / width - c.low / width) if math.isinf(width) else (
+                (F.col("value") - F.lit(c.low)) / F.lit(width)
+            )
+            cell = F.when(inside, i).otherwise(cell)
+            step = F.when(inside, F.floor(part * STEPS)).otherwise(step)
+            start = F.when(inside, F.lit(c.before)).otherwise(start)
+        rows = counted.select("value", "n", cell.alias("cell"), step.alias("step"), start.alias("start"))
+        rows = rows.filter(F.col("cell").isNotNull())
+        done = [c for c in cells if c.low == c.high]
+        cells = done + _cells(rows, ["cell", "step"], ranks)
+    at = {rank: next(c.low for c in cells if c.holds(rank)) for rank in ranks}
+    out = {}
+    for p, place in places.items():
+        low, high = at[math.floor(place)], at[math.ceil(place)]
+        part = place - math.floor(place)
+        out[p] = low if part == 0 or low == high else low + (high - low) * part
+    return out
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(_covers(rank, "n"), F.col("value")))
 
-    ends = found.agg(
-        F.max("total").alias("total"),
-        *[at(F.floor(_place(p))).alias(f"low_{i}") for i, p in enumerate(probabilities)],
-        *[at(F.ceil(_place(p))).alias(f"high_{i}") for i, p in enumerate(probabilities)],
-    )
-    rows = []
-    for i, p in enumerate(probabilities):
-        low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
-        part = _place(p) - F.floor(_place(p))
-        value = F.when(part == 0, low).otherwise(low + (high - low) * part)
-        rows.append(F.struct(F.lit(p).alias("p"), value.alias("value")))
-    return ends.select(F.inline(F.array(*rows)))
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float]
+) -> DataFrame:
+    """Rows (``p``, ``value``), as ``quantiles_of``. Null and NaN are not counted."""
+    counted = store(count_values(df, column), "values")
+    rows = list(quantiles_of(counted, probabilities).items())
+    return df.sparkSession.createDataFrame(rows, "p double, value double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from emberwall import schema
 
@@ -43,5 +44,11 @@ def split_tables(
     return {"pfsense_log": merged_log(v4_log, v6_log, ordered), "ip4": ip4, "ip6": ip6}
 
 
+def with_date(df: DataFrame) -> DataFrame:
+    """Add ``date``, the day of ``timestamp``, by which tables are partitioned."""
+    return df.withColumn("date", F.to_date("timestamp"))
+
+
 def join_log_ip4(log: DataFrame, ip4: DataFrame) -> DataFrame:
-    return log.join(ip4, "id")
+    """Both tables joined on the id; a ``date`` both have is taken from the log."""
+    return log.join(ip4.drop("date") if "date" in log.columns else ip4, "id")

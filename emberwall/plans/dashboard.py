@@ -1,7 +1,8 @@
 """The queries a dashboard over the loaded tables asks.
 
-Each takes the tables ``pfsense_log`` and ``ip4`` and joins them on the id. Load
-both with ``write_bucketed`` and the join needs no shuffle.
+Each takes the tables ``pfsense_log`` and ``ip4`` and joins them on the id. Tables
+that ``load`` wrote as ``dashboard`` join without a shuffle, and a time range reads
+the partitions of its days only, of both tables.
 """
 
 from __future__ import annotations
@@ -30,11 +31,20 @@ def in_range(timestamp: Column, time_range: TimeRange) -> Column:
     return timestamp.between(F.lit(first), F.lit(last))
 
 
+def _on_days_of(df: DataFrame, time_range: TimeRange) -> DataFrame:
+    """Keep the partitions of the days of the range, if there are any."""
+    if time_range is None or "date" not in df.columns:
+        return df
+    first, last = (F.lit(bound).cast("timestamp").cast("date") for bound in time_range)
+    return df.filter(F.col("date").between(first, last))
+
+
 def _rows(
     log: DataFrame, ip4: DataFrame, time_range: TimeRange, where: Column | None = None
 ) -> DataFrame:
     log = log.filter(in_range(F.col("timestamp"), time_range))
     ip4 = ip4 if where is None else ip4.filter(where)
+    log, ip4 = (_on_days_of(df, time_range) for df in (log, ip4))
     return join_log_ip4(log.select("id", "timestamp"), ip4)
 
 
@@ -104,3 +114,40 @@ def panel_mean(series: DataFrame, value: str = "value") -> DataFrame:
 def panel_total(series: DataFrame, metric: str = "metric") -> DataFrame:
     """Sum of a series per metric."""
     return series.groupBy(metric).agg(F.sum("value").alias("total"))
+
+
+def _year_sql(flag: str) -> str:
+    return f"""
+SELECT year(l.timestamp) AS time, count(i.{flag}) AS count
+FROM pfsense_log l JOIN ip4 i ON i.id = l.id WHERE i.{flag} = '1' GROUP BY 1"""
+
+
+def _time_sql(where: str) -> str:
+    return f"""
+SELECT l.timestamp AS time, count(i.source_ip) AS value
+FROM pfsense_log l JOIN ip4 i ON i.id = l.id WHERE {where} GROUP BY 1 ORDER BY 1"""
+
+
+def panel_sql(time_range: TimeRange = None) -> dict[str, str]:
+    """The six panels as SQL over the views ``register_views`` makes. A time range
+    needs tables with ``date``."""
+    within = "true"
+    if time_range is not None:
+        first, last = (f"TIMESTAMP '{bound}'" for bound in time_range)
+        within = " AND ".join(
+            [f"l.timestamp BETWEEN {first} AND {last}"]
+            + [f"{t}.date BETWEEN date({first}) AND date({last})" for t in "li"]
+        )
+    country = f"""
+SELECT l.timestamp AS time, i.source_country_code AS metric, count(i.data_length) AS value
+FROM pfsense_log l JOIN ip4 i ON i.id = l.id
+WHERE i.source_country_code IS NOT NULL AND {within} GROUP BY 1, 2"""
+    bandwidth, frequency = "threat_type_bandwith", "threat_type_frequency"
+    return {
+        "dash_threat_bandwidth": _year_sql(bandwidth),
+        "dash_threat_frequency": _year_sql(frequency),
+        "dash_country": country,
+        "dash_bandwidth_over_time": _time_sql(f"i.{bandwidth} = '1'"),
+        "dash_frequency_over_time": _time_sql(f"i.{frequency} = '1'"),
+        "dash_logs_over_time": _time_sql(within),
+    }

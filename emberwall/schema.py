@@ -20,13 +20,13 @@ V6_FIELDS = [
 V4_TYPES = {"ip_version": "int", "offset": "int", "length": "int", "data_length": "int"}
 V6_TYPES = {"ip_version": "int", "hop_limit": "int", "length": "int"}
 
-#: Columns both versions share; ``LOG_COLUMNS`` is the log table.
+# Columns both versions share; ``LOG_COLUMNS`` is the log table.
 LOG_COLUMNS = [
     "id", "timestamp", "rule_number", "tracker_id", "real_interface", "reason",
     "action", "traffic_direction", "ip_version",
 ]
 
-#: Read from the line but kept in no table.
+# Read from the line but kept in no table.
 UNUSED_FIELDS = {"timestamp_rule", "sub_rule_number", "anchor", "urg", "extra"}
 
 
@@ -38,9 +38,10 @@ def _typed(fields: list[str]) -> list[str]:
 V4_COLUMNS = _typed(V4_FIELDS)
 V6_COLUMNS = _typed(V6_FIELDS)
 
-#: First version-specific column; left out when the tables are split.
+# First version-specific column; left out when the tables are split.
 BOUNDARY_COLUMNS = {4: "tos", 6: "class"}
 
+# The flags added to IPv4 rows.
 THREAT_COLUMNS = ["threat_type_bandwith", "threat_type_frequency"]
 ENRICHED_COLUMNS = V4_COLUMNS + THREAT_COLUMNS + ["source_country_code"]
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Settings the library counts on. Log times carry no zone, so the session zone
 #: decides their meaning; adaptive execution splits skewed join partitions.
@@ -18,10 +22,6 @@ RECOMMENDED = {
 }
 
 
-#: Most rows of a top list that are broadcast on the word of its limit.
-BROADCAST_ROWS = 100_000
-
-
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
@@ -31,25 +31,30 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting: it gets a temporary folder.
+    Only a session with its executors in this process may go without the setting:
+    it gets a temporary folder. On a cluster a ``file:`` folder is shared only if it
+    is mounted everywhere, which can't be seen from here, so it is warned of.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="emberwall-"))
-    return context.getCheckpointDir().rstrip("/")
+    named = named or spark.sparkContext.getCheckpointDir()
+    alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+    if not named:
+        if not alone:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="emberwall-"))
+        named = spark.sparkContext.getCheckpointDir()
+    elif not alone and urlsplit(named).scheme == "file":
+        warnings.warn(f"{named} must be mounted on all machines of the cluster", stacklevel=2)
+    return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/emberwall/{uuid.uuid4().hex}/{name}"
 
 
+_SCRATCH: list[list[str]] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the frame that reads it back.
 
@@ -58,13 +63,33 @@ def store(df: DataFrame, name: str) -> DataFrame:
     its files are below ``spark.sql.autoBroadcastJoinThreshold``, a large one is
     joined by shuffle, and no hint has to guess which.
     """
+    return store_sized(df, name)[0]
+
+
+def store_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As ``store``, and the bytes of the stored files."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_top(df: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast a frame limited to ``rows`` rows if that is few; Spark decides
-    from its size otherwise."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
+    place, files = _place(spark, path)
+    return spark.read.schema(df.schema).parquet(path), files.getContentSummary(place).getLength()
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is stored inside when the block ends. Frames that read it are
+    of no use after that, so write results elsewhere first."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            place, files = _place(spark, path)
+            files.delete(place.getParent(), True)

@@ -47,10 +47,20 @@ def write_table(
 
 
 def write_bucketed(
-    df: DataFrame, table: str, buckets: int, path: str | None = None
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    path: str | None = None,
+    partition_by: str | None = None,
 ) -> DataFrame:
-    """Store a table by buckets of ``id``. Two tables stored with the same number
-    of buckets join on the id without a shuffle, however often they are joined."""
+    """Store a table by buckets of ``id``, within partitions of a column if one is
+    named. Two tables stored with the same number of buckets join on the id without
+    a shuffle, however often they are joined.
+
+    A task of such a join reads one bucket of all partitions it wants, so take as
+    many buckets as make a bucket of the whole table about 1 GB; each partition then
+    has that many files.
+    """
     writer = (
         df.repartition(buckets, "id")
         .write.mode("overwrite")
@@ -58,6 +68,8 @@ def write_bucketed(
         .sortBy("id")
         .format("parquet")
     )
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

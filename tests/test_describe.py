@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from emberwall.functions import port_class
-from emberwall.operators import describe, enrich, ports
+from emberwall.operators import describe, enrich, ports, quantiles
 from emberwall.operators.quantiles import exact_quantiles
 
 
@@ -15,7 +15,7 @@ def values(df, name="value"):
     return {r[0]: r[name] for r in df.collect()}
 
 
-def quantiles(spark, numbers, probabilities):
+def quantiles_found(spark, numbers, probabilities):
     df = spark.createDataFrame([(n,) for n in numbers], "x double")
     return values(exact_quantiles(df, "x", probabilities))
 
@@ -26,7 +26,7 @@ def test_quantiles_match_numpy(spark, size):
     numbers = [rng.choice([rng.gauss(0, 1e3), rng.randint(-5, 5), 0.0, 1e-300, -1e12]) * 1.0
                for _ in range(size)]
     wanted = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = quantiles(spark, numbers, wanted)
+    got = quantiles_found(spark, numbers, wanted)
     for p in wanted:
         assert got[p] == pytest.approx(np.quantile(numbers, p), rel=1e-12, abs=1e-12)
 
@@ -34,13 +34,13 @@ def test_quantiles_match_numpy(spark, size):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-(2**31), 2**31 - 1), min_size=1, max_size=40))
 def test_quantiles_of_integers(spark, numbers):
-    got = quantiles(spark, [float(n) for n in numbers], [0.25, 0.5, 0.75])
+    got = quantiles_found(spark, [float(n) for n in numbers], [0.25, 0.5, 0.75])
     for p, value in got.items():
         assert value == np.quantile(np.array(numbers, dtype=float), p)
 
 
 def test_one_value_in_most_rows(spark):
-    got = quantiles(spark, [7.0] * 500 + [1.0, 2.0, 900.0], [0.25, 0.5, 0.75])
+    got = quantiles_found(spark, [7.0] * 500 + [1.0, 2.0, 900.0], [0.25, 0.5, 0.75])
     assert got == {0.25: 7.0, 0.5: 7.0, 0.75: 7.0}
 
 
@@ -49,13 +49,13 @@ def test_values_close_together(spark):
     rng = random.Random(1)
     numbers = [1.7e9 + rng.random() for _ in range(3000)]
     wanted = [0.1, 0.25, 0.5, 0.75, 0.999]
-    got = quantiles(spark, numbers, wanted)
+    got = quantiles_found(spark, numbers, wanted)
     for p in wanted:
         assert got[p] == pytest.approx(np.quantile(numbers, p), rel=1e-15)
 
 
 def test_nan_and_infinity(spark):
-    got = quantiles(spark, [float("inf"), float("nan"), 1.0, -5.0, 0.0], [0.0, 0.5, 1.0])
+    got = quantiles_found(spark, [float("inf"), float("nan"), 1.0, -5.0, 0.0], [0.0, 0.5, 1.0])
     assert got == {0.0: -5.0, 0.5: 0.5, 1.0: float("inf")}
 
 
@@ -70,6 +70,42 @@ def test_describe_number(spark):
     )
 
 
+def test_nan_is_skipped_by_every_statistic(spark):
+    numbers = [1.0, 2.0, float("nan"), None]
+    df = spark.createDataFrame([(n,) for n in numbers], "x double")
+    assert values(describe.describe_number(df, "x")) == pytest.approx(
+        {"count": 2, "mean": 1.5, "std": 0.5**0.5, "min": 1, "25%": 1.25, "50%": 1.5,
+         "75%": 1.75, "max": 2}
+    )
+
+
+def test_deviation_of_large_close_values(spark):
+    numbers = [1.7e9 + i / 1000 for i in range(100)]
+    df = spark.createDataFrame([(n,) for n in numbers], "x double")
+    got = values(describe.describe_number(df, "x"))
+    assert got["std"] == pytest.approx(np.std(numbers, ddof=1), rel=1e-9)
+
+
+def test_no_step_holds_many_values(spark, monkeypatch):
+    """A million values a hair's breadth apart and one far off: whatever is put in
+    order is the counts of ranges or of 4096 steps, and few levels are needed."""
+    levels = []
+    real = quantiles._cells
+
+    def watched(rows, keys, ranks):
+        levels.append(rows.groupBy(*keys).count().count())
+        return real(rows, keys, ranks)
+
+    monkeypatch.setattr(quantiles, "_cells", watched)
+    ids = F.col("id").cast("double")
+    near = spark.range(1_000_000).select((1 + ids * 2.0**-50).alias("x"))
+    df = near.union(spark.createDataFrame([(1.0108,)], "x double"))
+    got = values(exact_quantiles(df, "x", [0.25, 0.5]))
+    assert got == {0.25: 1 + 250_000 * 2.0**-50, 0.5: 1 + 500_000 * 2.0**-50}
+    assert len(levels) <= 1 + quantiles.LEVELS
+    assert max(levels) <= 2 * 2 * (quantiles.STEPS + 1)
+
+
 def test_describe_number_without_values(spark):
     df = spark.createDataFrame([(None,)], "x int")
     got = values(describe.describe_number(df, "x"))
@@ -167,7 +203,6 @@ def test_notable_ports(spark):
     rows = [("22", "443")] * 11 + [("80", "23")] * 10 + [("61337", "8080")] * 101
     rows += [("50000", "60001")] * 100 + [("request", "60001")] * 5
     df = spark.createDataFrame(rows, "source_port string, destination_port string")
-    numeric = ports.numeric_ports(df)
     expected = {
         ("source_port", "standard-port", "22", 11.0),
         ("destination_port", "standard-port", "443", 11.0),
@@ -175,12 +210,12 @@ def test_notable_ports(spark):
         ("destination_port", "private-port", "60001", 105.0),
         ("destination_port", "registered-port", "8080", 101.0),
     }
-    found = ports.all_notable_ports(numeric, counted_on=df).collect()
+    found = ports.all_notable_ports(df).collect()
     assert {tuple(r) for r in found} == expected
     single = [
         tuple(r)
         for side, kind, above in ports.NOTABLE
-        for r in ports.notable_ports(numeric, side, kind, above, counted_on=df).collect()
+        for r in ports.notable_ports(df, side, kind, above).collect()
     ]
     assert set(single) == expected and len(single) == len(expected)
 
@@ -234,6 +269,8 @@ def test_json_field(spark):
     )
     found = enrich.json_field(df, "payload", "country_code")
     assert [r.country_code for r in found.collect()] == ["DE", "0", "0", "0"]
+    odd = spark.createDataFrame([('{"a`b": "x", "c.d": "y"}',)], "payload string")
+    assert enrich.json_field(odd, "payload", ["a`b", "c.d"]).first()[1:] == ("x", "y")
     found = enrich.json_field(df, "payload", "country_code", default=None)
     assert [r.country_code for r in found.collect()] == ["DE", None, None, None]
 
@@ -247,3 +284,29 @@ def test_metadata_of_the_top_sources(spark, traffic):
         ("a", 2, "org", "0", "DE", "0", "0", "0", "0", "0"),
         ("b", 3, "0", "0", "0", "0", "0", "0", "0", "0"),
     }
+
+
+def test_repeated_lookup_rows_double_nothing(spark, traffic):
+    geo = spark.createDataFrame(
+        [("a", "FR", "ok"), ("a", "DE", "ok"), ("a", "AA", "error"), ("b", None, "timeout"),
+         ("b", None, "timeout"), ("c", None, "ok"), ("c", "IT", "ok")],
+        "ip string, country_code string, status string",
+    )
+    df = traffic([("a", None, 1)] * 3 + [("b", None, 1), ("c", None, 1), (None, None, 1)])
+    got = enrich.enrich_country(df, geo, min_rows=1)
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in df.collect())
+    assert {(r.source_ip, r.source_country_code) for r in got.collect()} == {
+        ("a", "DE"), ("b", None), ("c", "IT"), (None, None),
+    }
+    columns = "ip string, " + ", ".join(f"{c} string" for c in enrich.METADATA_COLUMNS)
+    known = [("a", org, *[None] * 7) for org in ("two", "one", "one")]
+    top = enrich.top_sources_metadata(df, spark.createDataFrame(known, columns), k=2)
+    assert [(r.ip, r.frequency, r.org) for r in top.orderBy("ip").collect()] == [
+        ("a", 3, "one"), ("b", 1, "0"),
+    ]
+
+
+def test_minutes_that_are_no_key_match_nothing(traffic):
+    df = traffic([("a", "2020-10-11 22:26:01", 5)])
+    assert describe.minute_sources(df, []).count() == 0
+    assert describe.minute_sources(df, ["nonsense"]).count() == 0

@@ -2,6 +2,7 @@
 
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import HOST
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from emberwall.operators import tables
 from emberwall.plans import dashboard, load
+from emberwall.session import shared_folder
 from emberwall.sinks import write_bucketed
 
 GEO = [("192.0.2.1", "DE", "ok"), ("192.0.2.2", None, "timeout")]
@@ -160,3 +162,61 @@ def test_bucketed_tables_answer_the_same(spark, made, tmp_path):
     for panel, expected in PANELS.items():
         result = getattr(dashboard, panel)(log, ip4)
         assert {tuple(r) for r in result.collect()} == expected
+
+
+@pytest.fixture(scope="module")
+def laid_out(spark, tmp_path_factory):
+    """Tables loaded in the layout of the panels, with a lookup that repeats rows."""
+    folder = tmp_path_factory.mktemp("laid")
+    geo = spark.createDataFrame(GEO * 3, "ip string, country_code string, status string")
+    lines = spark.createDataFrame([(line,) for line in LINES], "value string")
+    targets = {name: str(folder / name) for name in ("pfsense_log", "ip4", "ip6")}
+    names = {name: f"laid_out_{name}" for name in targets}
+    before = set(Path(shared_folder(spark).removeprefix("file:")).glob("emberwall/*"))
+    load.load(
+        lines, HOST, geo, targets, "dashboard", buckets=3, table_names=names, **OPTIONS
+    )
+    after = set(Path(shared_folder(spark).removeprefix("file:")).glob("emberwall/*"))
+    return {name: spark.table(table) for name, table in names.items()}, after - before
+
+
+def test_load_lays_tables_out_for_the_panels(laid_out):
+    made, _ = laid_out
+    for panel, expected in PANELS.items():
+        result = getattr(dashboard, panel)(made["pfsense_log"], made["ip4"])
+        assert {tuple(r) for r in result.collect()} == expected
+    bounds = (day("09-07 11:45:51"), day("09-08 00:00:00"))
+    result = dashboard.dash_logs_over_time(made["pfsense_log"], made["ip4"], bounds)
+    assert [r.time for r in result.orderBy("time").collect()] == [
+        day("09-07 11:45:51"), day("09-07 11:47:00"), day("09-08 00:00:00"),
+    ]
+
+
+@pytest.mark.parametrize("panel", PANELS)
+def test_panels_as_sql(spark, laid_out, panel):
+    made, _ = laid_out
+    dashboard.register_views(made)
+    result = spark.sql(dashboard.panel_sql()[panel])
+    assert {tuple(r) for r in result.collect()} == PANELS[panel]
+
+
+def test_repeated_lookup_rows_repeat_no_id(laid_out):
+    made, _ = laid_out
+    ids = [r.id for r in made["ip4"].select("id").collect()]
+    assert len(ids) == len(set(ids)) == 6
+
+
+def test_load_removes_what_it_stored(laid_out):
+    assert laid_out[1] == set()
+
+
+def test_only_sources_with_a_flag_or_country_are_listed(spark, monkeypatch):
+    geo = spark.createDataFrame(GEO, "ip string, country_code string, status string")
+    lines = spark.createDataFrame([(line,) for line in LINES], "value string")
+    stored = {}
+    real = load.store_sized
+    monkeypatch.setattr(load, "store_sized", lambda df, n: stored.setdefault(n, real(df, n)))
+    load.build_tables(lines, HOST, geo, **OPTIONS)
+    rows = stored["sources"][0].collect()
+    assert sorted(r._source for r in rows) == ["192.0.2.1", "192.0.2.2"]
+    assert all(r.hot_bytes or r.hot_rows or r.source_country_code for r in rows)

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import adapter
 from checks.queries import DETECTION, loaded, queries
-from emberwall.operators import describe, detect, enrich, parse
-from emberwall.operators.quantiles import exact_quantiles
+from emberwall.operators import describe, detect, enrich, parse, ports
 from emberwall.plans import dashboard, load
 from emberwall.sources import read_log
 
@@ -113,10 +112,19 @@ def test_dashboard_filters_reach_the_scan(spark, tables):
     assert "IsNotNull(source_country_code)" in plan
     assert "struct<id:bigint,timestamp:timestamp>" in plan
     assert "struct<id:bigint,data_length:int,source_country_code:string>" in plan
+    days = re.findall(r"PartitionFilters: \[(.*)\]", plan)
+    assert len(days) == 2 and all("2024-01-05" in d and "2024-01-20" in d for d in days)
     flagged = explained(dashboard.dash_threat_bandwidth(tables["pfsense_log"], tables["ip4"]))
     assert "EqualTo(threat_type_bandwith,1)" in flagged
 
 
+@pytest.mark.parametrize("panel", sorted(dashboard.panel_sql()))
+def test_panels_as_sql_join_without_shuffle(spark, tables, shuffle_joins_only, panel):
+    dashboard.register_views({n: tables[n] for n in ("pfsense_log", "ip4")})
+    plan = plan_of(spark.sql(dashboard.panel_sql()[panel]))
+    assert shuffles(plan[plan.index("SortMergeJoin"):]) == 0
+
+
 def test_top_lists_need_no_full_sort(spark, tables):
     plan = plan_of(describe.value_counts(tables["v4"], "source_ip", k=50))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
@@ -128,17 +136,49 @@ def test_counts_are_combined_before_the_shuffle(spark, tables):
     assert "partial_count(1)" in plan
 
 
-def test_quartiles_gather_only_bounded_rows(spark, tables):
-    """The one window without a key runs over ranges, not over values."""
-    plan = plan_of(describe.describe_number(tables["v4"], "data_length"))
-    singles = re.findall(r"Exchange SinglePartition.*\n.*?(\w+Aggregate\(keys=\[[^\]]*\])", plan)
-    assert singles
-    for child in singles:
-        assert "range" in child or "keys=[]" in child
-
-
-def test_quantiles_scan_once(tables):
-    df = exact_quantiles(tables["v4"], "data_length", [0.25, 0.5, 0.75])
-    df.collect()
-    plan = plan_of(df).split("== Initial Plan ==")[0]
-    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 2
+def test_number_statistics_scan_the_log_once(spark, tables, monkeypatch):
+    """What reads the log is the count of values, which is stored."""
+    stored = []
+    real = describe.store
+    monkeypatch.setattr(describe, "store", lambda df, n: stored.append(plan_of(df)) or real(df, n))
+    result = describe.describe_number(tables["v4"], "data_length")
+    (plan,) = stored
+    assert plan.count("FileScan") == 1 and shuffles(plan) == 1
+    assert "partial_count(1)" in plan
+    assert "FileScan" not in plan_of(result)
+
+
+def test_ports_are_counted_in_one_scan(spark, tables):
+    counts = plan_of(ports.port_counts(tables["v4"]))
+    assert counts.count("FileScan") == 1 and shuffles(counts) == 1
+    listed = plan_of(ports.all_notable_ports(tables["v4"]))
+    assert "v4" not in listed  # only stored counts are read
+    joined = plan_of(ports.with_port_counts(tables["v4"]))
+    assert len(re.findall(r"FileScan.*v4", joined)) == 1
+
+
+def test_minutes_of_rows_are_no_text(spark, tables):
+    plan = plan_of(describe.peak_minute_sources(tables["v4"], 5))
+    assert "date_format" not in plan
+
+
+def test_lists_within_the_given_size_are_broadcast(spark, tables, shuffle_joins_only):
+    geo = adapter.geo(spark, SMALL)
+    plans = [
+        plan_of(load.enrich_v4(tables["v4"], geo, **DETECTION, broadcast_bytes=size))
+        for size in (1, 1 << 20)
+    ]
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" in plans[1]
+
+
+def test_declared_types_before_the_comparison(spark, tables):
+    """Queries whose whole numbers are compared as doubles give whole numbers."""
+    v4 = tables["v4"]
+    kinds = dict(v4.dtypes)
+    assert {kinds[c] for c in ("data_length", "length", "offset", "ip_version")} == {"int"}
+    assert dict(detect.bandwidth_per_window(v4).dtypes)["count"] == "bigint"
+    assert dict(detect.logs_per_window(v4).dtypes)["count"] == "bigint"
+    counted = dict(ports.with_port_counts(v4).dtypes)
+    assert counted["source_port_counted"] == counted["destination_port_counted"] == "bigint"
+    panel = dashboard.dash_threat_bandwidth(tables["pfsense_log"], tables["ip4"])
+    assert dict(panel.dtypes) == {"time": "int", "count": "bigint"}
