@@ -1,7 +1,104 @@
-"""SQL for DuckDB of the queries that SQL can express."""
+"""SQL for DuckDB of the queries that SQL can express.
+
+The others have none: language-model and quality scores and the randomness tests are
+models of their own, the tokenizers and XXH64 are not in SQL, nearest neighbours are
+approximate, and a packing is one of many. Tests hold these against plain versions.
+"""
 
 from __future__ import annotations
 
+_WORD = r"[^\x20\x09-\x0D]"
+
+QUALITY_RULES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda line: regexp_matches(line, '{_WORD}')) AS lines
+  FROM documents
+),
+runs AS (
+  SELECT row, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS run
+  FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM d)
+),
+again AS (
+  SELECT row, i FROM runs QUALIFY count(*) OVER (PARTITION BY row, run) > 1
+),
+marked AS (
+  SELECT row, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS shift (k)
+  GROUP BY row
+),
+m AS (
+  SELECT d.row, doc_id, t, words, list_mode(words) AS top, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(marked.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN marked ON marked.row = d.row
+),
+f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed
+    OR 100 * n_symbols > 10 * word_chars
+    OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+    OR 10 * (length(t) - length(replace(t, '!', ''))) > 3 * n_words
+    OR 10 * ((length(t) - length(replace(t, ' | ', ''))) // 3) > 2 * n_words
+    OR 10 * n_dup_lines > 5 * n_lines
+    OR 100 * len(list_filter(words, lambda w: w = top)) > 30 * n_words
+    OR 2 * length(regexp_replace(t, '[^\pL]', '', 'g')) < word_chars) AS kept
+FROM f
+"""
+
+REPEATED_PASSAGES = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h,
+    CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes
+  FROM documents
+),
+passages AS MATERIALIZED (
+  SELECT row, i, md5_number(substr(h, 2 * i + 1, 400)) AS passage
+  FROM (SELECT row, h, unnest(range(0, n_bytes - 199)) AS i FROM d)
+),
+again AS (
+  SELECT passage FROM passages GROUP BY passage HAVING count(*) > 1
+),
+starts AS (
+  SELECT row, i FROM passages SEMI JOIN again ON again.passage = passages.passage
+),
+numbered AS (
+  SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS run
+  FROM (SELECT row, i,
+      CASE WHEN i <= lag(i) OVER (PARTITION BY row ORDER BY i) + 200 THEN 0 ELSE 1 END AS new
+    FROM starts)
+),
+spans AS (
+  SELECT row, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY row, run
+),
+pieces AS (
+  SELECT row, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans
+  WINDOW w AS (PARTITION BY row ORDER BY a)
+  UNION ALL
+  SELECT d.row, coalesce(max(spans.b), 0), any_value(n_bytes) FROM d
+  LEFT JOIN spans ON spans.row = d.row GROUP BY d.row
+),
+kept AS (
+  SELECT d.row, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h
+  FROM d JOIN pieces ON pieces.row = d.row GROUP BY d.row
+),
+sums AS (
+  SELECT row, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY row
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept ON kept.row = d.row LEFT JOIN sums ON sums.row = d.row
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_suffix_array_dedup": REPEATED_PASSAGES.strip(),
+        "op4_quality_rules": QUALITY_RULES.strip(),
+    }
