@@ -2,9 +2,9 @@
 
 The rank file becomes a BPE model: every pair of tokens whose bytes join to a
 third one is a merge, in the order of the third one's rank. Bytes stand in the
-model as characters, one per byte value. Each Arrow batch is split by the
-pattern and its different pieces are encoded by the library at once; the offsets
-of the piece's tokens place them in the text. Decoding maps ids to their
+model as characters, one per byte value. The texts of each Arrow batch are split by the
+pattern, and their different pieces are merged by the library's model; the lengths
+of a piece's tokens place them in the text. Decoding maps ids to their
 characters and those back to bytes, so a character whose bytes are split over
 tokens comes back whole once all its bytes are there.
 
@@ -16,19 +16,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import zlib
 from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from emberwall.llm.common import column_bytes, with_result
+from emberwall.llm.common import column_texts, with_result, worker_memory
 from emberwall.llm.heap_bpe import byte_symbols
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS = "ids array<int>, starts array<int>, ends array<int>, decoded string"
 
-#: Pieces a task remembers before it starts anew.
-REMEMBERED = 300_000
+#: Pieces a worker remembers before it starts anew.
+REMEMBERED = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,37 +79,64 @@ def model_of(ranks: dict[bytes, int]) -> str:
 
 
 class Codec:
-    """Encodes and decodes texts; remembers the pieces it has met."""
+    """Encodes and decodes texts; the pieces met are remembered, by ``form`` of what
+    is wanted of them."""
 
-    def __init__(self, definition: str, pattern: str):
+    def __init__(self, definition: str, pattern: str, form: str = "tokens"):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         self.pieces = regex.compile(pattern).findall
-        to_byte = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        symbols = byte_symbols()
+        self.symbol_of = dict(enumerate(symbols))
+        to_byte = {symbol: byte for byte, symbol in enumerate(symbols)}
         size = self.tokenizer.get_vocab_size()
         tokens = map(self.tokenizer.id_to_token, range(size))
         self.bytes_of = [bytes(map(to_byte.__getitem__, t)) if t else b"" for t in tokens]
-        self.known: dict[str, tuple[int, str, bytes, list[int], list[tuple[int, int]]]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that are new, all in one call of the library."""
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        for piece, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            ids = e.ids
-            shown = ",".join(map(str, ids))
-            self.known[piece] = (len(ids), shown, self.decode(ids), ids, e.offsets)
-
-    def encode(self, texts: list[str]) -> list[list[tuple]]:
-        """The encoded pieces of each text, in order: number of ids, ids as text,
-        decoded bytes, ids, offsets. A piece is encoded and decoded once."""
-        split = [self.pieces(text) for text in texts]
-        self.learn(set().union(*split))
-        get = self.known.__getitem__
-        return [list(map(get, pieces)) for pieces in split]
+        self.learn = self._digests_of if form == "digests" else self._tokens_of
+        key = f"{form} {zlib.crc32((definition + pattern).encode())}"
+        self.known: dict[str, tuple] = worker_memory(f"byte BPE {key}")
+
+    def _merged(self, piece: str) -> list:
+        """The library's tokens of a piece, its bytes shown as characters."""
+        shown = piece.encode().decode("latin-1").translate(self.symbol_of)
+        return self.model.tokenize(shown)
+
+    def _digests_of(self, piece: str) -> tuple[int, str, bytes]:
+        """Number of ids, ids as text, decoded bytes."""
+        ids = [token.id for token in self._merged(piece)]
+        return len(ids), ",".join(map(str, ids)), self.decode(ids)
+
+    def _tokens_of(self, piece: str) -> tuple[list[int], list[int], list[int], int]:
+        """Ids, the first and the last character of each, and all characters."""
+        tokens = self._merged(piece)
+        character = [i for i, c in enumerate(piece) for _ in c.encode()]
+        ids, starts, ends, at = [], [], [], 0
+        for token in tokens:
+            ids.append(token.id)
+            starts.append(character[at])
+            at += len(token.value)
+            ends.append(character[at - 1] + 1)
+        return ids, starts, ends, len(piece)
+
+    def encode(self, text: str) -> list[tuple]:
+        """What is wanted of each piece of a text, in order."""
+        pieces = self.pieces(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            for i, (piece, value) in enumerate(zip(pieces, found)):
+                if value is None:
+                    value = self.known.get(piece)
+                    if value is None:
+                        value = self.learn(piece)
+                        if len(self.known) >= REMEMBERED:
+                            self.known.clear()
+                        if len(piece) < 64:
+                            self.known[piece] = value
+                    found[i] = value
+        return found
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -122,7 +150,6 @@ def encode(
     out: str = "bpe",
     keep: Sequence[str] | None = None,
     digests: bool = False,
-    texts_at_once: int = 256,
 ) -> DataFrame:
     """``docs`` with a struct column ``out``: the ids, where each token starts and
     ends in the text (in characters; tokens that share a split character have
@@ -138,16 +165,16 @@ def encode(
     definition = docs.sparkSession.sparkContext.broadcast(model_of(read_ranks(ranks_path)))
 
     def prepare():
-        codec = Codec(definition.value, pattern)
+        codec = Codec(definition.value, pattern, "digests" if digests else "tokens")
 
         def digest(batch: pa.RecordBatch):
             counts, ids, decoded = [], [], []
-            for group in _groups(column_bytes(batch.column(at)), texts_at_once):
-                for pieces in codec.encode(group):
-                    sizes, shown, raw, *_ = zip(*pieces) if pieces else ((), (), ())
-                    counts.append(sum(sizes))
-                    ids.append(hashlib.sha256(",".join(shown).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
+            for text in column_texts(batch.column(at)):
+                pieces = codec.encode(text)
+                sizes, shown, raw = zip(*pieces) if pieces else ((), (), ())
+                counts.append(sum(sizes))
+                ids.append(hashlib.sha256(",".join(shown).encode()).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
             return [
                 ("n_tokens", pa.array(counts, pa.int64())),
                 ("ids_sha256", pa.array(ids, pa.string())),
@@ -156,18 +183,17 @@ def encode(
 
         def tokens(batch: pa.RecordBatch):
             ids, starts, ends, decoded = [], [], [], []
-            for group in _groups(column_bytes(batch.column(at)), texts_at_once):
-                for pieces in codec.encode(group):
-                    place, own, first, last = 0, [], [], []
-                    for *_, piece_ids, offsets in pieces:
-                        own += piece_ids
-                        first += [place + a for a, _ in offsets]
-                        last += [place + b for _, b in offsets]
-                        place += max((b for _, b in offsets), default=0)
-                    ids.append(own)
-                    starts.append(first)
-                    ends.append(last)
-                    decoded.append(codec.decode(own).decode("utf-8", "replace"))
+            for text in column_texts(batch.column(at)):
+                place, own, first, last = 0, [], [], []
+                for piece_ids, piece_starts, piece_ends, size in codec.encode(text):
+                    own += piece_ids
+                    first += [place + a for a in piece_starts]
+                    last += [place + b for b in piece_ends]
+                    place += size
+                ids.append(own)
+                starts.append(first)
+                ends.append(last)
+                decoded.append(codec.decode(own).decode("utf-8", "replace"))
             kind = pa.list_(pa.int32())
             return [
                 ("ids", pa.array(ids, kind)),
@@ -179,8 +205,3 @@ def encode(
         return digest if digests else tokens
 
     return with_result(docs, out, DIGESTS if digests else TOKENS, prepare, keep)
-
-
-def _groups(texts: list[bytes], size: int):
-    for i in range(0, len(texts), size):
-        yield [x.decode("utf-8", "replace") for x in texts[i : i + size]]
