@@ -66,13 +66,21 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return store_sized(df, name)[0]
 
 
-def store_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """As ``store``, and the bytes of the stored files."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """As ``new_path``, for what a surrounding ``scratch`` block shall remove."""
     path = new_path(spark, name)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
-    df.write.parquet(path)
+    return path
+
+
+def store_sized(
+    df: DataFrame, name: str, compression: str = "snappy"
+) -> tuple[DataFrame, int]:
+    """As ``store``, and the bytes of the stored files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path, compression=compression)
     place, files = _place(spark, path)
     return spark.read.schema(df.schema).parquet(path), files.getContentSummary(place).getLength()
 
