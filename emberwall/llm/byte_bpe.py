@@ -29,7 +29,7 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS = "ids array<int>, starts array<int>, ends array<int>, decoded string"
 
 #: Pieces a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -204,4 +204,4 @@ def encode(
 
         return digest if digests else tokens
 
-    return with_result(docs, out, DIGESTS if digests else TOKENS, prepare, keep)
+    return with_result(docs, out, DIGESTS if digests else TOKENS, prepare, keep, True)

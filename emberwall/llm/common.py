@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.session import new_path, store
+from emberwall.session import scratch_path, store
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -29,9 +29,13 @@ def column_texts(column: pa.Array) -> list[str]:
 
 def worker_memory(name: str) -> dict:
     """A dictionary that lasts as long as the Python worker, for what tasks after one
-    another can use again. Users of it must bound its size."""
+    another can use again. Users of it must bound its size; asking for one name
+    gives up what is remembered under others."""
     own = sys.modules.setdefault("emberwall_worker_memory", types.ModuleType("memory"))
-    return own.__dict__.setdefault(name, {})
+    held = own.__dict__.setdefault("held", {})
+    for other in [x for x in held if x != name]:
+        del held[other]
+    return held.setdefault(name, {})
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -52,18 +56,22 @@ def with_result(
     fields: str,
     prepare: Callable[[], Callable[[pa.RecordBatch], list[tuple[str, pa.Array]]]],
     keep: Sequence[str] | None = None,
+    remembers: bool = False,
 ) -> DataFrame:
     """``docs`` with one more struct column ``out``, computed batch by batch. Of
     the columns of ``docs`` only those in ``keep`` are returned, by default all.
 
     ``prepare`` runs once per task and returns the function of a batch. A struct
-    keeps the new fields apart from columns of the same name in ``docs``.
+    keeps the new fields apart from columns of the same name in ``docs``. Unless it
+    ``remembers``, a worker's memory of other operators is given up.
     """
     kind = T.StructType.fromDDL(fields)
     kept = range(len(docs.columns)) if keep is None else [docs.columns.index(c) for c in keep]
     schema = T.StructType([*[docs.schema[i] for i in kept], T.StructField(out, kind)])
 
     def run(batches: Rows) -> Rows:
+        if not remembers:
+            worker_memory("")
         compute = prepare()
         for batch in batches:
             result = struct_of(compute(batch))
@@ -91,6 +99,7 @@ def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> D
     def run(batches: Rows) -> Rows:
         from pyspark import TaskContext
 
+        worker_memory("")
         number = TaskContext.get().partitionId() << 32
         held, size = [], 0
 
@@ -126,7 +135,7 @@ def write_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     name = f"blocks_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").bucketBy(buckets, key)
-    writer.option("path", new_path(spark, name)).option("compression", "zstd").saveAsTable(name)
+    writer.option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 

@@ -194,7 +194,8 @@ def search(
     asked: int = 256,
 ) -> DataFrame:
     """(``query_id``, ``rank``, ``vec_id``, ``score``): the ``k`` best candidates found
-    for each row of ``vectors`` that ``is_query`` holds for, itself left out."""
+    for each row of ``vectors`` that ``is_query``, a condition on the id, holds for,
+    itself left out."""
     spark = vectors.sparkSession
     kind = vectors.schema[id_column].dataType
     result = T.StructType(

@@ -145,8 +145,8 @@ def score_quality(
     """``docs`` with a struct column ``out``: ``score`` from 0 to 1, and from how
     many neighbours. ``learn_from`` says, on the id, whose labels may be used.
 
-    Ids are chosen by the share of a hash that gives about ``most_labelled`` of
-    them, which is the most that is taken.
+    Ids are chosen by a share of their hash that gives somewhat less than
+    ``most_labelled`` of them, the most that is taken.
     """
     spark = docs.sparkSession
     eligible = (
@@ -156,7 +156,8 @@ def score_quality(
         .agg(F.min(label).cast("int").alias("_label"))
         .join(docs.select(id_column).distinct(), id_column, "left_semi")
     )
-    share = int(min(1.0, most_labelled / max(eligible.count(), 1)) * 1_000_000)
+    known = eligible.count()
+    share = 1_000_000 if known <= most_labelled else int(950_000 * most_labelled / known)
     chosen = eligible.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < share)
     chosen = chosen.limit(most_labelled)
     seen, total = document_frequency(docs, text)

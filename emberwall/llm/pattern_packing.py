@@ -36,8 +36,13 @@ from emberwall.session import store
 
 CLASSES = 128
 MOST_PARTS = 4
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 700_000
+#: Names of the columns that packing adds, some of them only on the way.
+RESULTS = {
+    "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "part", "place",
+    "_before", "_n",
+}
+#: Words, and runs of letters, a worker remembers before it starts anew.
+REMEMBERED, REMEMBERED_RUNS = 300_000, 200_000
 #: Words split or given to the library at a time.
 AT_ONCE = 20_000
 
@@ -90,7 +95,7 @@ class Encoder:
         for k in range(0, len(plain), AT_ONCE):
             group = plain[k : k + AT_ONCE]
             split = self.runs_of("\n".join([shown for _, shown in group]).lower())
-            if len(self.runs) > REMEMBERED:
+            if len(self.runs) > REMEMBERED_RUNS:
                 self.runs.clear()
             parts: list[bytes] = []
             at = iter(group)
@@ -139,12 +144,15 @@ def pieces_of(
     with_ids: bool = True,
     texts_at_once: int = 256,
 ) -> DataFrame:
-    """One row per piece: the columns ``keep`` of ``docs`` (default all), then
-    ``piece``, ``start``, ``length``, ``ids_crc32`` and, if wanted, ``ids``; and
-    ``part`` and ``place``, a number of the piece among those of its length in
-    its part."""
+    """One row per piece: the columns ``keep`` of ``docs`` (default all whose names
+    are free), then ``piece``, ``start``, ``length``, ``ids_crc32`` and, if wanted,
+    ``ids``; and ``part`` and ``place``, a number of the piece among those of its
+    length in its part."""
     at = docs.columns.index(text)
-    keep = list(docs.columns) if keep is None else list(keep)
+    if keep is None:
+        keep = [c for c in docs.columns if c.lower() not in RESULTS]
+    elif clash := RESULTS & {c.lower() for c in keep}:
+        raise ValueError(f"columns named like results can't be kept: {sorted(clash)}")
     kept = [docs.columns.index(c) for c in keep]
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -356,9 +364,9 @@ def pack(
     end_id: int = 1,
     with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: the columns ``keep`` of ``docs`` (default all), ``piece``,
-    ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and, if wanted,
-    ``ids``. Columns of ``docs`` with one of these names must not be kept.
+    """One row per piece: the columns ``keep`` of ``docs`` (default all but those named
+    like a result), ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
+    ``offset`` and, if wanted, ``ids``.
 
     Tokens are made once; the pieces are stored in the shared folder.
     """

@@ -20,13 +20,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, column_bytes, free_name, with_result
+from emberwall.llm.common import Rows, column_bytes, free_name, with_result, worker_memory
 from emberwall.llm.words import LOWER, Hasher, chunks
-from emberwall.session import store
 
 # The patterns of the base kinds, in the order they are listed.
 ASSIGN = (
@@ -43,10 +42,7 @@ MIN_TOKEN = 20
 CLASSES = ((MIN_TOKEN, 0.30), (28, 0.20), (40, 0.10), (64, 0.05))
 BINS = 1000
 
-SCANNED = (
-    "base array<struct<kind:string,start:int,end:int>>, "
-    "tried array<struct<start:int,end:int,class:int,p:double>>"
-)
+SCANNED = "spans array<struct<kind:string,start:int,end:int>>"
 
 _DIGITS = "0123456789"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -175,16 +171,19 @@ class Scanner:
             yield base, tried
 
 
-def excuse_thresholds(tried: DataFrame) -> list[float]:
-    """The largest p-value that is ruled out as random, per length class, from
-    (``class``, ``p``) of all tokens. The counts that come to the driver are one
-    per class and bin, whatever the data."""
-    step = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("step")
-    counts = np.zeros((len(CLASSES), BINS))
-    for kind, at, n in tried.groupBy("class", step).count().collect():
-        counts[kind, at] = n
+def step_of(p: float) -> int:
+    return min(int(p * BINS), BINS - 1)
+
+
+def excuse_thresholds(counts: DataFrame) -> list[float]:
+    """The largest p-value that is ruled out as random, per length class, from rows
+    (``class``, ``step``, ``n``) of all tokens. The sums that come to the driver are one
+    per class and step, whatever the data."""
+    table = np.zeros((len(CLASSES), BINS))
+    for kind, at, n in counts.groupBy("class", "step").agg(F.sum("n")).collect():
+        table[kind, at] = n
     out = []
-    for (_, share), row in zip(CLASSES, counts):
+    for (_, share), row in zip(CLASSES, table):
         total = row.sum()
         below = np.cumsum(row)
         tops = np.arange(1, BINS + 1) / BINS
@@ -193,6 +192,25 @@ def excuse_thresholds(tried: DataFrame) -> list[float]:
     return out
 
 
+def count_steps(docs: DataFrame, text: str) -> DataFrame:
+    """Tested tokens per length class and step of the p-value, summed by task."""
+
+    def run(batches: Rows) -> Rows:
+        worker_memory("")
+        scanner, table = Scanner(), np.zeros((len(CLASSES), BINS), np.int64)
+        for batch in batches:
+            for _, tried in scanner.scan(column_bytes(batch.column(0))):
+                for _, _, kind, p in tried:
+                    table[kind, step_of(p)] += 1
+        kind, step = np.nonzero(table)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.int32()), pa.array(step, pa.int32()), pa.array(table[kind, step])],
+            ["class", "step", "n"],
+        )
+
+    return docs.select(F.col(f"`{text}`")).mapInArrow(run, "class int, step int, n long")
+
+
 def find_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -203,64 +221,34 @@ def find_secrets(
     ``out`` of (``kind``, ``start``, ``end``), in code points, by start, then by
     kind as listed in ``KINDS``.
 
-    Texts are scanned once; what is found is stored in the shared folder, since
-    the verdict on tested tokens needs the p-values of the whole corpus.
+    Texts are scanned twice: the verdict on tested tokens needs the p-values of the
+    whole corpus, and a scan costs less than storing the texts.
     """
     at = docs.columns.index(text)
+    limits = excuse_thresholds(count_steps(docs, text))
+    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     def prepare():
         scanner = Scanner()
 
         def compute(batch: pa.RecordBatch):
-            base, tried = [], []
-            for spans, tokens in scanner.scan(column_bytes(batch.column(at))):
-                base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                tried.append([dict(zip(("start", "end", "class", "p"), s)) for s in tokens])
-            span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-            token = pa.struct(
-                [("start", pa.int32()), ("end", pa.int32()), ("class", pa.int32()),
-                 ("p", pa.float64())]
-            )
-            return [
-                ("base", pa.array(base, pa.list_(span))),
-                ("tried", pa.array(tried, pa.list_(token))),
-            ]
+            found = []
+            for base, tried in scanner.scan(column_bytes(batch.column(at))):
+                claimed = [
+                    ("random", start, end)
+                    for start, end, kind, p in tried
+                    if (step_of(p) + 1) / BINS > limits[kind]
+                ]
+                every = sorted([*base, *claimed], key=lambda s: (s[1], KINDS.index(s[0])))
+                found.append([dict(zip(("kind", "start", "end"), s)) for s in every])
+            return [("spans", pa.array(found, pa.list_(span)))]
 
         return compute
 
-    found = free_name(docs, "scanned")
-    stored = store(with_result(docs, found, SCANNED, prepare, keep), "scanned")
-    limits = excuse_thresholds(stored.select(F.inline(f"`{found}`.tried")))
-    limit = F.array(*[F.lit(x) for x in limits])
-    claimed = F.filter(F.col(f"`{found}`.tried"), lambda t: t["p"] > limit[t["class"]])
-    spans = F.transform(
-        claimed,
-        lambda t: F.struct(
-            F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")
-        ),
-    )
-    every = F.concat(F.col(f"`{found}`.base"), spans)
-    columns = [F.col(f"`{c}`") for c in stored.columns if c != found]
-    return stored.select(*columns, in_order(every).alias(out))
-
-
-def in_order(spans: Column) -> Column:
-    """By start, then kind as listed."""
-    ranked = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"),
-            s["kind"].alias("kind"),
-            s["end"].alias("end"),
-        ),
-    )
-    return F.transform(
-        F.array_sort(ranked),
-        lambda s: F.struct(
-            s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")
-        ),
-    )
+    made = free_name(docs, "scanned")
+    scanned = with_result(docs, made, SCANNED, prepare, keep)
+    columns = [F.col(f"`{c}`") for c in scanned.columns if c != made]
+    return scanned.select(*columns, F.col(f"`{made}`.spans").alias(out))
 
 
 def redact(docs: DataFrame, text: str, spans: str, mark: str = "[SECRET]") -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from emberwall.llm.common import Rows, column_bytes, free_name, shuffle_parts, with_result
 from emberwall.llm.components import components, forest
 from emberwall.llm.words import LOWER
-from emberwall.session import store
+from emberwall.session import store, store_sized
 
 BYTES = 8
 FREE = 3  # positions a list does not fix
@@ -226,7 +226,7 @@ def near_duplicates(
     rows = fingerprints(docs, text, made, keep, shingle)
     kept = [c for c in rows.columns if c != made]
     rows = rows.withColumn(row, F.monotonically_increasing_id())
-    rows = store(rows, "fingerprints")
+    rows, _ = store_sized(rows, "fingerprints", "zstd")
     value = F.col(f"`{made}`.fingerprint")
 
     # smallest id first, null ids last, then the row written first
@@ -241,13 +241,16 @@ def near_duplicates(
         "value", "first", F.coalesce("root", "value").alias("root")
     )
     groups = whole.groupBy("root").agg(F.min("first").alias("leader"))
-    found = whole.join(groups, "root").select("value", "leader")
-    joined = rows.join(found, value == F.col("value"))
+    key, leader = free_name(rows, "value"), free_name(rows, "leader")
+    found = whole.join(groups, "root").select(
+        F.col("value").alias(key), F.col("leader").alias(leader)
+    )
+    joined = rows.join(found, value == F.col(f"`{key}`"))
     return joined.select(
-        *[rows[f"`{c}`"] for c in kept],
+        *[F.col(f"`{c}`") for c in kept],
         F.struct(
             value.alias("fingerprint"),
-            F.col("leader.id").alias("component_id"),
-            (F.col("leader.row") == rows[f"`{row}`"]).alias("keeps"),
+            F.col(f"`{leader}`.id").alias("component_id"),
+            (F.col(f"`{leader}`.row") == F.col(f"`{row}`")).alias("keeps"),
         ).alias(out),
     )

@@ -3,7 +3,13 @@ import string
 
 import pytest
 
-SCHEMA = "doc_id long, text string, n_tokens string, score string, kept string"
+CLASHING = [
+    "n_tokens", "score", "kept", "value", "leader", "first", "root", "part", "length", "block",
+    "docs", "words", "learn", "made", "scanned", "row", "id", "label", "n_chars",
+]
+SCHEMA = "doc_id long, text string, " + ", ".join(
+    f"{c} {'long' if c == 'n_chars' else 'string'}" for c in CLASHING
+)
 
 
 def prose(rng, words, vocabulary=400):
@@ -40,7 +46,8 @@ def texts():
 @pytest.fixture(scope="session")
 def docs(spark, texts):
     """The texts, with columns named like results."""
-    rows = [(i, t, "own", "own", "own") for i, t in texts]
+    own = [None if c == "n_chars" else "own" for c in CLASHING]
+    rows = [(i, t, *own) for i, t in texts]
     return spark.createDataFrame(rows, SCHEMA).repartition(4)
 
 

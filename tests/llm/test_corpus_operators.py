@@ -327,6 +327,14 @@ def test_packing(docs, texts, limit):
     assert len(places) <= 1.03 * -(-total // limit) + 1
 
 
+def test_results_keep_their_names(docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = pack(docs, path)
+    assert len(packed.columns) == len(set(packed.columns)) and "score" in packed.columns
+    with pytest.raises(ValueError):
+        pack(docs, path, keep=["length"])
+
+
 def test_patterns_are_all_partitions():
     columns = patterns(12, 4)
     assert ((np.arange(1, 13) @ columns) == 12).all()

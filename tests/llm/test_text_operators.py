@@ -196,8 +196,8 @@ def test_battery():
 
 
 def test_thresholds_follow_the_procedure(spark):
-    low = [(3, 0.0001)] * 50 + [(3, 0.5), (3, 0.9)]
-    limits = excuse_thresholds(spark.createDataFrame(low, "class int, p double"))
+    rows = [(3, 0, 30), (3, 0, 20), (3, 500, 1), (3, 900, 1)]
+    limits = excuse_thresholds(spark.createDataFrame(rows, "class int, step int, n long"))
     assert 0 < limits[3] < 0.5 and limits[0] == 0 and len(limits) == len(CLASSES)
 
 
