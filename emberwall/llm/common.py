@@ -38,6 +38,30 @@ def worker_memory(name: str) -> dict:
     return held.setdefault(name, {})
 
 
+def give_back() -> None:
+    """Return memory that is free but held by the allocators of this worker, where
+    the C library can. Workers last longer than tasks, and what one task needed at
+    its peak would else count against the next one's executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Rows], Rows], schema) -> DataFrame:
+    """``df.mapInArrow`` whose tasks give memory back when they end."""
+
+    def tidy(batches: Rows) -> Rows:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name`` with underscores put before it until no column is called so."""
     taken = {c.lower() for c in df.columns}
@@ -79,7 +103,7 @@ def with_result(
             yield pa.RecordBatch.from_arrays([*columns, result], names)
 
     names = [*[docs.columns[i] for i in kept], out]
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> DataFrame:
@@ -127,7 +151,7 @@ def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> D
         if size:
             yield block()
 
-    return write_bucketed(docs.mapInArrow(run, kind), "block", buckets)
+    return write_bucketed(map_batches(docs, run, kind), "block", buckets)
 
 
 def write_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -193,4 +217,4 @@ def replace_text(df: DataFrame, text: str, result: str, kept: str, changed: str)
             columns[at] = pa.array(new, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return df.mapInArrow(run, df.schema)
+    return map_batches(df, run, df.schema)

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwall.llm.common import (
-    Rows, ask_shards, block_rows, column_bytes, free_name, pack_blocks, replies, shuffle_parts,
-    struct_of,
+    Rows, ask_shards, block_rows, column_bytes, free_name, map_batches, pack_blocks, replies,
+    shuffle_parts, struct_of,
 )
 from emberwall.llm.words import Hasher, chunks, mix
 
@@ -410,8 +410,8 @@ def score_texts(
                     ["block", "shard", "words", "counts"],
                 )
 
-    messages = texts.mapInArrow(
-        send_words, "block long, shard int, words binary, counts binary"
+    messages = map_batches(
+        texts, send_words, "block long, shard int, words binary, counts binary"
     )
     words = ask_shards(messages, count_words, "words")
 
@@ -446,8 +446,10 @@ def score_texts(
 
     known = texts.join(words.hint("shuffle_hash"), "block", "left")
     kinds = ", ".join(f"{name} binary" for name in names)
-    messages = known.select("block", "texts", "learn", "words").mapInArrow(
-        send_pairs, f"block long, shard int, {kinds}"
+    messages = map_batches(
+        known.select("block", "texts", "learn", "words"),
+        send_pairs,
+        f"block long, shard int, {kinds}"
     )
     pairs = ask_shards(messages, answer_pairs, "pairs")
 
@@ -479,4 +481,4 @@ def score_texts(
     answered = blocks.join(words.hint("shuffle_hash"), "block", "left").join(
         pairs.hint("shuffle_hash"), "block", "left"
     )
-    return answered.select("block", "docs", "words", "pairs").mapInArrow(finish, schema)
+    return map_batches(answered.select("block", "docs", "words", "pairs"), finish, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, column_bytes, worker_memory
+from emberwall.llm.common import Rows, column_bytes, map_batches, worker_memory
 from emberwall.llm.heap_bpe import byte_symbols
 from emberwall.session import store
 
@@ -197,7 +197,7 @@ def pieces_of(
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 # --- the plan -----------------------------------------------------------------
@@ -411,4 +411,4 @@ def pack(
             placed = [pa.array(sequence[at] + rank - first[at]), pa.array(offset[at])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *placed], schema.names)
 
-    return ranked.mapInArrow(run, schema)
+    return map_batches(ranked, run, schema)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwall.llm.common import (
-    Rows, ask_shards, block_rows, column_bytes, pack_blocks, replies, shuffle_parts, struct_of,
+    Rows, ask_shards, block_rows, column_bytes, map_batches, pack_blocks, replies, shuffle_parts, struct_of,
 )
 from emberwall.llm.words import Hasher, mix
 
@@ -449,8 +449,8 @@ def remove_repeats(
                         ["block", "shard", "keys", "again"],
                     )
 
-    messages = texts.mapInArrow(
-        send_phrases, "block long, shard int, keys binary, again binary"
+    messages = map_batches(
+        texts, send_phrases, "block long, shard int, keys binary, again binary"
     )
     phrases = ask_shards(messages, count_phrases, "phrases")
 
@@ -472,8 +472,8 @@ def remove_repeats(
                     )
 
     known = texts.join(phrases.hint("shuffle_hash"), "block", "left")
-    messages = known.mapInArrow(
-        send_entries, "block long, shard int, keys binary, shapes binary, blob binary"
+    messages = map_batches(
+        known, send_entries, "block long, shard int, keys binary, shapes binary, blob binary"
     )
     windows = ask_shards(messages, compare_entries, "windows")
 
@@ -520,4 +520,5 @@ def remove_repeats(
     answered = blocks.join(phrases.hint("shuffle_hash"), "block", "left").join(
         windows.hint("shuffle_hash"), "block", "left"
     )
-    return answered.select("block", "docs", "phrases", "windows").mapInArrow(finish, schema)
+    answered = answered.select("block", "docs", "phrases", "windows")
+    return map_batches(answered, finish, schema)

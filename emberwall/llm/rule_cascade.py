@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwall.llm.common import Rows, column_bytes, with_result
+from emberwall.llm.common import Rows, column_bytes, map_batches, with_result, worker_memory
 from emberwall.llm.words import (
     Hasher, chunks, distinct_per_text, mix, owners, repeated_words,
 )
@@ -147,6 +147,7 @@ def measure_rules(
     share = min(1.0, sample_rows / max(total, 1))
 
     def run(batches: Rows) -> Rows:
+        worker_memory("")
         seconds, rejected, looked = np.zeros(len(rules)), np.zeros(len(rules)), 0
         for batch in batches:
             texts = column_bytes(batch.column(0))
@@ -163,10 +164,10 @@ def measure_rules(
             ["rule", "seconds", "rejected", "looked"],
         )
 
+    sample = docs.select(F.col(f"`{text}`")).sample(False, share, seed)
+    kinds = "rule int, seconds double, rejected double, looked double"
     sums = (
-        docs.select(text)
-        .sample(False, share, seed)
-        .mapInArrow(run, "rule int, seconds double, rejected double, looked double")
+        map_batches(sample, run, kinds)
         .groupBy("rule")
         .agg(F.sum("seconds"), F.sum("rejected"), F.sum("looked"))
     )

@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, column_bytes, free_name, with_result, worker_memory
+from emberwall.llm.common import (
+    Rows, column_bytes, free_name, map_batches, with_result, worker_memory,
+)
 from emberwall.llm.words import LOWER, Hasher, chunks
 
 # The patterns of the base kinds, in the order they are listed.
@@ -208,7 +210,8 @@ def count_steps(docs: DataFrame, text: str) -> DataFrame:
             ["class", "step", "n"],
         )
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(run, "class int, step int, n long")
+    texts = docs.select(F.col(f"`{text}`"))
+    return map_batches(texts, run, "class int, step int, n long")
 
 
 def find_secrets(
@@ -273,4 +276,4 @@ def redact(docs: DataFrame, text: str, spans: str, mark: str = "[SECRET]") -> Da
             columns[at] = pa.array(new, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return map_batches(docs, run, T.StructType(docs.schema.fields))

@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberwall.llm.common import Rows, column_bytes, free_name, shuffle_parts, with_result
+from emberwall.llm.common import (
+    Rows, column_bytes, free_name, map_batches, shuffle_parts, with_result,
+)
 from emberwall.llm.components import components, forest
 from emberwall.llm.words import LOWER
 from emberwall.session import store, store_sized
@@ -202,9 +204,8 @@ def near_links(prints: DataFrame, column: str, most: int = 2) -> DataFrame:
         a, b = links.forest()
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return entries.repartition(shuffle_parts(prints), "slot", "key").mapInArrow(
-        run, "a long, b long"
-    )
+    lists = entries.repartition(shuffle_parts(prints), "slot", "key")
+    return map_batches(lists, run, "a long, b long")
 
 
 def near_duplicates(

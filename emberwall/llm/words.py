@@ -14,7 +14,7 @@ import numpy as np
 LOWER = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 )
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
