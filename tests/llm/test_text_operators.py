@@ -13,7 +13,7 @@ from emberwall.llm.byte_bpe import encode, read_ranks
 from emberwall.llm.heap_bpe import count_merged, count_tokens
 from emberwall.llm.rule_cascade import RULES, judge, measure_rules, order_rules
 from emberwall.llm.secret_scan import (
-    CLASSES, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
+    CLASSES, count_steps, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
 )
 
 PATTERN = public_tokenizers.PATTERN
@@ -201,6 +201,31 @@ def test_thresholds_follow_the_procedure(spark):
     assert 0 < limits[3] < 0.5 and limits[0] == 0 and len(limits) == len(CLASSES)
 
 
+def test_few_random_tokens_are_lost_among_identifiers(spark):
+    import random
+    import string
+
+    rng = random.Random(4)
+    alphabet = string.digits + string.ascii_letters
+    rows = [(i, "id " + "aaAA00" * 4) for i in range(2000)]
+    # as many different tokens that aren't random
+    rows += [(2000 + i, f"id {'aA0' * 6}{i:04d}aA") for i in range(2000)]
+    drawn = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(300)]
+    drawn = [x for x in drawn if infer_encoding(x)]
+    rows += [(5000 + i, f"a {x} b") for i, x in enumerate(drawn)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["secrets"] for r in find_secrets(df, out="secrets").collect()}
+    hit = sum(bool(found[5000 + i]) for i in range(len(drawn)))
+    assert hit >= 0.96 * len(drawn)
+    assert not any(found[i] for i in range(2000))
+
+
+def test_a_token_counts_once(spark):
+    rows = [(i, "id " + "aaAA00" * 4) for i in range(50)] + [(99, "id " + "aA0" * 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sum(r["n"] for r in count_steps(df, "text").collect()) == 2
+
+
 def test_redaction(docs, by_text):
     found = find_secrets(docs, out="secrets")
     spans = by_text(found, "secrets")
