@@ -13,7 +13,7 @@ from emberwall.llm.byte_bpe import encode, read_ranks
 from emberwall.llm.heap_bpe import count_merged, count_tokens
 from emberwall.llm.rule_cascade import RULES, judge, measure_rules, order_rules
 from emberwall.llm.secret_scan import (
-    CLASSES, count_steps, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
+    CLASSES, Scanner, count_steps, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
 )
 
 PATTERN = public_tokenizers.PATTERN
@@ -226,6 +226,51 @@ def test_a_token_counts_once(spark):
     assert sum(r["n"] for r in count_steps(df, "text").collect()) == 2
 
 
+@pytest.mark.parametrize("signs", ["-_", "+/", "", "lower", "upper"])
+def test_drawn_tokens_of_every_alphabet_are_tested(signs):
+    import random
+    import string
+
+    rng = random.Random(9)
+    alphabet = {
+        "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "": string.ascii_letters
+    }.get(signs, string.ascii_letters + string.digits + signs)
+    for length in (20, 40):
+        drawn = ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(300)]
+        texts = [f"a {x} b".encode() for x in drawn]
+        best = [
+            max((p for start, end, _, p in tried if (start, end) == (2, 2 + length)), default=None)
+            for base, tried in Scanner().scan(texts)
+        ]
+        assert None not in best
+        assert sum(p < 0.005 for p in best) < 0.03 * len(drawn)
+
+
+def test_words_and_paths_are_not_random():
+    for word in (
+        "internationalizationandlocalization", "Donaudampfschifffahrtsgesellschaft",
+        "getElementsByTagNameAndAttributeValue", "a/B/c/d/e/f/g/h/i/j/k/l/m/n/o",
+    ):
+        assert randomness(word, infer_encoding(word)) < 0.005
+    assert infer_encoding("-" * 40) is None
+
+
+def test_overlapping_tokens_are_one_span(spark):
+    import random
+    import string
+
+    rng = random.Random(1)
+    one, two, three = (
+        "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in "abc"
+    )
+    text = f"é {one}/{two}_{three} z"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = find_secrets(df, out="secrets").first()["secrets"]
+    assert [(s["kind"], text[s["start"] : s["end"]]) for s in spans] == [
+        ("random", f"{one}/{two}_{three}")
+    ]
+
+
 def test_redaction(docs, by_text):
     found = find_secrets(docs, out="secrets")
     spans = by_text(found, "secrets")
