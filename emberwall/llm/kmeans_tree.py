@@ -5,7 +5,8 @@ to the leaves. All rows are put into leaves. A query goes through the tree best
 first: a priority queue holds nodes by the inner product with their centre, the best
 is taken, an inner node gives its children, a leaf is visited. How many leaves are
 visited is calibrated: on queries from the sample, visits widen until the share of
-their true neighbours found reaches ``recall``.
+their true neighbours found reaches ``recall``. A query visits more than that until
+its leaves hold ``k`` candidates, so it gets fewer only if there are fewer.
 
 The tree is broadcast; it has at most ``most_leaves`` leaves, whatever the data. A
 leaf with many rows is split into bins of bounded size, bins are gathered into shards,
@@ -117,13 +118,17 @@ class Tree:
             todo += [(child, own[near == i]) for i, child in enumerate(below)]
         return out
 
-    def visits(self, scores: np.ndarray, most: int) -> list[int]:
-        """The ``most`` first leaves, best bin first, by the scores of all nodes."""
-        queue, out = [(-float(scores[0]), 0)], []
-        while queue and len(out) < most:
+    def visits(
+        self, scores: np.ndarray, most: int, held: dict[int, int] | None = None, rows: int = 0
+    ) -> list[int]:
+        """The ``most`` first leaves, best bin first, by the scores of all nodes, and
+        further ones until they hold ``rows`` rows, by the rows ``held`` per leaf."""
+        queue, out, met = [(-float(scores[0]), 0)], [], 0
+        while queue and (len(out) < most or met < rows):
             _, node = heapq.heappop(queue)
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
+                met += held.get(self.leaf[node], 0) if held else 0
             for child in self.children[node]:
                 heapq.heappush(queue, (-float(scores[child]), child))
         return out
@@ -259,22 +264,25 @@ def search(
         placed.withColumnRenamed("id", id_column)
         .filter(is_query)
         .groupBy(F.col(id_column).alias("id"))
-        .agg(F.min("v").alias("v"))
+        .agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("own"))
     )
     blocks = max(1, -(-asked_rows.count() // queries_at_once))
     asked_rows = asked_rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    where = spark.sparkContext.broadcast(shards_of)
+    where = spark.sparkContext.broadcast((shards_of, counts))
+
+    asked_names = asked_rows.columns
 
     def travel(batches: Rows) -> Rows:
-        tree, shards = Tree(*shared.value), where.value
+        tree, (shards, held) = Tree(*shared.value), where.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             scores = list_matrix(batch.column(1)) @ tree.centres.T
             owner, shard, visited = [], [], []
-            for i, own in enumerate(scores):
+            for i, (own, copies) in enumerate(zip(scores, batch.column(2).to_pylist())):
                 meets: dict[int, list[int]] = {}
-                for leaf in tree.visits(own, visits):
+                # rows with the query's id are no candidates
+                for leaf in tree.visits(own, visits, held, k + copies):
                     for s in shards.get(leaf, ()):
                         meets.setdefault(s, []).append(leaf)
                 owner += [i] * len(meets)
@@ -284,7 +292,7 @@ def search(
             yield pa.RecordBatch.from_arrays(
                 [c.take(taken) for c in batch.columns]
                 + [pa.array(shard, pa.int32()), pa.array(visited, pa.list_(pa.int64()))],
-                ["id", "v", "block", "shard", "visited"],
+                [*asked_names, "shard", "visited"],
             )
 
     travel_kind = T.StructType(

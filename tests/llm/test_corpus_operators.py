@@ -409,6 +409,22 @@ def test_recall_and_order(vectors):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def test_tiny_far_off_clusters(spark):
+    rng = np.random.default_rng(6)
+    middles = 50 * np.eye(24)
+    sizes = [150] * 12 + [1, 1, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9]
+    rows = []
+    for middle, n in zip(middles, sizes):
+        rows += [middle + 0.3 * rng.standard_normal(24) for _ in range(n)]
+    table = [(i, v.tolist()) for i, v in enumerate(rows)]
+    table += [(1800, rows[1800].tolist())] * 30  # an id whose copies fill a leaf
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    # a low recall calibrates one visit
+    found = search(df, F.lit(True), recall=0.05, leaf_rows=8, shard_rows=500).collect()
+    assert Counter(r["query_id"] for r in found) == {i: 20 for i in range(len(rows))}
+    assert all(r["query_id"] != r["vec_id"] for r in found)
+
+
 def test_few_candidates(spark, vectors):
     df, _ = vectors
     few = df.filter("vec_id < 4")
