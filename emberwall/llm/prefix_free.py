@@ -15,7 +15,9 @@ removed; passages never cross texts and are judged on the input.
    dictionary of the phrase ends and the order of the parse (run, then the phrase
    that follows) give the corpus order of the passages; neighbours in it that agree
    over their whole length repeat.
-4. Passages with no full phrase are grouped by a hash of their own.
+4. Passages with no full phrase are grouped by a hash of their own. So are passages all
+   of whose phrases are in more than ``HOT_BLOCKS`` blocks, as a run that many texts
+   share has about as many surroundings, too many for one shard.
 
 Blocks of texts stay where they are stored. They send phrase hashes, then entries, to
 shards by hash, and get bits back, so what moves is a part of the text, and copies
@@ -46,6 +48,9 @@ from emberwall.llm.words import Hasher, mix
 GRAM = 8
 #: Triggers are places whose hash is below 2^64 times this.
 RATE = 1 / 24
+#: Runs whose phrases are all in more blocks are split by passage. The entries of any
+#: other run come from so many blocks at most, however large the corpus.
+HOT_BLOCKS = 32
 DIGESTS = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 TEXTS = (
     "n_bytes long, n_removed long, n_spans long, "
@@ -133,10 +138,10 @@ class Entries:
     again: np.ndarray  # more than once in the block
 
 
-def segments(p: Parse, repeated: np.ndarray):
+def segments(p: Parse, repeated: np.ndarray, hot: np.ndarray):
     """Stretches [start, end) of window starts that hold the same run, all of whose
-    phrases are repeated, with the first and last trigger of the run; and the starts
-    of windows with no full phrase."""
+    phrases are repeated and not all hot, with the first and last trigger of the run;
+    and the starts of windows with no full phrase or with a run of hot phrases."""
     length, t = p.length, p.triggers
     none = np.zeros(0, np.int64)
     low, high = p.offsets[:-1], p.offsets[1:] - length  # last window start, included
@@ -157,16 +162,20 @@ def segments(p: Parse, repeated: np.ndarray):
     once = np.concatenate(([0], np.cumsum(p.whole & ~repeated)))
     clean = np.zeros(len(starts), bool)
     clean[run] = once[last[run]] == once[first[run]]
-    bare_starts, bare_ends = starts[~run], ends[~run]
+    cold = np.concatenate(([0], np.cumsum(p.whole & ~hot)))
+    alone = ~run
+    alone[run] = clean[run] & (cold[last[run]] == cold[first[run]])
+    clean &= ~alone
+    bare_starts, bare_ends = starts[alone], ends[alone]
     n = bare_ends - bare_starts
     bare = np.repeat(bare_starts - np.cumsum(n) + n, n) + np.arange(n.sum())
     return starts[clean], ends[clean], first[clean], last[clean], bare
 
 
-def entries(p: Parse, repeated: np.ndarray) -> tuple[Entries, tuple]:
+def entries(p: Parse, repeated: np.ndarray, hot: np.ndarray) -> tuple[Entries, tuple]:
     """Different entries of a block in order of their key, and for each stretch or
     bare window where it starts, how many windows it has, and its entry."""
-    start, end, first, last, bare = segments(p, repeated)
+    start, end, first, last, bare = segments(p, repeated, hot)
     t = p.triggers
     run_start, run_end = t[first], t[last] + GRAM
     key = np.concatenate(
@@ -331,10 +340,14 @@ class Block:
             yield s, self.values[part].tobytes(), np.packbits(self.again[part]).tobytes()
 
     def learn_phrases(self, answer) -> None:
-        known = _bits(answer, np.diff(self.bounds))
-        repeated = np.zeros(len(self.parse.phrases), bool)
-        repeated[self.parse.whole] = known[self.at]
-        self.entries, self.stretches = entries(self.parse, repeated)
+        # of each shard first which phrases are repeated, then which are hot
+        sizes = np.diff(self.bounds)
+        known = _bits(answer, 2 * sizes)
+        place = np.arange(len(self.values))
+        repeated, hot = np.zeros((2, len(self.parse.phrases)), bool)
+        repeated[self.parse.whole] = known[place + np.repeat(self.bounds[:-1], sizes)][self.at]
+        hot[self.parse.whole] = known[place + np.repeat(self.bounds[1:], sizes)][self.at]
+        self.entries, self.stretches = entries(self.parse, repeated, hot)
         self.entry_bounds = shard_bounds(self.entries.key, self.shards)
 
     def entry_message(self):
@@ -372,7 +385,8 @@ def _split_bits(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Tab
 
 
 def count_phrases(table: pa.Table) -> pa.Table:
-    """Which phrases of each message occur more than once in all messages."""
+    """Which phrases of each message occur more than once in all messages, then which
+    are in more than ``HOT_BLOCKS`` messages."""
     values = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
     sizes = np.array([len(x) for x in values])
     again = [
@@ -383,7 +397,13 @@ def count_phrases(table: pa.Table) -> pa.Table:
     different, repeated, at = distinct(key)
     in_one = np.zeros(len(different), bool)
     in_one[at[twice]] = True
-    return _split_bits(table, (repeated | in_one)[at], sizes)
+    hot = np.bincount(at, minlength=len(different)) > HOT_BLOCKS
+    starts = np.cumsum(sizes) - sizes
+    both = np.concatenate([(repeated | in_one)[at], hot[at]])
+    order = ranges(
+        np.column_stack([starts, starts + len(at)]).ravel(), np.repeat(sizes, 2)
+    )
+    return _split_bits(table, both[order], 2 * sizes)
 
 
 def compare_entries(table: pa.Table) -> pa.Table:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality
 from emberwall.llm.ngram_trie import Trie, encode_monotone, score_texts, successor
 from emberwall.llm.pattern_packing import fit_nonnegative, make_plan, pack, patterns
-from emberwall.llm.prefix_free import remove_repeats, suffix_ranks
+from emberwall.llm.prefix_free import Block, count_phrases, remove_repeats, suffix_ranks
 from emberwall.llm.simhash_index import fingerprint, free_positions, near_duplicates
+from emberwall.llm.words import Hasher
 
 
 def lower(text):
@@ -206,6 +208,52 @@ def test_repeats_in_plain_alphabets(spark, by_text, alphabet):
     }
 
 
+def hot_texts():
+    """A passage in many texts with different text around it."""
+    rng = np.random.default_rng(12)
+
+    def drawn(n):
+        return "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+
+    passage = drawn(400)
+    found = [(i, drawn(200) + passage + drawn(200)) for i in range(400)]
+    return found + [(1000 + i, x[100:700]) for i, x in found[:20]]
+
+
+def test_surroundings_of_hot_runs_are_spread():
+    texts = [t.encode() for _, t in hot_texts()]
+    hasher, shards = Hasher(), 8
+    blocks = [Block(texts[i : i + 8], hasher, 200, shards) for i in range(0, len(texts), 8)]
+    answers = {}
+    for s in range(shards):
+        sent = [(i, m) for i, b in enumerate(blocks) for m in b.phrase_message() if m[0] == s]
+        table = pa.table({
+            "block": pa.array([i for i, _ in sent], pa.int64()),
+            "shard": pa.array([s] * len(sent), pa.int32()),
+            "keys": pa.array([m[1] for _, m in sent], pa.binary()),
+            "again": pa.array([m[2] for _, m in sent], pa.binary()),
+        })
+        for row in count_phrases(table).to_pylist():
+            answers.setdefault(row["block"], []).append(row)
+    per_run = Counter()
+    for i, block in enumerate(blocks):
+        block.learn_phrases(answers[i])
+        per_run.update(block.entries.key.tolist())
+    # before, some 400 surroundings of a run met in one shard
+    assert max(per_run.values()) <= len(blocks)
+
+
+def test_hot_runs_as_counted(spark, by_text):
+    rows = hot_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = by_text(remove_repeats(df, out="r", block_bytes=5000), "r")
+    expected = plain_repeats(rows, 200)
+    for key, covered in expected.items():
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(int), [0]))))
+        spans = [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]
+        assert found[key]["spans"] == spans
+
+
 def test_suffix_ranks_order_suffixes():
     words = [b"banana", b"ana", b"bandana", b"a"]
     data = np.frombuffer(b"".join(words), np.uint8)
