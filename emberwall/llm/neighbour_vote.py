@@ -44,8 +44,10 @@ def term_counts(texts: list[bytes], hasher: Hasher, texts_at_once: int = 512):
         hashes = part.word_hashes()
         words = (hashes % np.uint64(WORD_TERMS)).astype(np.int64) + PAIR_TERMS
         word_at = part.word_offsets
-        again = repeated_words(hashes, owners(word_at))
-        again_terms = again % REPEAT_TERMS + PAIR_TERMS + WORD_TERMS
+        word_text = owners(word_at)
+        again = repeated_words(hashes, word_text)
+        # dealt by the place in the own text, whatever texts come before it
+        again_terms = (again - word_at[word_text[again]]) % REPEAT_TERMS + PAIR_TERMS + WORD_TERMS
         data = part.data.astype(np.int64)
         pairs = _PAIR[data[:-1] * 256 + data[1:]]
         n = part.last - part.first

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from emberwall.llm import ngram_trie, simhash_index
 from emberwall.llm.components import components, forest
 from emberwall.llm.kmeans_tree import search
-from emberwall.llm.neighbour_vote import score_quality
+from emberwall.llm.neighbour_vote import score_quality, term_counts
 from emberwall.llm.ngram_trie import Trie, encode_monotone, score_texts, successor
 from emberwall.llm.pattern_packing import fit_nonnegative, make_plan, pack, patterns
 from emberwall.llm.prefix_free import Block, count_phrases, remove_repeats, suffix_ranks
@@ -136,6 +136,13 @@ def test_votes_are_learnt_without_held_out_labels(spark, docs, texts, by_text):
     assert all(v["score"] < 0.5 for (i, _), v in found.items() if i in bad - {39})
 
 
+def test_terms_do_not_depend_on_the_texts_before():
+    text = b"a b c d a b c e"
+    for before in (b"x", b"x y z w v", b""):
+        counts = np.concatenate([c for _, c in term_counts([text, before, text], Hasher())])
+        assert (counts[0] == counts[2]).all()
+
+
 def test_no_labels(spark, docs, no_docs, by_text):
     none = spark.createDataFrame([], "doc_id long, quality int")
     found = by_text(score_quality(docs, none, F.lit(True), out="vote"), "vote")
