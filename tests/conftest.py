@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from checks.compare import local_session  # noqa: E402
 from emberwall.session import apply_settings  # noqa: E402
 
-HOST = "gw.example"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -43,8 +41,3 @@ def traffic(spark):
         )
 
     return make
-
-
-def plan_of(df):
-    """The physical plan as text, after adaptive execution where it ran."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import HOST
+from support import HOST
 from pyspark.sql import functions as F
 
 from emberwall import schema

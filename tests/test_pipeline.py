@@ -5,7 +5,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from conftest import HOST
+from support import HOST
 from pyspark.sql import functions as F
 
 from emberwall.operators import tables

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import HOST, plan_of
+from support import HOST, plan_of
 from pyspark.sql import functions as F
 
 from checks import adapter
