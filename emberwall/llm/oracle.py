@@ -96,9 +96,59 @@ SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0
 FROM d JOIN kept ON kept.row = d.row LEFT JOIN sums ON sums.row = d.row
 """
 
+HARD_NEGATIVES = """
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, CAST(vec_id AS BIGINT) AS id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS MATERIALIZED (
+  SELECT a.row, a.id AS anchor_id, c.id, a.label = c.label AS same,
+    CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM r a JOIN r c ON c.row <> a.row WHERE a.id % 50 = 0
+),
+positives AS (
+  SELECT row, anchor_id, id, score, row_number() OVER (PARTITION BY row ORDER BY score DESC, id) AS place
+  FROM scored WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.row, p.place ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.row = p.row AND NOT n.same
+  AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY rank <= 3
+"""
+
+CHAT_FORMATTING = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, n, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v (n, r)
+),
+lengths AS (
+  SELECT *, length(role) + length(text) + length('### : </turn>') + 1
+    + len(regexp_extract_all(role, ': ')) + len(regexp_extract_all(text, '### |</turn>'))
+    + CASE WHEN regexp_matches(role, '\\(\\|: |\z)') OR regexp_matches(text, '\\(\\|### |</turn>|\z)')
+      THEN len(regexp_extract_all(role || text, '\\')) ELSE 0 END AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_suffix_array_dedup": REPEATED_PASSAGES.strip(),
         "op4_quality_rules": QUALITY_RULES.strip(),
+        "op11_hard_negatives": HARD_NEGATIVES.strip(),
+        "op12_chat_formatting": CHAT_FORMATTING.strip(),
     }

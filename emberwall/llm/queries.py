@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberwall.llm.byte_bpe import encode
+from emberwall.llm.chat_format import format_chats, learnt, parse
+from emberwall.llm.hard_negatives import mine
 from emberwall.llm.heap_bpe import count_tokens
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality
@@ -16,6 +18,7 @@ from emberwall.llm.ngram_trie import score_texts
 from emberwall.llm.pattern_packing import pack
 from emberwall.llm.prefix_free import remove_repeats
 from emberwall.llm.rule_cascade import judge
+from emberwall.llm.run_detection import find_runs
 from emberwall.llm.secret_scan import KINDS, find_secrets
 from emberwall.llm.simhash_index import near_duplicates
 
@@ -159,3 +162,100 @@ def op10_simhash_near_dedup(spark, sf_dir):
         F.lpad(F.lower(F.hex("simhash.fingerprint")), 16, "0").alias("fingerprint"),
         F.col("simhash.component_id").alias("component_id"),
     )
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return mine(
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"),
+        vec_id % 50 == 0,
+        label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+        scale=256,
+        positives=5,
+        negatives=3,
+        low=50,
+        high=95,
+    )
+
+
+def _sha256(text):
+    return F.sha2(text.cast("binary"), 256)
+
+
+@query
+def op12_chat_formatting(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    number = F.col("id")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        number.alias("turn"),
+        F.when(number == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    rows = table.select("conv_id", "turn", "role", "text").unionByName(planted)
+    read_back = format_chats(rows).select(
+        "conv_id",
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        parse(F.col("formatted")).alias("turns"),
+        F.array_join(learnt(F.col("formatted"), F.col("loss")), "").alias("said"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read_back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        _sha256(F.array_join(lines, "")).alias("turns_sha256"),
+        F.length("said").cast("long").alias("loss_chars"),
+        _sha256(F.col("said")).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words of some texts, told by the id, made periodic."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.withColumn("g", F.floor(h / 10)).withColumn(
+        "words", F.when((h % 10 == 0) & F.col("text").isNotNull(), words)
+    )
+    n = F.size("words")
+    a, g = F.col("a"), F.col("g")
+    chosen = chosen.withColumn("a", F.when(n > 0, g % n)).withColumn(
+        "p", F.when(n > 0, 1 + F.floor((n - a) / (3 + g % 8)))
+    )
+
+    def moved(word, i):
+        return F.when(i < a, word).otherwise(
+            F.get("words", (a + (i - a) % F.col("p")).cast("int"))
+        )
+
+    planted = F.array_join(F.transform("words", moved), " ")
+    return chosen.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    found = find_runs(
+        planted_periods(documents(spark, sf_dir)), out="found", keep=["doc_id"], least=6, times=4
+    )
+    runs = F.col("found.runs")
+
+    def better(x, y):
+        """Whether run ``x`` has the greater exact exponent; on a tie the first one stays."""
+        return x["length"] * y["period"] > y["length"] * x["period"]
+
+    rest = F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(0)))
+    best = F.aggregate(rest, F.get(runs, F.lit(0)), lambda x, y: F.when(better(y, x), y).otherwise(x))
+    lines = F.transform(
+        runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        _sha256(F.array_join(lines, "")).alias("runs_sha256"),
+        _sha256(F.col("found.collapsed")).alias("collapsed_sha256"),
+    )
