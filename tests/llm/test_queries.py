@@ -24,6 +24,15 @@ COLUMNS = {
     "op8_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_simhash_near_dedup": "doc_id fingerprint component_id",
+    "op11_hard_negatives": (
+        "anchor_id positive_id rank negative_id positive_score negative_score"
+    ),
+    "op12_chat_formatting": (
+        "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars"
+    ),
+    "op13_periodic_runs": (
+        "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"
+    ),
 }
 
 
@@ -38,9 +47,13 @@ def test_columns_and_rows(spark, name):
     df = queries()[name](spark, SMALL)
     assert df.columns == COLUMNS[name].split()
     ids = [r[0] for r in df.select(df.columns[0]).distinct().collect()]
-    if name == "op6_nearest_neighbours":
+    if name in ("op6_nearest_neighbours", "op11_hard_negatives"):
         vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
-        assert len(ids) == vectors.filter("vec_id % 20 = 0").count()
+        every = 20 if name == "op6_nearest_neighbours" else 50
+        assert len(ids) == vectors.filter(f"vec_id % {every} = 0").count()
+    elif name == "op12_chat_formatting":
+        chats = spark.read.parquet(f"{SMALL}/conversations.parquet")
+        assert len(ids) == chats.select("conv_id").distinct().count() + 1 and -7 in ids
     else:
         assert len(ids) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
 
