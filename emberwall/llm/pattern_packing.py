@@ -20,9 +20,11 @@ Null and empty texts have one token, the end; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwall.llm.common import Rows, column_bytes, map_batches, worker_memory
-from emberwall.llm.heap_bpe import byte_symbols
 from emberwall.session import store
 
 CLASSES = 128
@@ -41,82 +42,137 @@ RESULTS = {
     "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "part", "place",
     "_before", "_n",
 }
-#: Words, and runs of letters, a worker remembers before it starts anew.
-REMEMBERED, REMEMBERED_RUNS = 300_000, 200_000
+#: Words, and runs of letters, a worker remembers before the oldest of them go. It holds up
+#: to twice as many: those met since the last time, and those before that.
+REMEMBERED, REMEMBERED_RUNS = 250_000, 250_000
 #: Words split or given to the library at a time.
-AT_ONCE = 20_000
+AT_ONCE = 1000
 
 
 # --- tokens -------------------------------------------------------------------
 
 
+class Generations:
+    """A dictionary that gives up what has not been asked for lately: values met since the
+    young generation was started are in it; when it is full, it takes the place of the old
+    one. What is asked for again moves to the young one, so frequent keys stay."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys: Iterable) -> set:
+        """The keys that are not known; the others are in the young generation then."""
+        unknown = set(keys).difference(self.young)
+        for key in [key for key in unknown if key in self.old]:
+            self.young[key] = self.old[key]
+            unknown.discard(key)
+        return unknown
+
+
+def plain_words():
+    """What matches lines of plain words, and what splits those, in lower case, as the
+    vocabulary's tokenizer does: into runs of letters, single digits and runs of other
+    signs. Plain are printable ASCII and Latin letters that lower case leaves single."""
+    chars = [chr(c) for c in range(0x21, 0x180) if not 0x7F <= c <= 0xA0 and c != 0x130]
+    of: dict[str, str] = defaultdict(str)
+    for c in chars:
+        kind = unicodedata.category(c)[0]
+        of[kind if kind in "LN" else "other"] += re.escape(c)
+    # Endings that the tokenizer takes as one.
+    endings = r"'s|'t|'re|'ve|'m|'ll|'d"
+    split = re.compile(rf"\n|{endings}|[{of['L']}]+|[{of['N']}]|[{of['other']}]+")
+    return re.compile(f"[{''.join(map(re.escape, chars))}\n]+").fullmatch, split.findall
+
+
 class Encoder:
     """Ids of whole texts. The tokenizer drops white space and never joins across
     it, so a text is the sequence of its words. Words are remembered.
 
     A word of Latin letters without marks to compose is the sequence of its runs of
     letters, single digits and runs of other signs, so different runs are given to the
-    library's model; other words are given to the library as they are.
+    library, many at a time; other words are given to it one by one.
     """
 
     def __init__(self, definition: str):
         import os
 
-        import regex
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.symbols = dict(enumerate(byte_symbols()))
-        # How the vocabulary's tokenizer splits words.
-        runs = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-        self.runs_of = regex.compile(rf"\n|{runs}").findall
-        self.plain = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+").fullmatch
+        self.plain, self.runs_of = plain_words()
         # for these definitions only, so that another vocabulary starts anew
         memory = worker_memory(f"packing {zlib.crc32(definition.encode())}")
-        self.words: dict[bytes, bytes] = memory.setdefault("words", {})
-        self.runs: dict[str, bytes] = memory.setdefault("runs", {})
-
-    def _learn_run(self, run: str) -> bytes:
-        shown = run.encode().decode("latin-1").translate(self.symbols)
-        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
-        raw = self.runs[run] = np.array(ids, "<u4").tobytes()
-        return raw
-
-    def learn(self, words: set[bytes]) -> None:
-        plain, other = [], []
-        for word in words:
-            shown = word.decode("utf-8", "replace")
-            if self.plain(shown) and "<|" not in shown:
-                plain.append((word, shown))
-            else:
-                other.append((word, shown))
-        for k in range(0, len(plain), AT_ONCE):
-            group = plain[k : k + AT_ONCE]
-            split = self.runs_of("\n".join([shown for _, shown in group]).lower())
-            if len(self.runs) > REMEMBERED_RUNS:
-                self.runs.clear()
-            parts: list[bytes] = []
-            at = iter(group)
-            for run in [*split, "\n"]:
-                if run == "\n":
-                    self.words[next(at)[0]] = b"".join(parts)
-                    parts = []
-                else:
-                    parts.append(self.runs.get(run) or self._learn_run(run))
+        self.words = memory.setdefault("words", Generations(REMEMBERED))
+        self.runs = memory.setdefault("runs", Generations(REMEMBERED_RUNS))
+        # Whether an id ends a run: the vocabulary marks the last piece of each.
+        if "ends" not in memory:
+            mark = self.tokenizer.model.end_of_word_suffix
+            vocabulary = self.tokenizer.get_vocab()
+            memory["ends"] = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+            memory["ends"][[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
+        self.ends = memory["ends"]
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Give different runs to the library in one text and cut the ids where runs end."""
+        encoded = self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)
+        ids = np.array(encoded[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        young = self.runs.young
+        if len(ends) == len(runs) and ends[-1] == len(ids):
+            raw = ids.tobytes()
+            for run, begin, end in zip(runs, [0, *ends], ends):
+                young[run] = raw[4 * begin : 4 * end]
+            return
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)):
+            young[run] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, words: list[bytes]) -> None:
+        other: list[bytes] = []
+        for k in range(0, len(words), AT_ONCE):
+            group = words[k : k + AT_ONCE]
+            shown = b"\n".join(group).decode("utf-8", "replace")
+            if not self._is_plain(shown):
+                each = [w.decode("utf-8", "replace") for w in group]
+                other += [w for w, x in zip(group, each) if not self._is_plain(x)]
+                kept = [(w, x) for w, x in zip(group, each) if self._is_plain(x)]
+                group, shown = [w for w, _ in kept], "\n".join([x for _, x in kept])
+            if group:
+                self._learn_plain(group, self.runs_of(shown.lower()))
         for k in range(0, len(other), AT_ONCE):
             group = other[k : k + AT_ONCE]
-            shown = [x for _, x in group]
-            encoded = self.tokenizer.encode_batch_fast(shown, add_special_tokens=False)
-            for (word, _), e in zip(group, encoded):
-                self.words[word] = np.array(e.ids, "<u4").tobytes()
+            shown = [x.decode("utf-8", "replace") for x in group]
+            for word, e in zip(group, self.tokenizer.encode_batch_fast(shown, add_special_tokens=False)):
+                self.words.young[word] = np.array(e.ids, "<u4").tobytes()
+
+    def _is_plain(self, shown: str) -> bool:
+        return self.plain(shown) is not None and "<|" not in shown
+
+    def _learn_plain(self, words: list[bytes], split: list[str]) -> None:
+        """``split`` are the runs of the words, with line ends between words."""
+        self.runs.turn()
+        unknown = self.runs.missing(split)
+        unknown.discard("\n")
+        if unknown:
+            self._learn_runs(list(unknown))
+        known, get = self.words.young, self.runs.young.__getitem__
+        split.append("\n")
+        begin = 0
+        for word in words:
+            end = split.index("\n", begin)
+            known[word] = b"".join(map(get, split[begin:end]))
+            begin = end + 1
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        get = self.words.get
+        self.words.turn()
+        get = self.words.young.get
         found, open_, unknown = [], [], set()
         for text in texts:
             words = text.split()
@@ -127,10 +183,11 @@ class Encoder:
                 unknown.update(missing)
                 open_.append((parts, places, missing))
             found.append(parts)
-        self.learn(unknown)
+        if unknown:
+            self.learn(list(self.words.missing(unknown)))
         for parts, places, missing in open_:
             for i, word in zip(places, missing):
-                parts[i] = self.words[word]
+                parts[i] = get(word)
         return [b"".join(parts) for parts in found]
 
 
@@ -373,8 +430,16 @@ def pack(
     pieces = store(
         pieces_of(docs, tokenizer_path, text, keep, limit, end_id, with_ids), "pieces"
     )
+    # How many pieces of a length the parts before hold. Stored, so that Spark knows the
+    # size: a list small enough is broadcast, and the pieces with their ids stay in place.
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    parts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    parts = store(parts.select("part", "length", "_n", before), "parts")
     histogram = np.zeros(limit + 1, np.int64)
-    for length, n in pieces.groupBy("length").count().collect():
+    for length, n in parts.groupBy("length").agg(F.sum("_n")).collect():
         histogram[length] = n
     plan = make_plan(histogram)
 
@@ -384,14 +449,7 @@ def pack(
         (runs[:, 0] * wide + runs[:, 1], runs[:, 1], runs[:, 3], runs[:, 4])
     )
 
-    parts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = parts.select(
-        "part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    ranked = pieces.join(before, ["part", "length"]).withColumn(
+    ranked = pieces.join(parts.drop("_n"), ["part", "length"]).withColumn(
         "place", F.col("place") + F.col("_before")
     )
     columns = [c for c in pieces.columns if c not in ("part", "place")]

@@ -19,7 +19,14 @@ from emberwall.llm.components import components, forest
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality, term_counts
 from emberwall.llm.ngram_trie import Trie, encode_monotone, score_texts, successor
-from emberwall.llm.pattern_packing import fit_nonnegative, make_plan, pack, patterns
+from emberwall.llm.pattern_packing import (
+    Encoder,
+    Generations,
+    fit_nonnegative,
+    make_plan,
+    pack,
+    patterns,
+)
 from emberwall.llm.prefix_free import Block, count_phrases, remove_repeats, suffix_ranks
 from emberwall.llm.simhash_index import fingerprint, free_positions, near_duplicates
 from emberwall.llm.words import Hasher
@@ -382,6 +389,36 @@ def test_packing(docs, texts, limit):
     assert len(places) <= 1.03 * -(-total // limit) + 1
 
 
+def test_frequent_words_stay_when_memory_is_full():
+    memory = Generations(100)
+    learnt = 0
+    for round_ in range(50):
+        memory.turn()
+        unknown = memory.missing({f"new {round_} {k}" for k in range(20)} | {"hot", "warm"})
+        learnt += len(unknown & {"hot", "warm"})
+        memory.young.update(dict.fromkeys(unknown, b"ids"))
+        assert len(memory.young) + len(memory.old) <= 2 * (100 + 22)
+    assert learnt == 2 and not memory.missing({"hot"})
+
+
+def test_words_as_the_library_splits_them():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    rng = np.random.default_rng(6)
+    signs = list("abcXYZ'sStTreé.,!?0123²¼ªµŸÅßİıſ<|>\u0301日e\u0302-_ \t\n\x00\x1c\x85\u00a0")
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 60, 1500)]
+    texts += ["<|endoftext|> a", "i'll don't 'Tis O'REILLY'S", "<|startoftext|>", "ǅ İİ ﬁ K"]
+    for _ in range(2):  # learnt, then remembered
+        for first in range(0, len(texts), 300):
+            group = texts[first : first + 300]
+            found = encoder.encode([t.encode() for t in group])
+            for text, raw in zip(group, found):
+                ids = library.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(raw, "<u4").tolist() == ids, text
+
+
 def test_results_keep_their_names(docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     packed = pack(docs, path)
