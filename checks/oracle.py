@@ -614,3 +614,24 @@ add("load_log", f"""SELECT {LOG}, strftime("timestamp", '%Y-%m-%d') AS "date" FR
 for name in list(_SQL):
     if name.startswith("dash_"):
         _SQL[name.replace("dash_", "sql_dash_")] = _SQL[name]
+
+# --- the store -----------------------------------------------------------------
+
+NO_ID = quoted([c for c in schema.LOG_COLUMNS if c != "id"])
+add("store_rows", f"SELECT {NO_ID}, {quoted(IP4)} FROM enriched")
+add("store_ip6", f"SELECT {quoted(IP6)} FROM v6")
+_SQL["store_tables"] = _SQL["load_tables"]
+add(
+    "store_rejects",
+    """
+SELECT kind, CAST(count(*) FILTER (found) AS BIGINT) AS n FROM (
+  SELECT kind, CASE kind WHEN 'lines' THEN true WHEN 'short' THEN k = 9
+    WHEN 'bad_version' THEN k = 8 WHEN 'bad_time' THEN k = 6 ELSE false END AS found
+  FROM e, (VALUES ('lines'), ('short'), ('bad_version'), ('bad_header'), ('bad_time')) AS v (kind)
+) GROUP BY 1
+""",
+)
+for name in list(_SQL):
+    if name.startswith("dash_"):
+        _SQL[name.replace("dash_", "counted_")] = _SQL[name]
+_SQL["store_dash_country"] = _SQL["dash_country"]

@@ -13,6 +13,7 @@ from checks.adapter import HOST, YEAR
 from emberwall import schema
 from emberwall.operators import describe, detect, enrich, parse, ports, tables
 from emberwall.plans import dashboard, load
+from emberwall.plans.log_store import LogStore
 from emberwall.session import apply_settings, new_path, store
 from emberwall.sources import read_log
 
@@ -47,6 +48,9 @@ AS_DOUBLE = {
     "dash_threat_frequency": ["time"],
     "sql_dash_threat_bandwidth": ["time"],
     "sql_dash_threat_frequency": ["time"],
+    "store_rows": ["data_length"],
+    "counted_threat_bandwidth": ["time"],
+    "counted_threat_frequency": ["time"],
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -669,3 +673,90 @@ def panel_threat_means(spark, sf_dir):
 @query
 def panel_country_totals(spark, sf_dir):
     return dashboard.panel_total(_country(spark, sf_dir))
+
+
+# --- a store that has grown by several loads -----------------------------------
+
+_STORES: dict[tuple[str, str], LogStore] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> LogStore:
+    """A store that took the files of the log in three loads, the second load's files
+    twice, and was compacted before the last. Made once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        geo, text = adapter.geo(spark, sf_dir), adapter.log_text(spark, sf_dir)
+        root, buckets = new_path(spark, "store"), spark.sparkContext.defaultParallelism
+        held = LogStore(spark, root, HOST, YEAR, buckets=buckets, **DETECTION)
+        files = sorted(r.path for r in held.new_files(text).select("path").collect())
+        third = max(1, len(files) // 3)
+        for part in (files[:third], files[third : 2 * third], files[: 2 * third]):
+            if part:
+                held.load(part, geo)
+        held.compact()
+        held.load(text, geo)
+        _STORES[key] = held
+    return _STORES[key]
+
+
+@query
+def store_rows(spark, sf_dir):
+    rows = stored(spark, sf_dir).tables()
+    joined = tables.join_log_ip4(rows["pfsense_log"], rows["ip4"])
+    return joined.drop("id", "segment", "first_day", "last_day")
+
+
+@query
+def store_ip6(spark, sf_dir):
+    return stored(spark, sf_dir).tables()["ip6"].drop("id", "segment", "first_day", "last_day")
+
+
+@query
+def store_tables(spark, sf_dir):
+    """Rows and ids of each table and how many of its ids the log knows."""
+    rows = stored(spark, sf_dir).tables()
+    known = rows["pfsense_log"].select("id", F.lit(1).alias("known"))
+    sizes = [
+        df.select("id").join(known, "id", "left").agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("id").alias("n_ids"),
+            F.count("known").alias("n_in_log"),
+        )
+        for name, df in rows.items()
+    ]
+    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
+
+
+@query
+def store_rejects(spark, sf_dir):
+    """Lines that were not understood, as counted while they were parsed."""
+    loads = stored(spark, sf_dir).state()["loads"].values()
+    kinds = ["lines", "short", "bad_version", "bad_header", "bad_time"]
+    rows = [(kind, load[kind]) for load in loads for kind in kinds]
+    return spark.createDataFrame(rows, "kind string, n long").groupBy("kind").agg(
+        F.sum("n").alias("n")
+    )
+
+
+def _counted(panel: str, run) -> None:
+    def counted(spark, sf_dir):
+        return run(stored(spark, sf_dir).counts())
+
+    counted.__name__ = f"counted_{panel}"
+    query(counted)
+
+
+_HOT_BYTES, _HOT_ROWS = schema.THREAT_COLUMNS
+_counted("threat_bandwidth", lambda c: dashboard.counted_per_year(c, _HOT_BYTES))
+_counted("threat_frequency", lambda c: dashboard.counted_per_year(c, _HOT_ROWS))
+_counted("country", lambda c: dashboard.counted_country(c, TIME_RANGE))
+_counted("bandwidth_over_time", lambda c: dashboard.counted_over_time(c, _HOT_BYTES))
+_counted("frequency_over_time", lambda c: dashboard.counted_over_time(c, _HOT_ROWS))
+_counted("logs_over_time", lambda c: dashboard.counted_over_time(c))
+
+
+@query
+def store_dash_country(spark, sf_dir):
+    rows = stored(spark, sf_dir).tables()
+    return dashboard.dash_country(rows["pfsense_log"], rows["ip4"], TIME_RANGE)

@@ -83,19 +83,10 @@ def flag_frequency(
     return mark_sources(df, hot, "threat_type_frequency")
 
 
-def source_profile(
-    df: DataFrame,
-    window: str = schema.DEFAULT_WINDOW,
-    min_bytes: int = schema.DEFAULT_MIN_BYTES,
-    min_rows: int = schema.DEFAULT_MIN_ROWS,
-) -> DataFrame:
-    """One row per source: ``rows`` of all its log lines, ``hot_bytes`` and
-    ``hot_rows`` for the two detectors.
-
-    One shuffle serves both detectors and the row count: the sums per source and
-    window are combined before they move, so a source with a third of the log
-    sends one partial row per window and task.
-    """
+def window_sums(df: DataFrame, window: str = schema.DEFAULT_WINDOW) -> DataFrame:
+    """``bytes`` and ``rows`` per source and window, by the window's ``start``; rows
+    without a time, which belong to no window, have a null ``start``. Sums of parts of the
+    log can be added up."""
     timed = df.select(
         "source_ip",
         "data_length",
@@ -103,21 +94,49 @@ def source_profile(
         # window() drops rows without a time, but they count as rows of a source
         F.coalesce("timestamp", F.timestamp_seconds(F.lit(0))).alias("timestamp"),
     )
-    per_window = timed.groupBy(
+    sums = timed.groupBy(
         "source_ip", "timed", F.window("timestamp", window).alias("bucket")
     ).agg(
         F.sum("data_length").alias("bytes"),
         F.count(F.lit(1)).alias("rows"),
     )
-    return per_window.groupBy("source_ip").agg(
+    return sums.select(
+        "source_ip", F.when(F.col("timed"), F.col("bucket.start")).alias("start"), "bytes", "rows"
+    )
+
+
+def profile_of(
+    sums: DataFrame,
+    min_bytes: int = schema.DEFAULT_MIN_BYTES,
+    min_rows: int = schema.DEFAULT_MIN_ROWS,
+) -> DataFrame:
+    """``source_profile`` from ``window_sums``."""
+    timed = F.col("start").isNotNull()
+    return sums.groupBy("source_ip").agg(
         F.sum("rows").alias("rows"),
         F.coalesce(
-            F.bool_or(F.col("timed") & (F.col("bytes") >= min_bytes)), F.lit(False)
+            F.bool_or(timed & (F.col("bytes") >= min_bytes)), F.lit(False)
         ).alias("hot_bytes"),
-        F.bool_or(F.col("timed") & (F.col("rows") >= min_rows)).alias("hot_rows"),
+        F.bool_or(timed & (F.col("rows") >= min_rows)).alias("hot_rows"),
     )
 
 
+def source_profile(
+    df: DataFrame,
+    window: str = schema.DEFAULT_WINDOW,
+    min_bytes: int = schema.DEFAULT_MIN_BYTES,
+    min_rows: int = schema.DEFAULT_MIN_ROWS,
+) -> DataFrame:
+    """One row per source: ``rows`` of all its log lines, ``hot_bytes`` and
+    ``hot_rows`` for the two detectors.
+
+    One shuffle serves both detectors and the row count: the sums per source and
+    window are combined before they move, so a source with a third of the log
+    sends one partial row per window and task.
+    """
+    return profile_of(window_sums(df, window), min_bytes, min_rows)
+
+
 def flag_both(
     df: DataFrame,
     window: str = schema.DEFAULT_WINDOW,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from emberwall import schema
@@ -26,11 +26,37 @@ def filter_log_lines(lines: DataFrame, host: str) -> DataFrame:
     return lines.filter(F.col("value").contains(f"{host} filterlog"))
 
 
-def assign_id(df: DataFrame) -> DataFrame:
+#: Bits of an id that number the tasks of a load, and the rows of a task.
+TASK_BITS, ROW_BITS = 20, 28
+
+
+def assign_id(df: DataFrame, load: int | None = None) -> DataFrame:
     """Add a unique id. It depends on the partitions, so store the frame once
     and take every table from the stored copy. Each load counts anew; lines that
-    come with an ``id`` of the caller's keep it."""
-    return df.withColumn("id", F.monotonically_increasing_id())
+    come with an ``id`` of the caller's keep it.
+
+    With the number of a ``load``, below 32,768, ids of different loads differ: the
+    number stands in the upper bits, the task and the row of the task below it. A
+    load of more tasks or rows in a task than their bits can tell apart fails.
+    """
+    serial = F.monotonically_increasing_id()
+    if load is None:
+        return df.withColumn("id", serial)
+    if not 0 <= load < 1 << (63 - TASK_BITS - ROW_BITS):
+        raise ValueError(f"no ids are left for load {load}")
+    task, row = F.shiftright("_serial", 33), F.col("_serial").bitwiseAND(F.lit((1 << 33) - 1))
+    number = (
+        F.lit(load << (TASK_BITS + ROW_BITS)).cast("long")
+        .bitwiseOR(F.shiftleft(task, ROW_BITS))
+        .bitwiseOR(row)
+    )
+    fits = (task < 1 << TASK_BITS) & (row < 1 << ROW_BITS)
+    failed = F.raise_error(F.lit("a load has too many tasks or rows in a task for its ids"))
+    return (
+        df.withColumn("_serial", serial)
+        .withColumn("id", F.when(fits, number).otherwise(failed.cast("long")))
+        .drop("_serial")
+    )
 
 
 def add_ip_version(df: DataFrame) -> DataFrame:
@@ -38,11 +64,11 @@ def add_ip_version(df: DataFrame) -> DataFrame:
     return df.withColumn("ip_version", F.get(fields, F.lit(IP_VERSION_AT)))
 
 
-def extract(lines: DataFrame, host: str) -> DataFrame:
+def extract(lines: DataFrame, host: str, load: int | None = None) -> DataFrame:
     """Filter the lines, give them ids unless they have some, find the IP version."""
     df = filter_log_lines(lines, host)
     if "id" not in df.columns:
-        df = assign_id(df)
+        df = assign_id(df, load)
     return add_ip_version(df)
 
 
@@ -211,11 +237,20 @@ def parse_v6(
 
 
 def parse_versions(
-    df: DataFrame, host: str, year: int = schema.DEFAULT_YEAR
+    df: DataFrame,
+    host: str,
+    year: int = schema.DEFAULT_YEAR,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """Both versions in one pass over the text: the columns of the log, and the
     other columns in one struct per version, null where the line is not of it.
-    ``rows_of`` and ``log_of`` take flat rows out again."""
+    ``rows_of`` and ``log_of`` take flat rows out again.
+
+    Lines that are not understood are counted by ``rejects`` in the same pass, known
+    once the result is written: ``lines`` in all, ``short`` ones without a version,
+    those of a ``bad_version`` (both are in no table), and of the others those with a
+    ``bad_header`` (no rule) and a ``bad_time`` (null).
+    """
     split = _split_lines(df, len(schema.V4_FIELDS), host)
     version = F.get("_fields", F.lit(IP_VERSION_AT)).try_cast("int")
     is_v6 = F.coalesce(version == 6, F.lit(False))
@@ -226,12 +261,25 @@ def parse_versions(
     log = _v4_columns(year, blank_v6_to_null)
     v4 = _v4_columns(year, None)
     v6 = _v6_columns(year, blank_to_null)
-    return split.select(
-        "id",
+    columns = [
+        F.col("id"),
         *[log[name] for name in schema.LOG_COLUMNS[1:]],
         F.when(version == 4, F.struct(*_own(v4, schema.V4_COLUMNS))).alias("v4"),
         F.when(version == 6, F.struct(*_own(v6, schema.V6_COLUMNS))).alias("v6"),
-    )
+    ]
+    if rejects is None:
+        return split.select(*columns)
+    short = F.get("_fields", F.lit(IP_VERSION_AT)).isNull()
+    parsed = split.select(*columns, short.alias("_short"), F.col("_rule").isNull().alias("_headless"))
+    known = F.coalesce(F.col("ip_version").isin(4, 6), F.lit(False))
+    return parsed.observe(
+        rejects,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if("_short").alias("short"),
+        F.count_if(~F.col("_short") & ~known).alias("bad_version"),
+        F.count_if(known & F.col("_headless")).alias("bad_header"),
+        F.count_if(known & F.col("timestamp").isNull()).alias("bad_time"),
+    ).drop("_short", "_headless")
 
 
 def _own(columns: dict[str, Column], names: list[str]) -> list[Column]:

@@ -50,5 +50,7 @@ def with_date(df: DataFrame) -> DataFrame:
 
 
 def join_log_ip4(log: DataFrame, ip4: DataFrame) -> DataFrame:
-    """Both tables joined on the id; a ``date`` both have is taken from the log."""
-    return log.join(ip4.drop("date") if "date" in log.columns else ip4, "id")
+    """Both tables joined on the id; what else both have, the columns they are partitioned
+    by, is taken from the log."""
+    both = [c for c in ("date", "segment", "first_day", "last_day") if c in log.columns]
+    return log.join(ip4.drop(*both), "id")

@@ -1,8 +1,12 @@
 """The queries a dashboard over the loaded tables asks.
 
 Each takes the tables ``pfsense_log`` and ``ip4`` and joins them on the id. Tables
-that ``load`` wrote as ``dashboard`` join without a shuffle, and a time range reads
-the partitions of its days only, of both tables.
+that ``load`` wrote as ``dashboard``, or that a ``LogStore`` holds, join without a
+shuffle, and a time range reads the partitions of its days only, of both tables.
+
+The same panels can be had from counts (``panel_counts``), which a ``LogStore`` keeps up
+to date: one row per second of the log, country and pair of flags, so no row of the log
+is read. The log has no times between seconds, so a time range cuts no count in two.
 """
 
 from __future__ import annotations
@@ -32,11 +36,14 @@ def in_range(timestamp: Column, time_range: TimeRange) -> Column:
 
 
 def _on_days_of(df: DataFrame, time_range: TimeRange) -> DataFrame:
-    """Keep the partitions of the days of the range, if there are any."""
-    if time_range is None or "date" not in df.columns:
+    """Keep the partitions of the days of the range, if there are any: partitions of one
+    ``date``, or of the days from ``first_day`` to ``last_day``."""
+    if time_range is None:
         return df
     first, last = (F.lit(bound).cast("timestamp").cast("date") for bound in time_range)
-    return df.filter(F.col("date").between(first, last))
+    if "first_day" in df.columns:
+        return df.filter((F.col("first_day") <= last) & (F.col("last_day") >= first))
+    return df.filter(F.col("date").between(first, last)) if "date" in df.columns else df
 
 
 def _rows(
@@ -106,6 +113,54 @@ def dash_logs_over_time(
     return _over_time(_rows(log, ip4, time_range))
 
 
+# What the rows of a panel are told apart by.
+COUNT_KEYS = ["time", "source_country_code", "threat_type_bandwith", "threat_type_frequency"]
+COUNTS = {"rows": "*", "sources": "source_ip", "lengths": "data_length"}
+
+
+def panel_counts(log: DataFrame, ip4: DataFrame) -> DataFrame:
+    """Rows, rows with a source and rows with a length per ``COUNT_KEYS``. Counts of parts
+    of the log can be put together; panels add them up, so negative ones correct others."""
+    rows = join_log_ip4(log.select("id", F.col("timestamp").alias("time")), ip4)
+    counts = [F.count(what).alias(name) for name, what in COUNTS.items()]
+    return rows.groupBy(*COUNT_KEYS).agg(*counts)
+
+
+def _summed(counts: DataFrame, keys: list, value: str, name: str) -> DataFrame:
+    """Groups that hold any row, with the sum of a count."""
+    sums = counts.groupBy(*keys).agg(F.sum(value).alias(name), F.sum("rows").alias("_rows"))
+    return sums.filter(F.col("_rows") > 0).drop("_rows")
+
+
+def _counted(counts: DataFrame, time_range: TimeRange) -> DataFrame:
+    return counts.filter(in_range(F.col("time"), time_range))
+
+
+def counted_per_year(counts: DataFrame, flag: str, time_range: TimeRange = None) -> DataFrame:
+    """``dash_threat_bandwidth`` and ``dash_threat_frequency`` from counts, by the name of
+    the flag's column."""
+    hot = _counted(counts, time_range).filter(F.col(flag) == "1")
+    return _summed(hot, [F.year("time").alias("time")], "rows", "count")
+
+
+def counted_country(counts: DataFrame, time_range: TimeRange = None) -> DataFrame:
+    """``dash_country`` from counts."""
+    known = _counted(counts, time_range).filter(F.col("source_country_code").isNotNull())
+    keys = ["time", F.col("source_country_code").alias("metric")]
+    return _summed(known, keys, "lengths", "value")
+
+
+def counted_over_time(
+    counts: DataFrame, flag: str | None = None, time_range: TimeRange = None
+) -> DataFrame:
+    """``dash_logs_over_time`` from counts, or, with the name of a flag's column, the panel
+    over time of rows with that flag, ordered by time."""
+    counts = _counted(counts, time_range)
+    if flag is None:
+        return _summed(counts, ["time"], "sources", "value")
+    return _summed(counts.filter(F.col(flag) == "1"), ["time"], "sources", "value").orderBy("time")
+
+
 def panel_mean(series: DataFrame, value: str = "value") -> DataFrame:
     """The single number a panel shows: the mean of its series."""
     return series.agg(F.avg(value).alias("mean"))

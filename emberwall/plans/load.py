@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from emberwall import schema
@@ -17,14 +17,19 @@ from emberwall.sinks import write_bucketed, write_table
 
 
 def parse_and_store(
-    lines: DataFrame, host: str, year: int = schema.DEFAULT_YEAR
+    lines: DataFrame,
+    host: str,
+    year: int = schema.DEFAULT_YEAR,
+    load: int | None = None,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """The parsed log of both versions, for ``rows_of`` and ``log_of``.
 
     The text is read and split once. Ids are given in that pass and stored with
-    the rows, so all that is taken from the result agrees on them.
+    the rows, so all that is taken from the result agrees on them; ``rejects`` counts
+    lines that are not understood (see ``parse_versions``).
     """
-    return store(parse_versions(extract(lines, host), host, year), "parsed")
+    return store(parse_versions(extract(lines, host, load), host, year, rejects), "parsed")
 
 
 def enrich_v4(

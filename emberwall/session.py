@@ -8,6 +8,8 @@ import uuid
 import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +54,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/emberwall/{uuid.uuid4().hex}/{name}"
 
 
-_SCRATCH: list[list[str]] = []
+class _Kept(NamedTuple):
+    """Something stored on the way: its path, and its table if the catalog has one."""
+
+    path: str
+    table: str | None
+
+
+#: What the innermost ``scratch`` block of this thread has stored.
+_SCRATCH: ContextVar[list[_Kept] | None] = ContextVar("emberwall_scratch", default=None)
+#: What was stored outside such blocks, by application.
+_LEFT: dict[str, list[_Kept]] = {}
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -66,11 +78,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return store_sized(df, name)[0]
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """As ``new_path``, for what a surrounding ``scratch`` block shall remove."""
+def scratch_path(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """As ``new_path``, for what a surrounding ``scratch`` block, or else ``clear``, shall
+    remove; with ``table``, that table of the catalog too."""
     path = new_path(spark, name)
-    if _SCRATCH:
-        _SCRATCH[-1].append(path)
+    block = _SCRATCH.get()
+    if block is None:
+        block = _LEFT.setdefault(spark.sparkContext.applicationId, [])
+    block.append(_Kept(path, table))
     return path
 
 
@@ -90,14 +105,39 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.mkdirs(place)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file; whether there was one."""
+    place, files = _place(spark, path)
+    return files.delete(place, True)
+
+
+def _remove_all(spark: SparkSession, stored: list[_Kept]) -> None:
+    for path, table in stored:
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS `{table}`")
+        remove(spark, path.rsplit("/", 1)[0])
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove what is stored inside when the block ends. Frames that read it are
-    of no use after that, so write results elsewhere first."""
-    _SCRATCH.append([])
+    of no use after that, so write results elsewhere first. Blocks of different threads
+    know nothing of each other."""
+    stored: list[_Kept] = []
+    outer = _SCRATCH.set(stored)
     try:
         yield
     finally:
-        for path in _SCRATCH.pop():
-            place, files = _place(spark, path)
-            files.delete(place.getParent(), True)
+        _SCRATCH.reset(outer)
+        _remove_all(spark, stored)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has stored outside ``scratch`` blocks so far. Frames
+    made before, whose operators stored something, are of no use after that."""
+    _remove_all(spark, _LEFT.pop(spark.sparkContext.applicationId, []))
