@@ -155,11 +155,13 @@ def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> D
 
 
 def write_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Write to the shared folder, bucketed by ``key``, and read back."""
+    """Write to the shared folder, bucketed by ``key``, and read back. The table is in the
+    catalog until a surrounding ``scratch`` block, or ``clear``, removes it."""
     spark = df.sparkSession
     name = f"blocks_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").bucketBy(buckets, key)
-    writer.option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
+    path = scratch_path(spark, name, table=name)
+    writer.option("path", path).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 

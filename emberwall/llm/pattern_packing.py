@@ -32,7 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.llm.common import Rows, column_bytes, map_batches, worker_memory
+from emberwall.llm.common import (
+    Rows,
+    column_bytes,
+    map_batches,
+    shuffle_parts,
+    worker_memory,
+    write_bucketed,
+)
 from emberwall.session import store
 
 CLASSES = 128
@@ -40,7 +47,7 @@ MOST_PARTS = 4
 #: Names of the columns that packing adds, some of them only on the way.
 RESULTS = {
     "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "part", "place",
-    "_before", "_n",
+    "_before", "_n", "_lengths", "_befores", "_lists",
 }
 #: Words, and runs of letters, a worker remembers before the oldest of them go. It holds up
 #: to twice as many: those met since the last time, and those before that.
@@ -425,13 +432,16 @@ def pack(
     like a result), ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
     ``offset`` and, if wanted, ``ids``.
 
-    Tokens are made once; the pieces are stored in the shared folder.
+    Tokens are made once; the pieces are stored in the shared folder, in buckets by the
+    part that made them, and stay there: what they need to know to find their place is
+    sent to them.
     """
-    pieces = store(
-        pieces_of(docs, tokenizer_path, text, keep, limit, end_id, with_ids), "pieces"
+    pieces = write_bucketed(
+        pieces_of(docs, tokenizer_path, text, keep, limit, end_id, with_ids),
+        "part",
+        shuffle_parts(docs),
     )
-    # How many pieces of a length the parts before hold. Stored, so that Spark knows the
-    # size: a list small enough is broadcast, and the pieces with their ids stay in place.
+    # How many pieces of a length the parts before hold.
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -449,8 +459,16 @@ def pack(
         (runs[:, 0] * wide + runs[:, 1], runs[:, 1], runs[:, 3], runs[:, 4])
     )
 
-    ranked = pieces.join(parts.drop("_n"), ["part", "length"]).withColumn(
-        "place", F.col("place") + F.col("_before")
+    # One row a part, with its lengths and what is before them, goes to the pieces' buckets.
+    lists = parts.groupBy("part").agg(
+        F.collect_list(F.struct("length", "_before")).alias("_lists")
+    )
+    lists = lists.select(
+        "part", F.col("_lists.length").alias("_lengths"), F.col("_lists._before").alias("_befores")
+    )
+    its_own = F.get("_befores", (F.array_position("_lengths", F.col("length")) - 1).cast("int"))
+    ranked = pieces.join(lists.hint("shuffle_hash"), "part").withColumn(
+        "place", F.col("place") + its_own
     )
     columns = [c for c in pieces.columns if c not in ("part", "place")]
     ranked = ranked.select(*[F.col(f"`{c}`") for c in columns], "place")
