@@ -221,7 +221,7 @@ class LogStore:
         with scratch(self.spark):
             files = store(self.new_files(paths), "files")
             # Spark's reader takes the names from the driver anyhow
-            new = [r.path for r in files.select("path").toLocalIterator()]
+            new = [r.path for r in files.select("path").collect()]
             if not new:
                 return state
             number = self.manifest.claim()
@@ -378,11 +378,13 @@ class LogStore:
             raise
 
     def clean(self, keep_versions: int = 1, min_age: float = 86_400) -> list[str]:
-        """Remove old versions but the last ``keep_versions``, and all folders that none of
-        these name and whose load or compaction began at least ``min_age`` seconds ago, so
-        that of one that still runs nothing is taken. Returns the folders."""
+        """Forget versions but the last ``keep_versions`` and those younger than ``min_age``
+        seconds; then remove all folders that no version names and whose load or compaction
+        began at least so long ago, so that of one that still runs nothing is taken.
+        Returns the folders."""
         versions = self.manifest.versions()
-        kept = versions[-keep_versions:] if keep_versions else versions[-1:]
+        latest = versions[-max(1, keep_versions) :]
+        kept = [v for v in versions if v in latest or not self.manifest.published_before(v, min_age)]
         segments, loads, sources = set(), set(), set()
         for version in kept:
             state = self.state(version)

@@ -92,9 +92,14 @@ class Manifest:
 
     def claimed_before(self, number: int, seconds: float) -> bool:
         """Whether the number was claimed at least so many seconds ago."""
-        status = self._files.getFileStatus(self._path(f"{self.folder}/claim-{number:08d}"))
-        now = self._jvm.java.lang.System.currentTimeMillis()
-        return now - status.getModificationTime() >= 1000 * seconds
+        return self._age(f"{self.folder}/claim-{number:08d}") >= seconds
+
+    def published_before(self, version: int, seconds: float) -> bool:
+        return self._age(self._file(version)) >= seconds
+
+    def _age(self, name: str) -> float:
+        written = self._files.getFileStatus(self._path(name)).getModificationTime()
+        return (self._jvm.java.lang.System.currentTimeMillis() - written) / 1000
 
     def forget(self, version: int) -> None:
         """Remove an old version."""
