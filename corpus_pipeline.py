@@ -25,7 +25,7 @@ from emberwall.llm.prefix_free import remove_repeats
 from emberwall.llm.rule_cascade import judge
 from emberwall.llm.secret_scan import find_secrets, redact
 from emberwall.llm.simhash_index import near_duplicates
-from emberwall.session import new_path, scratch
+from emberwall.session import new_path, remove, scratch
 
 PASSAGE_BYTES = 200
 SEQUENCE_TOKENS = 4096
@@ -90,12 +90,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences. Each stage is written as Parquet and read again;
-    then what it stored on the way is removed."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The pieces of all sequences. Each stage is written as Parquet and read again; then
+    what it stored on the way is removed, and what the stage before it has written. Only
+    the last stage's folder stays, which the result reads."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_path(spark, name.replace(" ", "_"))
         with scratch(spark):
             stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before.rsplit("/", 1)[0])
+        before = path
     return docs
