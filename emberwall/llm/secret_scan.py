@@ -2,16 +2,18 @@
 
 Patterns find assignments, access keys and long hex runs. Other long tokens,
 runs of the base64 and of the base64url alphabet, are put to a battery of tests of
-the encoding they seem to have: chi-squared for an even use of the alphabet, runs
-about its middle, correlation of neighbours, vowels and consonants by turns and
-letters that are frequent, as in words, and the number of signs such as slashes and dashes. Fisher's method joins the
-p-values. A token is ruled out as random by the Benjamini-Hochberg procedure over all tokens of its
-length class in the whole corpus, each different token counted once; the share of
-secrets among what is ruled out that it allows grows for short tokens, on which the
-tests can tell little. However many tokens are not random, none is ruled out with a
-p-value above ``MISSED``, which loses one or two in a hundred of the random tokens.
-What isn't ruled out is reported as kind ``random``, unless it overlaps a pattern's
-span; where such tokens overlap they are one span.
+the encoding they seem to have, which may be written in groups with dashes between:
+chi-squared for an even use of the alphabet, runs about its middle, correlation of
+neighbours, vowels and consonants by turns, letters that are frequent in languages,
+pairs of letters that are frequent in the words of the corpus, and the number of signs
+such as slashes. Fisher's method joins the p-values. A token is ruled out as random by
+the Benjamini-Hochberg procedure over all tokens of its length class in the whole
+corpus, each different token counted once; the share of secrets among what is ruled out
+that it allows grows for short tokens, on which the tests can tell little. However many
+tokens are not random, none is ruled out with a p-value above ``MISSED``, which loses one
+or two in a hundred of the random tokens. What isn't ruled out is reported as kind
+``random``, unless it overlaps a pattern's span; where such tokens overlap they are one
+span.
 
 Null and empty texts have no spans; an empty table gives an empty result.
 """
@@ -70,7 +72,9 @@ ENCODINGS = (
     ("letters", _UPPER + _LOWER, (_UPPER, _LOWER)),
     ("base64", _UPPER + _LOWER + _DIGITS + "+/", (_UPPER, _LOWER)),
     ("base64url", _UPPER + _LOWER + _DIGITS + "-_", (_UPPER, _LOWER)),
+    ("digits", _DIGITS, (_DIGITS,)),
 )
+_HEX_SIGNS = set(_DIGITS + "abcdefABCDEF")
 _SIGNS = "+/-_"
 _VOWELS = "aeiouy"
 #: How many in a thousand letters of English, German, French and Spanish, about.
@@ -94,6 +98,47 @@ def infer_encoding(token: str) -> str | None:
     return None
 
 
+def reading(token: str) -> tuple[str, str] | None:
+    """The token as it is tested, and the alphabet: hex digits of either case are folded,
+    and where no encoding fits, dashes and underscores are taken as marks between groups,
+    unless all groups are numbers."""
+    if set(token) <= _HEX_SIGNS and set(token) & set(_DIGITS) and token.lower() != token != token.upper():
+        return token.lower(), _DIGITS + "abcdef"
+    alphabet = infer_encoding(token)
+    if alphabet is None:
+        joined = token.replace("-", "").replace("_", "")
+        if joined == token or len(joined) < MIN_TOKEN or joined.isdigit():
+            return None
+        return reading(joined)
+    return token, alphabet
+
+
+class PairTable:
+    """How usual pairs of letters are, from ``counts`` of all of them (26 x 26)."""
+
+    def __init__(self, counts: np.ndarray):
+        smooth = counts + 1.0
+        self.logs = np.log(smooth / smooth.sum())
+        self.mean = float(self.logs.mean())
+        self.spread = float(self.logs.var())
+        # of two pairs that share a letter
+        self.shared = float((self.logs.mean(axis=0) * self.logs.mean(axis=1)).mean() - self.mean**2)
+
+    def tail(self, token: str) -> float | None:
+        """Upper tail of how usual the token's pairs of letters are, or None if there are
+        too few to tell, or the table tells nothing."""
+        place = np.frombuffer(token.lower().encode(), np.uint8).astype(np.int64) - ord("a")
+        letter = (place >= 0) & (place < 26)
+        pair = letter[:-1] & letter[1:]
+        n = int(pair.sum())
+        if n < 8 or self.spread < 1e-3:
+            return None
+        over = float(self.logs[place[:-1][pair], place[1:][pair]].sum()) - n * self.mean
+        chained = int((pair[:-1] & pair[1:]).sum())
+        spread = max(n * self.spread + 2 * chained * self.shared, 1e-9)
+        return 0.5 * math.erfc(over / math.sqrt(2 * spread))
+
+
 def _turns_tail(token: str) -> float | None:
     """Upper tail of how often a vowel and a consonant are neighbours, which in words
     they mostly are, or None if too few letters are neighbours to tell."""
@@ -146,7 +191,7 @@ def _chi2_tail(x: float, freedom: int) -> float:
     return 0.5 * math.erfc(((x / freedom) ** (1 / 3) - 1 + spread) / math.sqrt(2 * spread))
 
 
-def randomness(token: str, alphabet: str) -> float:
+def randomness(token: str, alphabet: str, pairs: PairTable | None = None) -> float:
     """One p-value for "drawn evenly and independently from the alphabet"."""
     place = np.array([alphabet.index(c) for c in token], float)
     n, size = len(place), len(alphabet)
@@ -173,7 +218,8 @@ def randomness(token: str, alphabet: str) -> float:
     p.append(_normal_tail((follow + 1 / n) * math.sqrt(n)))
 
     if size > 16:
-        p += [x for x in (_turns_tail(token), _letters_tail(token)) if x is not None]
+        tails = [_turns_tail(token), _letters_tail(token), pairs and pairs.tail(token)]
+        p += [x for x in tails if x is not None]
     signs = sum(c in _SIGNS for c in token)
     if signs:
         p.append(_signs_tail(n, signs))
@@ -188,7 +234,8 @@ def length_class(length: int) -> int:
 
 
 class Scanner:
-    def __init__(self):
+    def __init__(self, pairs: np.ndarray | None = None):
+        self.pairs = None if pairs is None else PairTable(pairs)
         self.assign = re.compile(ASSIGN, re.I | re.A)
         self.access = re.compile(ACCESS)
         self.hex = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
@@ -234,15 +281,15 @@ class Scanner:
                 spans = {m.span(): m for run in self.tokens for m in run.finditer(text, a, b)}
                 for _, m in sorted(spans.items()):
                     token = m[0].rstrip(b"=").decode()
-                    alphabet = infer_encoding(token)
-                    if alphabet is None:
+                    known = reading(token)
+                    if known is None:
                         continue
                     start = len(text[: m.start()].decode("utf-8", "replace"))
                     end = start + m.end() - m.start()
                     if any(start < e and s < end for _, s, e in base):
                         continue
-                    p = randomness(token, alphabet)
-                    tried.append((start, end, length_class(len(token)), p))
+                    p = randomness(*known, self.pairs)
+                    tried.append((start, end, length_class(len(known[0])), p))
             yield base, tried
 
 
@@ -268,13 +315,41 @@ def excuse_thresholds(counts: DataFrame) -> list[float]:
     return out
 
 
-def count_steps(docs: DataFrame, text: str) -> DataFrame:
+def letter_pairs(docs: DataFrame, text: str) -> np.ndarray:
+    """How often each letter follows each other one in words too short to be tested, over
+    all texts, without case. What comes to the driver is 26 x 26 sums."""
+
+    def run(batches: Rows) -> Rows:
+        worker_memory("")
+        hasher, counts = Hasher(), np.zeros(26 * 26, np.int64)
+        for batch in batches:
+            for part in chunks(column_bytes(batch.column(0)), hasher, lower=True):
+                place = part.data.astype(np.int64) - ord("a")
+                letter = (place >= 0) & (place < 26)
+                long = np.flatnonzero(part.ends - part.starts >= MIN_TOKEN)
+                for a, b in zip(part.starts[long], part.ends[long]):
+                    letter[a:b] = False
+                pair = letter[:-1] & letter[1:]
+                found = place[:-1][pair] * 26 + place[1:][pair]
+                counts += np.bincount(found, minlength=26 * 26)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(26 * 26), pa.int32()), pa.array(counts)], ["pair", "n"]
+        )
+
+    table = np.zeros(26 * 26, np.int64)
+    found = map_batches(docs.select(F.col(f"`{text}`")), run, "pair int, n long")
+    for pair, n in found.groupBy("pair").agg(F.sum("n")).collect():
+        table[pair] = n
+    return table.reshape(26, 26)
+
+
+def count_steps(docs: DataFrame, text: str, pairs: np.ndarray | None = None) -> DataFrame:
     """Different tested tokens per length class and step of the p-value. A token goes
     once per batch, as a hash, and copies are combined before the shuffle."""
 
     def run(batches: Rows) -> Rows:
         worker_memory("")
-        scanner = Scanner()
+        scanner = Scanner(pairs)
         for batch in batches:
             found = {}
             texts = column_bytes(batch.column(0))
@@ -306,15 +381,16 @@ def find_secrets(
     ``out`` of (``kind``, ``start``, ``end``), in code points, by start, then by
     kind as listed in ``KINDS``.
 
-    Texts are scanned twice: the verdict on tested tokens needs the p-values of the
-    whole corpus, and a scan costs less than storing the texts.
+    Texts are scanned three times: p-values need the pairs of letters of the whole corpus,
+    the verdict on tested tokens its p-values, and a scan costs less than storing texts.
     """
     at = docs.columns.index(text)
-    limits = excuse_thresholds(count_steps(docs, text))
+    pairs = letter_pairs(docs, text)
+    limits = excuse_thresholds(count_steps(docs, text, pairs))
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     def prepare():
-        scanner = Scanner()
+        scanner = Scanner(pairs)
 
         def compute(batch: pa.RecordBatch):
             found = []

@@ -1,19 +1,37 @@
 """Operators that look at one text at a time, against plain versions."""
 
 import hashlib
+import itertools
+import math
+import random
 import re
+import string
+import uuid
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from emberwall.llm import secret_scan
 from emberwall.llm.byte_bpe import encode, read_ranks
 from emberwall.llm.heap_bpe import count_merged, count_tokens
 from emberwall.llm.rule_cascade import RULES, judge, measure_rules, order_rules
 from emberwall.llm.secret_scan import (
-    CLASSES, Scanner, count_steps, excuse_thresholds, find_secrets, infer_encoding, randomness, redact,
+    CLASSES,
+    PairTable,
+    Scanner,
+    count_steps,
+    excuse_thresholds,
+    find_secrets,
+    infer_encoding,
+    letter_pairs,
+    randomness,
+    reading,
+    redact,
 )
 
 PATTERN = public_tokenizers.PATTERN
@@ -183,9 +201,6 @@ def test_random_token_is_found_and_even_pattern_is_not(docs, by_text):
 
 
 def test_battery():
-    import random
-    import string
-
     rng = random.Random(2)
     alphabet = string.digits + string.ascii_letters
     drawn = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(400)]
@@ -202,9 +217,6 @@ def test_thresholds_follow_the_procedure(spark):
 
 
 def test_few_random_tokens_are_lost_among_identifiers(spark):
-    import random
-    import string
-
     rng = random.Random(4)
     alphabet = string.digits + string.ascii_letters
     rows = [(i, "id " + "aaAA00" * 4) for i in range(2000)]
@@ -228,9 +240,6 @@ def test_a_token_counts_once(spark):
 
 @pytest.mark.parametrize("signs", ["-_", "+/", "", "lower", "upper"])
 def test_drawn_tokens_of_every_alphabet_are_tested(signs):
-    import random
-    import string
-
     rng = random.Random(9)
     alphabet = {
         "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "": string.ascii_letters
@@ -246,6 +255,149 @@ def test_drawn_tokens_of_every_alphabet_are_tested(signs):
         assert sum(p < 0.005 for p in best) < 0.03 * len(drawn)
 
 
+def plain_battery(token, alphabet, table=None):
+    """The p-values of the tests one by one, and their union, by the formulas."""
+    places = [alphabet.index(c) for c in token]
+    n, size = len(places), len(alphabet)
+    tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    bins = max(2, min(size, n // 5))
+    expected = Counter(k * bins // size for k in range(size))
+    seen = Counter(k * bins // size for k in places)
+    chi = sum((seen[b] - n * e / size) ** 2 / (n * e / size) for b, e in expected.items())
+    free = bins - 1
+    cube = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    p = [tail(cube) if chi > 0 else 1.0]
+    above = [k >= size / 2 for k in places]
+    high = sum(above)
+    if 0 < high < n:
+        runs = len(list(itertools.groupby(above)))
+        mean = 1 + 2 * high * (n - high) / n
+        p.append(2 * tail(abs(runs - mean) / math.sqrt((mean - 1) * (mean - 2) / (n - 1))))
+    else:
+        p.append(0.5 ** (n - 1))
+    middle = sum(places) / n
+    off = [k - middle for k in places]
+    power = sum(x * x for x in off)
+    follow = sum(x * y for x, y in zip(off, off[1:])) / power if power else 1.0
+    p.append(2 * tail(abs(follow + 1 / n) * math.sqrt(n)))
+    if size > 16:
+        low = token.lower()
+        pairs = [(a, b) for a, b in zip(low, low[1:]) if a.islower() and b.islower()]
+        chained = sum(low[i : i + 3].islower() and low[i : i + 3].isalpha() for i in range(n - 2))
+        if len(pairs) >= 8:
+            vowel = 6 / 26
+            mean = 2 * vowel * (1 - vowel)
+            spread = len(pairs) * mean * (1 - mean) + 2 * chained * (mean / 2 - mean**2)
+            turns = sum((a in "aeiouy") != (b in "aeiouy") for a, b in pairs)
+            p.append(tail((turns - 0.5 - len(pairs) * mean) / math.sqrt(spread)))
+        letters = [secret_scan._LOGS[c] for c in low if c.islower()]
+        if len(letters) >= 8:
+            logs = list(secret_scan._LOGS.values())
+            mean = sum(logs) / 26
+            spread = sum((x - mean) ** 2 for x in logs) / 26
+            p.append(tail((sum(letters) - len(letters) * mean) / math.sqrt(len(letters) * spread)))
+        if table is not None and len(pairs) >= 8:
+            total = sum(table.values()) + 676
+            letters = "abcdefghijklmnopqrstuvwxyz"
+            log = {a + b: math.log((table[a + b] + 1) / total) for a in letters for b in letters}
+            mean = sum(log.values()) / 676
+            spread = sum((x - mean) ** 2 for x in log.values()) / 676
+            shared = sum(
+                (log[a + b] - mean) * (log[b + c] - mean) for a in letters for b in letters for c in letters
+            ) / 26**3
+            over = sum(log[a + b] for a, b in pairs) - len(pairs) * mean
+            p.append(tail(over / math.sqrt(len(pairs) * spread + 2 * chained * shared)))
+    signs = sum(c in "+/-_" for c in token)
+    if signs:
+        chances = [math.comb(n, k) * (1 / 32) ** k * (31 / 32) ** (n - k) for k in range(n + 1)]
+        p.append(sum(chances[signs:]) / (1 - chances[0]))
+    half = -sum(math.log(x) for x in p)
+    return min(1.0, math.exp(-half) * sum(half**k / math.factorial(k) for k in range(len(p))))
+
+
+def test_battery_as_by_its_formulas():
+    rng = random.Random(12)
+    table = Counter()
+    for word in ("the", "and", "ing", "chen", "ment", "de", "que", "os", "schaft", "tion") * 300:
+        table.update(a + b for a, b in zip(word, word[1:]))
+    letters = string.ascii_lowercase
+    counts = np.array([[table[a + b] for b in letters] for a in letters])
+    pairs = PairTable(counts)
+    tested = 0
+    for name, alphabet, _ in secret_scan.ENCODINGS:
+        for length in (20, 27, 40, 90):
+            tokens = ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(8)]
+            tokens += [(alphabet * 9)[:length], "".join(sorted(tokens[0])), tokens[1][:4] * 25]
+            for token in tokens:
+                for own, held in ((None, None), (pairs, table)):
+                    expected = plain_battery(token, alphabet, held)
+                    assert randomness(token, alphabet, own) == pytest.approx(expected, rel=1e-6, abs=1e-12)
+                    tested += 1
+    assert tested > 800
+
+
+def test_pairs_of_letters_are_counted_over_all_texts(spark):
+    rows = [(1, "The thE th. t-h"), (2, None), (3, "th" * 10 + " hé tH"), (4, "")] + [(9, "th")] * 3
+    counts = letter_pairs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "text")
+    t, h, e = (ord(c) - 97 for c in "the")
+    assert counts[t, h] == 7 and counts[h, e] == 2 and counts.sum() == 9
+
+
+#: How secrets of each kind are drawn.
+DRAWN = {
+    "uuid": lambda r: str(uuid.UUID(int=r.getrandbits(128), version=4)),
+    "upper uuid": lambda r: str(uuid.UUID(int=r.getrandbits(128), version=4)).upper(),
+    "licence key": lambda r: "-".join(draw(r, UPPER + string.digits, 5) for _ in range(5)),
+    "lower groups": lambda r: "_".join(draw(r, LOWER + string.digits, 6) for _ in range(5)),
+    "hex of two cases": lambda r: draw(r, "0123456789abcdefABCDEF", 40),
+    "short hex": lambda r: draw(r, "0123456789abcdef", 22),
+    "digits": lambda r: draw(r, string.digits, r.randint(20, 23)),
+    "base64": lambda r: draw(r, UPPER + LOWER + string.digits + "+/", 40),
+    "base64url": lambda r: draw(r, UPPER + LOWER + string.digits + "-_", 40),
+    "base62": lambda r: draw(r, UPPER + LOWER + string.digits, 20),
+    "base32": lambda r: draw(r, UPPER + "234567", 32),
+    "letters": lambda r: draw(r, UPPER + LOWER, 24),
+    "ghp": lambda r: "ghp_" + draw(r, UPPER + LOWER + string.digits, 36),
+    "sk": lambda r: "sk-" + draw(r, UPPER + LOWER + string.digits, 48),
+}
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
+
+
+def draw(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def test_secrets_among_documents(spark):
+    """Drawn secrets of every kind are found among real documents, whose own long words
+    are left alone."""
+    rng = random.Random(21)
+    rows = [(k, f"see {kind(rng)} there") for k, kind in DRAWN.items() for _ in range(120)]
+    own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        F.lit(None).cast("string").alias("kind"), "text"
+    )
+    docs = own.unionByName(spark.createDataFrame(rows, "kind string, text string").repartition(3))
+    found = find_secrets(docs, out="secrets").withColumn(
+        "random", F.exists("secrets", lambda s: s["kind"] == "random")
+    ).cache()
+    assert found.filter("kind IS NULL AND random").count() == 0
+    shares = dict(
+        found.filter("kind IS NOT NULL").groupBy("kind")
+        .agg(F.avg((F.size("secrets") > 0).cast("int"))).collect()
+    )
+    found.unpersist()
+    assert set(shares) == set(DRAWN) and min(shares.values()) >= 0.95, shares
+
+
+def test_how_tokens_are_read():
+    hexes = "0123456789abcdef"
+    assert reading("aB3" * 10) == ("ab3" * 10, hexes)
+    assert reading("550e8400-e29b-41d4-a716-446655440000")[0] == "550e8400e29b41d4a716446655440000"
+    assert reading("2024-01-02-03-04-05-06-07") is None and reading("-" * 30) is None
+    assert reading("a-b-c-d-e") is None and reading("12345678901234567890")[1] == string.digits
+    mixed = "aZ3_" * 6
+    assert reading(mixed)[0] == mixed  # base64url, whose signs are signs
+
+
 def test_words_and_paths_are_not_random():
     for word in (
         "internationalizationandlocalization", "Donaudampfschifffahrtsgesellschaft",
@@ -256,9 +408,6 @@ def test_words_and_paths_are_not_random():
 
 
 def test_overlapping_tokens_are_one_span(spark):
-    import random
-    import string
-
     rng = random.Random(1)
     one, two, three = (
         "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in "abc"
