@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from emberwall.llm import ngram_trie, simhash_index
+from emberwall.llm import neighbour_vote, ngram_trie, simhash_index
 from emberwall.llm.components import components, forest
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality, term_counts
@@ -157,6 +158,62 @@ def test_no_labels(spark, docs, no_docs, by_text):
     assert score_quality(no_docs, none, F.lit(True), out="vote").count() == 0
 
 
+def plain_terms(text):
+    """Counts per term, one byte and one word after the other."""
+    raw = (text or "").encode()
+    counts = np.zeros(neighbour_vote.TERMS)
+    for a, b in zip(raw, raw[1:]):
+        counts[neighbour_vote._PAIR[a * 256 + b]] += 1
+    hasher, words = Hasher(), re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    for word in words:
+        sums = hasher.sums(np.frombuffer(word, np.uint8))
+        hashed = int(hasher.spans(sums, np.array([0]), np.array([len(word)]))[0])
+        counts[neighbour_vote.PAIR_TERMS + hashed % neighbour_vote.WORD_TERMS] += 1
+    runs = Counter(zip(words, words[1:], words[2:]))
+    marked = {i + k for i, run in enumerate(zip(words, words[1:], words[2:])) if runs[run] > 1 for k in range(3)}
+    for place in marked:
+        at = neighbour_vote.PAIR_TERMS + neighbour_vote.WORD_TERMS + place % neighbour_vote.REPEAT_TERMS
+        counts[at] += 1
+    return counts
+
+
+@pytest.mark.parametrize("k", [1, 4, 100])
+def test_votes_as_by_all_cosines(spark, k):
+    """Fewer labelled rows than dimensions: their whole space is kept, so the vectors are
+    known without any random block, and each cosine can be compared one by one."""
+    rng = random.Random(31)
+    pool = [f"w{n}{'aeiou'[n % 5]}n" for n in range(300)]
+    texts = {}
+    for i in range(70):
+        words = [rng.choice(pool[:200] if i % 3 else pool[100:]) for _ in range(rng.randint(15, 90))]
+        texts[i] = " ".join(words + words[:7] * (i % 4))
+    texts |= {70: "", 71: None, 72: "é 日本", 73: texts[4]}
+    label = {i: int(i % 3 == 0) for i in range(0, 50)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([*label.items(), (None, 1), (500, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r.vote for r in score_quality(df, labels, F.col("doc_id") % 5 != 1, k=k).collect()}
+
+    counts = {i: plain_terms(t) for i, t in texts.items()}
+    seen = sum((c > 0).astype(int) for c in counts.values())
+    rarity = np.log((1 + len(texts)) / (1 + seen)) + 1
+    weighed = {i: np.log1p(c) * rarity for i, c in counts.items()}
+    weighed = {i: w / max(np.linalg.norm(w), 1e-12) for i, w in weighed.items()}
+    learnt = [i for i in label if i % 5 != 1]
+    space, _ = np.linalg.qr(np.array([weighed[i] for i in learnt]).T)
+    vectors = {i: w @ space for i, w in weighed.items()}
+    for i, v in vectors.items():
+        cosines = []
+        for j in learnt:
+            lengths = np.linalg.norm(v) * np.linalg.norm(vectors[j])
+            cosines.append((float(v @ vectors[j]) / lengths if lengths > 1e-9 else 0.0, label[j]))
+        near = sorted(cosines, reverse=True)[:k]
+        weights = [max(c, 0.0) ** 4 for c, _ in near]
+        share = sum(label[j] for j in learnt) / len(learnt)
+        score = sum(w * y for w, (_, y) in zip(weights, near)) / sum(weights) if sum(weights) else share
+        assert got[i].score == pytest.approx(score, abs=2e-3), i
+        assert got[i].neighbours == min(k, len(learnt))
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
