@@ -96,8 +96,12 @@ def store_sized(
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path, compression=compression)
+    return spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
     place, files = _place(spark, path)
-    return spark.read.schema(df.schema).parquet(path), files.getContentSummary(place).getLength()
+    return files.getContentSummary(place).getLength()
 
 
 def _place(spark: SparkSession, path: str):
