@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberwall.session import scratch_path, store
+from emberwall.session import folder_bytes, scratch_path, store
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -106,10 +106,19 @@ def with_result(
     return map_batches(docs, run, schema)
 
 
-def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> DataFrame:
+#: Stored bytes of blocks for which there is a shard.
+SHARD_BYTES = 16 << 20
+
+
+def pack_blocks(
+    docs: DataFrame, text: str, block_bytes: int, shard_bytes: int = SHARD_BYTES
+) -> tuple[DataFrame, int]:
     """Store ``docs`` in the shared folder as blocks: rows (``block``, ``docs``),
     where ``docs`` is an array of the rows of the input, in all about
-    ``block_bytes`` of text (one longer text makes a block of its own).
+    ``block_bytes`` of text (one longer text makes a block of its own). Also returns how
+    many shards the blocks' messages should go to: one for every ``shard_bytes`` that the
+    blocks take, so that what a shard holds doesn't grow with the data, but at least as
+    many as a shuffle has parts.
 
     Blocks get their numbers once, as they are written, so later jobs agree on
     them even if tasks run again. The table is bucketed by ``block``: what other
@@ -151,18 +160,26 @@ def pack_blocks(docs: DataFrame, text: str, block_bytes: int, buckets: int) -> D
         if size:
             yield block()
 
-    return write_bucketed(map_batches(docs, run, kind), "block", buckets)
+    parts = shuffle_parts(docs)
+    blocks, size = store_bucketed(map_batches(docs, run, kind), "block", parts)
+    return blocks, max(parts, -(-size // shard_bytes))
 
 
 def write_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Write to the shared folder, bucketed by ``key``, and read back. The table is in the
+    """As ``store_bucketed``, without the size."""
+    return store_bucketed(df, key, buckets)[0]
+
+
+def store_bucketed(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, int]:
+    """Write to the shared folder, bucketed by ``key``; what reads it, and its size in
+    bytes. The table is in the
     catalog until a surrounding ``scratch`` block, or ``clear``, removes it."""
     spark = df.sparkSession
     name = f"blocks_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").bucketBy(buckets, key)
     path = scratch_path(spark, name, table=name)
     writer.option("path", path).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), folder_bytes(spark, path)
 
 
 def block_rows(packed: pa.Array) -> pa.RecordBatch:

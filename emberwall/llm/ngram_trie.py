@@ -5,8 +5,9 @@ unigram with one added, and ``v`` the word before or the beginning of the text;
 of a text is a word. What is seen in learning is in the trie: a level of contexts and
 a level of the words that follow each, numbered by the vocabulary of the shard. These
 are monotone sequences in Elias-Fano form, as are the pointers between them; the word
-level is made monotone by counting on from context to context, and a word is found by
-successor search relative to its context.
+level is made monotone by counting on from context to context. The pointers of a context
+tell which part of the level holds its words; a word is found by successor search in that
+part, relative to its context.
 Probabilities are kept as one byte, in steps of 1/16 of a power of ten. The levels lie
 one behind another in one memory map.
 
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from emberwall.llm.common import (
     Rows, ask_shards, block_rows, column_bytes, free_name, map_batches, pack_blocks, replies,
-    shuffle_parts, struct_of,
+    struct_of,
 )
 from emberwall.llm.words import Hasher, chunks, mix
 
@@ -86,30 +87,58 @@ def decode_part(level: dict[str, np.ndarray], sample: int) -> np.ndarray:
     ones = np.flatnonzero(raw[begin % 8 :])[:count] + begin
     high = (ones - np.arange(start, start + count)).astype(np.uint64)
     low = np.zeros((count, 8), np.uint8)
-    low[:, :width] = level["low"][start * width : (start + count) * width].reshape(-1, width)
+    low[:, :width] = level["low"][start * width : (start + count) * width].reshape(count, width)
     low = low.view(np.uint64).ravel()
     return low if width == 8 else (high << np.uint64(8 * width)) | low
 
 
-def successor(level: dict[str, np.ndarray], targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def successor(
+    level: dict[str, np.ndarray],
+    targets: np.ndarray,
+    begin: np.ndarray | None = None,
+    end: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """For targets in order: the number of the first element not below each, and
-    whether it equals the target. Only parts that hold a target are decoded."""
+    whether it equals the target; with ``begin`` and ``end``, of the elements from the one
+    up to the other, for each target. Only parts that hold a target are decoded."""
     first = level["first"]
     n = int(level["shape"][0])
-    at = np.full(len(targets), n, np.int64)
+    at = np.full(len(targets), n, np.int64) if end is None else end.astype(np.int64)
     equal = np.zeros(len(targets), bool)
     if not n or not len(targets):
         return at, equal
     # a target equal to the first element of a part may begin in the part before
     part = np.maximum(np.searchsorted(first, targets, "right") - 1, 0)
+    asked = np.arange(len(targets))
+    if begin is not None:
+        part = np.clip(part, begin // SAMPLE, np.maximum(end - 1, begin) // SAMPLE)
+        asked = np.flatnonzero(begin < end)
+    edges = np.flatnonzero(np.diff(part[asked], prepend=-1, append=-1))
+    for a, b in zip(edges.tolist(), edges[1:].tolist()):
+        own = asked[a:b]
+        start = int(part[own[0]]) * SAMPLE
+        values = decode_part(level, int(part[own[0]]))
+        found = np.searchsorted(values, targets[own])
+        last = len(values)
+        if begin is not None:
+            found = np.maximum(found, begin[own] - start)
+            last = np.minimum(last, end[own] - start)
+        at[own] = found + start
+        inside = found < last
+        held = own[inside]
+        equal[held] = values[found[inside]] == targets[held]
+    return at, equal
+
+
+def access(level: dict[str, np.ndarray], places: np.ndarray) -> np.ndarray:
+    """The elements at places in order."""
+    out = np.zeros(len(places), np.int64)
+    part = places // SAMPLE
     edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
     for a, b in zip(edges.tolist(), edges[1:].tolist()):
         values = decode_part(level, int(part[a]))
-        found = np.searchsorted(values, targets[a:b])
-        at[a:b] = found + part[a] * SAMPLE
-        inside = found < len(values)
-        equal[a:b][inside] = values[found[inside]] == targets[a:b][inside]
-    return at, equal
+        out[a:b] = values[places[a:b] - part[a] * SAMPLE]
+    return out
 
 
 class Trie:
@@ -151,8 +180,17 @@ class Trie:
         own, in_trie = successor(self.levels["vocabulary"], asked_words.astype(np.uint64))
         out = np.full(len(word), UNSEEN, np.uint8)
         asked = np.flatnonzero(known[of] & in_trie[place])
+        # where the words of each known context begin and end
+        begin, end = np.zeros((2, len(context)), np.int64)
+        begin[known] = access(self.levels["pointers"], number[known])
+        end[known] = access(self.levels["pointers"], number[known] + 1)
         base = number[of[asked]].astype(np.uint64) * np.uint64(self.different)
-        at, equal = successor(self.levels["words"], base + own[place[asked]].astype(np.uint64))
+        at, equal = successor(
+            self.levels["words"],
+            base + own[place[asked]].astype(np.uint64),
+            begin[of[asked]],
+            end[of[asked]],
+        )
         out[asked[equal]] = self.codes[at[equal]]
         return out
 
@@ -380,7 +418,6 @@ def score_texts(
     in about 60 times as much memory.
     """
     spark = docs.sparkSession
-    shards = shuffle_parts(docs)
     keep = list(docs.columns) if keep is None else list(keep)
     learn = free_name(docs, "learn")
     rows = docs.select(
@@ -388,7 +425,7 @@ def score_texts(
         F.coalesce(learn_from, F.lit(False)).alias(learn),
     )
     kept = rows.columns
-    blocks = pack_blocks(rows, text, block_bytes, shards)
+    blocks, shards = pack_blocks(rows, text, block_bytes)
     texts = blocks.select(
         "block", F.col(f"docs.`{text}`").alias("texts"), F.col(f"docs.`{learn}`").alias("learn")
     )

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberwall.llm.common import (
-    Rows, ask_shards, block_rows, column_bytes, map_batches, pack_blocks, replies, shuffle_parts, struct_of,
+    Rows, ask_shards, block_rows, column_bytes, map_batches, pack_blocks, replies, struct_of,
 )
 from emberwall.llm.words import Hasher, mix
 
@@ -444,11 +444,10 @@ def remove_repeats(
     """
     if not GRAM * 2 < length < 256:
         raise ValueError("length must be over 16 and under 256")
-    shards = shuffle_parts(docs)
     keep = list(docs.columns) if keep is None else list(keep)
     needed = [c for c in docs.columns if c in keep or c == text]
     docs = docs.select(*[F.col(f"`{c}`") for c in needed])
-    blocks = pack_blocks(docs, text, block_bytes, shards)
+    blocks, shards = pack_blocks(docs, text, block_bytes)
     texts = blocks.select("block", F.col(f"docs.`{text}`").alias("texts"))
 
     def built(row_texts: pa.Array, hasher: Hasher) -> Block:

@@ -15,7 +15,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from emberwall.llm import neighbour_vote, ngram_trie, simhash_index
+from emberwall.llm import common, neighbour_vote, ngram_trie, simhash_index
+from emberwall.llm.common import pack_blocks
 from emberwall.llm.components import components, forest
 from emberwall.llm.kmeans_tree import search
 from emberwall.llm.neighbour_vote import score_quality, term_counts
@@ -126,6 +127,47 @@ def test_trie_is_compact_and_finds_what_is_in_it():
     assert trie.bytes < 0.7 * (word.nbytes + context.nbytes + start.nbytes + len(word))
 
 
+def test_pointers_bound_the_search():
+    """Words are looked for where the pointers say, and nowhere else."""
+    rng = np.random.default_rng(5)
+    context = np.unique(rng.integers(0, 1 << 63, 2000)).astype(np.uint64)
+    n = rng.integers(1, 60, len(context))
+    start = np.concatenate(([0], np.cumsum(n)))
+    word = np.concatenate([np.sort(rng.choice(5000, k, False)) for k in n]).astype(np.uint32)
+    code = rng.integers(0, 255, len(word))
+    of = np.repeat(np.arange(len(context)), n)
+    trie = Trie(context, start, word, code)
+    assert (ngram_trie.access(trie.levels["pointers"], np.arange(len(start))) == start).all()
+    assert (trie.find(context, of, word) == code).all()
+    # the last word of each context left out by its pointers isn't found any more
+    for cut, lost in ((np.append(start[:-1], start[-1] - 1), [len(word) - 1]), (start * 0, of >= 0)):
+        trie.levels["pointers"] = encode_monotone(cut.astype(np.uint64), len(word) + 1)
+        found = trie.find(context, of, word)
+        assert (found[lost] == ngram_trie.UNSEEN).all()
+        rest = np.ones(len(word), bool)
+        rest[lost] = False
+        assert (found[rest] == code[rest]).all()
+
+
+def test_shards_follow_the_stored_bytes(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.random()}" for _ in range(400))) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = [pack_blocks(part, "text", 20_000, 16 << 10)[1] for part in (df, df.union(df))]
+    assert parts < found[0] and 1.6 < found[1] / found[0] < 2.4
+    assert pack_blocks(df, "text", 20_000)[1] == parts
+    whole = score_texts(df, F.lit(True), out="lm", block_bytes=20_000).collect()
+    before, common.SHARD_BYTES = common.SHARD_BYTES, 16 << 10
+    common.pack_blocks.__defaults__ = (16 << 10,)
+    try:
+        more = score_texts(df, F.lit(True), out="lm", block_bytes=20_000).collect()
+    finally:
+        common.SHARD_BYTES = before
+        common.pack_blocks.__defaults__ = (before,)
+    assert {r.doc_id: r.lm for r in whole} == {r.doc_id: r.lm for r in more}
+
+
 # --- quality classifier ---------------------------------------------------------------
 
 
