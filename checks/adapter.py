@@ -265,6 +265,34 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_metadata(spark, _file(spark, sf_dir, "metadata", _metadata))
 
 
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of 256, 16 and 4 addresses inside each other, some given twice, by an
+    address within them, and some that are none."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    named = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    cidr = {
+        "/24": nation.select(address(F.col("n_nationkey") * 256 + 7).alias("ip"), "n_name"),
+        "/28": named.select(address(F.col("s_suppkey") * 3).alias("ip"), "n_name"),
+        "/30": named.select(address(F.col("s_suppkey") * 7).alias("ip"), "n_name"),
+        "/33": named.select(address(F.col("s_suppkey")).alias("ip"), "n_name"),
+        "": named.select(address(F.col("s_suppkey")).alias("ip"), "n_name"),
+    }
+    parts = [
+        df.select(F.concat("ip", F.lit(length)).alias("cidr"), F.col("n_name").alias("country_code"))
+        for length, df in cidr.items()
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def address_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _file(spark, sf_dir, "blocks", _blocks)
+    return spark.read.csv(path, header=True, schema="cidr string, country_code string")
+
+
 def port_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_port_names(spark, _file(spark, sf_dir, "port_names", _port_names))
 

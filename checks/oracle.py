@@ -12,6 +12,7 @@ from checks.queries import (
     MIN_BYTES,
     MIN_ROWS,
     PEAK_MINUTES,
+    STREAM_DELAY_DAYS,
     TIME_RANGE,
 )
 from emberwall import schema
@@ -615,6 +616,37 @@ for name in list(_SQL):
     if name.startswith("dash_"):
         _SQL[name.replace("dash_", "sql_dash_")] = _SQL[name]
 
+# --- long lists, blocks of addresses, streams ------------------------------------
+
+_SQL["top_source_ips_by_buckets"] = _SQL["top_source_ips"]
+_SQL["top_destination_ports_by_buckets"] = _SQL["top_destination_ports"]
+_SQL["flag_bandwidth_long_list"] = _SQL["flag_bandwidth"]
+_SQL["flag_blocklist_long_list"] = _SQL["flag_blocklist"]
+add(
+    "country_by_block",
+    """
+SELECT id, name AS source_country_code, length AS geo_block_length
+FROM (SELECT v4.id, v4.source_ip, min(user_id) AS key FROM v4 JOIN e ON e.id = v4.id GROUP BY 1, 2) AS r
+LEFT JOIN (
+  SELECT length, low, min(n_name) AS name FROM (
+    SELECT 24 AS length, (n_nationkey * 256 + 7) // 256 * 256 AS low, n_name FROM nation
+    UNION ALL SELECT 28, s_suppkey * 3 // 16 * 16, n_name
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    UNION ALL SELECT 30, s_suppkey * 7 // 4 * 4, n_name
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+  GROUP BY 1, 2
+) AS b ON source_ip IS NOT NULL AND key >= low AND key < low + (1 << (32 - length))
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY length DESC NULLS LAST) = 1
+""",
+)
+add(
+    "stream_windows",
+    f"""
+SELECT source_ip, window_start, window_end, bytes, n AS "rows" FROM buckets
+WHERE window_end <= (SELECT max("timestamp") FROM v4) - INTERVAL {STREAM_DELAY_DAYS} DAY
+""",
+)
+
 # --- the store -----------------------------------------------------------------
 
 NO_ID = quoted([c for c in schema.LOG_COLUMNS if c != "id"])

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from checks import adapter
 from checks.adapter import HOST, YEAR
 from emberwall import schema
-from emberwall.operators import describe, detect, enrich, parse, ports, tables
+from emberwall.operators import describe, detect, enrich, heavy, parse, ports, tables
 from emberwall.plans import dashboard, load
 from emberwall.plans.log_store import LogStore
 from emberwall.session import apply_settings, new_path, store
 from emberwall.sources import read_log
+from emberwall.streaming import closed_windows, read_log_stream, window_stream
 
 # The tables have about two rows per source and day, so the thresholds are low
 # and the window is a day.
@@ -49,6 +50,8 @@ AS_DOUBLE = {
     "sql_dash_threat_bandwidth": ["time"],
     "sql_dash_threat_frequency": ["time"],
     "store_rows": ["data_length"],
+    "country_by_block": ["geo_block_length"],
+    "stream_windows": ["bytes"],
     "counted_threat_bandwidth": ["time"],
     "counted_threat_frequency": ["time"],
 }
@@ -675,6 +678,55 @@ def panel_country_totals(spark, sf_dir):
     return dashboard.panel_total(_country(spark, sf_dir))
 
 
+# --- long lists, blocks of addresses, streams ------------------------------------
+
+
+@query
+def top_source_ips_by_buckets(spark, sf_dir):
+    return heavy.top_values(_v4(spark, sf_dir), "source_ip", schema.DEFAULT_TOP, buckets=256)
+
+
+@query
+def top_destination_ports_by_buckets(spark, sf_dir):
+    return heavy.top_values(_v4(spark, sf_dir), "destination_port", schema.DEFAULT_TOP)
+
+
+@query
+def flag_bandwidth_long_list(spark, sf_dir):
+    v4 = _v4(spark, sf_dir)
+    hot = detect.hot_sources_bandwidth(v4, WINDOW, MIN_BYTES)
+    marked = detect.mark_sources(v4, hot, "threat_type_bandwith", long_list=True)
+    return marked.select("id", "source_ip", "threat_type_bandwith")
+
+
+@query
+def flag_blocklist_long_list(spark, sf_dir):
+    flagged = enrich.flag_blocklist(
+        _v4(spark, sf_dir), adapter.blocklist(spark, sf_dir), ["poor", "near"], long_list=True
+    )
+    return flagged.select("id", "source_ip", "dangerous", "dangerous_poor", "dangerous_near")
+
+
+@query
+def country_by_block(spark, sf_dir):
+    found = enrich.geo_by_block(_v4(spark, sf_dir), adapter.address_blocks(spark, sf_dir))
+    return found.select("id", "source_country_code", "geo_block_length")
+
+
+STREAM_DELAY_DAYS = 3
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """The log folder replayed as a stream: the windows that have closed."""
+    target, checkpoint = new_path(spark, "windows"), new_path(spark, "windows_checkpoint")
+    lines = read_log_stream(spark, adapter.log_text(spark, sf_dir))
+    delay = f"{STREAM_DELAY_DAYS} days"
+    running = window_stream(lines, HOST, target, checkpoint, YEAR, WINDOW, delay, once=True)
+    running.awaitTermination()
+    return closed_windows(spark, target)
+
+
 # --- a store that has grown by several loads -----------------------------------
 
 _STORES: dict[tuple[str, str], LogStore] = {}

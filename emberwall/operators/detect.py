@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberwall import schema
+from emberwall.operators.heavy import join_long_list
 from emberwall.session import store
 
 
@@ -52,13 +53,19 @@ def hot_sources_frequency(
     return _reaching(logs_per_window(df, window), min_rows)
 
 
-def mark_sources(df: DataFrame, sources: DataFrame, flag: str) -> DataFrame:
+def mark_sources(
+    df: DataFrame, sources: DataFrame, flag: str, long_list: bool = False
+) -> DataFrame:
     """``'1'`` on every row of a listed source, else ``'0'``. The null source
-    counts as a source like any other."""
+    counts as a source like any other. Of a ``long_list``, too long to be broadcast, a
+    bitmap is, so that only rows that may be of it are shuffled."""
     listed = store(
         sources.select(F.col("source_ip").alias("_listed"), F.lit(True).alias("_hit")),
         flag,
     )
+    if long_list:
+        joined = join_long_list(df, "source_ip", listed, "_listed")
+        return joined.withColumn(flag, flag_text("_hit")).drop("_hit")
     joined = df.join(listed, df["source_ip"].eqNullSafe(listed["_listed"]), "left")
     return joined.withColumn(
         flag, F.when(F.col("_hit"), F.lit("1")).otherwise(F.lit("0"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from emberwall import schema
 from emberwall.functions import json_struct
 from emberwall.operators.describe import value_counts
+from emberwall.operators.heavy import join_long_list, top_values
 from emberwall.session import store
 
 # Columns of the metadata lookup.
@@ -53,14 +54,7 @@ def one_country_per_ip(geo: DataFrame) -> DataFrame:
     return best.select("ip", "best.country_code", "best.status")
 
 
-def geo_lookup(
-    df: DataFrame, geo: DataFrame, failure_codes: bool = False
-) -> DataFrame:
-    """Country of every ``source_ip`` of ``df`` from the table ``geo(ip,
-    country_code, status)``; the status of an address not in it is ``missing``.
-    An address that ``geo`` repeats is looked up as by ``one_country_per_ip``, so
-    no row of ``df`` is ever doubled."""
-    known = one_country_per_ip(geo)
+def _lookup(df: DataFrame, known: DataFrame, failure_codes: bool) -> DataFrame:
     found = df.join(known, df["source_ip"] == known["ip"], "left")
     return found.select(
         *[df[c] for c in df.columns],
@@ -71,6 +65,18 @@ def geo_lookup(
     )
 
 
+def geo_lookup(
+    df: DataFrame, geo: DataFrame, failure_codes: bool = False
+) -> DataFrame:
+    """Country of every ``source_ip`` of ``df`` from the table ``geo(ip,
+    country_code, status)``; the status of an address not in it is ``missing``.
+    An address that ``geo`` repeats is looked up as by ``one_country_per_ip``, so
+    no row of ``df`` is ever doubled. The sources are stored first, to cut ``geo`` down
+    to them before any of it moves."""
+    sources = store(df.select("source_ip").distinct(), "looked_up")
+    return _lookup(df, one_country_per_ip(geo_of(sources, geo)), failure_codes)
+
+
 def geo_of(sources: DataFrame, geo: DataFrame) -> DataFrame:
     """The rows of ``geo`` for stored ``sources``: cut down in place where the list
     is small, so a large lookup table is not shuffled whole."""
@@ -78,6 +84,64 @@ def geo_of(sources: DataFrame, geo: DataFrame) -> DataFrame:
     return geo.join(wanted, "ip", "left_semi")
 
 
+def ip_number(ip: Column) -> Column:
+    """An IPv4 address as a number; null for any other text."""
+    valid = ip.rlike(r"^(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}$")
+    parts = F.split(ip, r"\.")
+    number = F.lit(0).cast("long")
+    for i in range(4):
+        number = number * 256 + F.get(parts, F.lit(i)).try_cast("long")
+    return F.when(valid, number)
+
+
+def address_blocks(blocks: DataFrame) -> DataFrame:
+    """``blocks(cidr, country_code)`` as (``length``, ``prefix``, ``country_code``), one row
+    per block: the smallest country of several, null last. A block whose address has bits
+    beyond its length is the block that holds the address; what is no IPv4 block goes."""
+    length = F.substring_index("cidr", "/", -1).try_cast("int")
+    number = ip_number(F.substring_index("cidr", "/", 1))
+    known = blocks.filter(F.col("cidr").contains("/")).select(
+        length.alias("length"), number.alias("number"), "country_code"
+    )
+    known = known.filter(F.col("length").between(0, 32) & F.col("number").isNotNull())
+    prefix = F.call_function("shiftright", "number", 32 - F.col("length"))
+    return known.groupBy("length", prefix.alias("prefix")).agg(
+        F.min("country_code").alias("country_code")
+    )
+
+
+def geo_by_block(df: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Country of every ``source_ip`` of ``df`` by the longest of ``blocks(cidr,
+    country_code)`` that holds it, and that block's length in ``geo_block_length``; both
+    null if none does or the source is no IPv4 address.
+
+    Different sources are looked up once each. A source is looked up by its prefix of
+    every length that occurs, of which there are 33 at most, so this is a join on equal
+    values: no range is searched, and large lists of blocks are joined by shuffle.
+    """
+    known = store(address_blocks(blocks), "blocks")
+    lengths = sorted(r.length for r in known.select("length").distinct().collect())
+    sources = df.select("source_ip").distinct().withColumn("_number", ip_number(F.col("source_ip")))
+    probes = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("length"),
+                F.shiftright(F.col("_number"), 32 - n).alias("prefix"),
+            )
+            for n in lengths or [0]
+        ]
+    )
+    probed = sources.filter(F.col("_number").isNotNull()).select("source_ip", F.inline(probes))
+    met = probed.join(known, ["length", "prefix"])
+    longest = met.groupBy("source_ip").agg(
+        F.max("length").alias("geo_block_length"),
+        F.max_by("country_code", "length").alias("source_country_code"),
+    )
+    longest = store(longest.withColumnRenamed("source_ip", "_source"), "longest")
+    joined = df.join(longest, df["source_ip"] == longest["_source"], "left")
+    return joined.select(*[df[c] for c in df.columns], "source_country_code", "geo_block_length")
+
+
 def enrich_country(
     df: DataFrame,
     geo: DataFrame,
@@ -88,7 +152,7 @@ def enrich_country(
     counts = df.groupBy("source_ip").agg(F.count(F.lit(1)).alias("_rows"))
     frequent = counts.filter(F.col("_rows") >= min_rows).select("source_ip")
     frequent = store(frequent, "frequent")
-    countries = geo_lookup(frequent, geo_of(frequent, geo), failure_codes)
+    countries = _lookup(frequent, one_country_per_ip(geo_of(frequent, geo)), failure_codes)
     countries = store(
         countries.filter("source_country_code IS NOT NULL").drop("geo_status"),
         "countries",
@@ -105,15 +169,19 @@ def one_metadata_per_ip(metadata: DataFrame) -> DataFrame:
 
 
 def top_sources_metadata(
-    df: DataFrame, metadata: DataFrame, k: int = schema.DEFAULT_TOP_METADATA
+    df: DataFrame,
+    metadata: DataFrame,
+    k: int = schema.DEFAULT_TOP_METADATA,
+    many_sources: bool = False,
 ) -> DataFrame:
     """The ``k`` most frequent sources with their metadata, ``'0'`` where unknown;
     one row each, whatever ``metadata`` repeats.
 
     The stored top list is small, so a large ``metadata`` is cut down to it in
-    place, without a shuffle, before the two are joined.
+    place, without a shuffle, before the two are joined. With ``many_sources`` the list is
+    found without shuffling them all (``heavy.top_values``).
     """
-    top = value_counts(df, "source_ip", k=k)
+    top = (top_values if many_sources else value_counts)(df, "source_ip", k=k)
     top = store(
         top.select(F.col("source_ip").alias("ip"), F.col("n").alias("frequency")),
         "top_sources",
@@ -162,19 +230,27 @@ def add_port_names(df: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def flag_blocklist(
-    df: DataFrame, blocklist: DataFrame, lists: Sequence[str] = ()
+    df: DataFrame,
+    blocklist: DataFrame,
+    lists: Sequence[str] = (),
+    long_list: bool = False,
 ) -> DataFrame:
     """``dangerous`` is true where the source is on any list of ``blocklist(ip,
-    list_name)``; every name in ``lists`` gives ``dangerous_<name>`` as well."""
+    list_name)``; every name in ``lists`` gives ``dangerous_<name>`` as well. Of a
+    ``long_list``, too long to be broadcast, a bitmap is, so that only rows that may be on
+    it are shuffled (``heavy.join_long_list``)."""
     flags = ["dangerous"] + [f"dangerous_{name}" for name in lists]
     on_list = [F.lit(True)] + [F.col("list_name") == name for name in lists]
     per_ip = blocklist.groupBy(F.col("ip").alias("_ip")).agg(
         *[F.bool_or(test).alias(flag) for flag, test in zip(flags, on_list)]
     )
-    joined = df.join(per_ip, df["source_ip"] == per_ip["_ip"], "left")
+    if long_list:
+        listed = store(per_ip.filter(F.col("_ip").isNotNull()), "blocklist")
+        joined = join_long_list(df, "source_ip", listed, "_ip")
+    else:
+        joined = df.join(per_ip, df["source_ip"] == per_ip["_ip"], "left")
     return joined.select(
-        *[df[c] for c in df.columns],
-        *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
+        *df.columns, *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags]
     )
 
 
