@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberwall.llm.common import give_back
+from emberwall.llm.common import give_back, shuffle_parts
 from emberwall.session import store
 
 #: Products with a side this short are not halved again.
@@ -45,6 +45,8 @@ SMALL = 16
 #: Rows of a tile's anchors and candidates.
 TILE = 128, 1024
 NO_ID = 2**63 - 1
+#: Blocks of candidates are not made smaller than this for the sake of more tasks.
+FEW_ROWS = 4096
 
 
 # --- products of tiles ------------------------------------------------------------
@@ -244,8 +246,10 @@ def mine(
     label = F.col(f"`{label}`") if isinstance(label, str) else label
     rows, dims = usable(vectors, id_column, label, vector, scale)
     dims = max(1, dims)
-    block_rows, anchors_at_once = (max(1, x // (8 * dims)) for x in (block_bytes, anchor_bytes))
     total = rows.count()
+    block_rows, anchors_at_once = (max(1, x // (8 * dims)) for x in (block_bytes, anchor_bytes))
+    # Blocks of a small table are smaller, so that all cores have some.
+    block_rows = min(block_rows, max(FEW_ROWS, -(-total // shuffle_parts(vectors))))
     rows = store(packed(rows, dims), "packed_vectors")
     whole = f"_{id_column}"
     asked = rows.select(F.col("id").alias(id_column), F.struct(*rows.columns).alias(whole))
