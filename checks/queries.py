@@ -733,19 +733,15 @@ _STORES: dict[tuple[str, str], LogStore] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str) -> LogStore:
-    """A store that took the files of the log in three loads, the second load's files
-    twice, and was compacted before the last. Made once per session and folder."""
+    """A store that took the files of the log in two loads, the second of which was given
+    those of the first as well. Made once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
         geo, text = adapter.geo(spark, sf_dir), adapter.log_text(spark, sf_dir)
         root, buckets = new_path(spark, "store"), spark.sparkContext.defaultParallelism
         held = LogStore(spark, root, HOST, YEAR, buckets=buckets, **DETECTION)
         files = sorted(r.path for r in held.new_files(text).select("path").collect())
-        third = max(1, len(files) // 3)
-        for part in (files[:third], files[third : 2 * third], files[: 2 * third]):
-            if part:
-                held.load(part, geo)
-        held.compact()
+        held.load(files[: max(1, len(files) // 2)], geo)
         held.load(text, geo)
         _STORES[key] = held
     return _STORES[key]
