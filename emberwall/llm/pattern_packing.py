@@ -51,7 +51,7 @@ RESULTS = {
 }
 #: Words, and runs of letters, a worker remembers before the oldest of them go. It holds up
 #: to twice as many: those met since the last time, and those before that.
-REMEMBERED, REMEMBERED_RUNS = 250_000, 250_000
+REMEMBERED, REMEMBERED_RUNS = 250_000, 150_000
 #: Words split or given to the library at a time.
 AT_ONCE = 1000
 
