@@ -48,6 +48,8 @@ from emberwall.sinks.manifest import Conflict, Manifest
 __all__ = ["Conflict", "LogStore"]
 
 TABLES = ("pfsense_log", "ip4", "ip6")
+#: A write has no more tasks than this; each may write several files then.
+MOST_TASKS = 100_000
 PARTITIONS = ["segment", "first_day", "last_day"]
 FILES = "path string, length long, modified timestamp"
 WINDOWS = "source_ip string, start timestamp, bytes long, rows long"
@@ -265,15 +267,18 @@ class LogStore:
         enough for its buckets. A log has a year of its settings, so it has few days."""
         days = tables["pfsense_log"].groupBy("date").count().orderBy("date").collect()
         per_row = size / max(1, sum(n for _, n in days))
-        least = self.settings["buckets"] * self.settings["file_bytes"]
-        spans = spans_of([(day, n * per_row) for day, n in days if day is not None], least)
-        spans = self.spark.createDataFrame(spans, "date date, first_day date, last_day date")
+        buckets = self.settings["buckets"]
+        least = buckets * self.settings["file_bytes"]
+        found = spans_of([(day, n * per_row) for day, n in days if day is not None], least)
+        spans = self.spark.createDataFrame(found, "date date, first_day date, last_day date")
+        # one task a file: rows of a span and bucket come together, by the bucket's own rule
+        tasks = min(buckets * (1 + len({first for _, first, _ in found})), MOST_TASKS)
+        bucket = F.pmod(F.hash("id"), F.lit(buckets))
         self._table("pfsense_log", {"segments": {}})
         for name, df in tables.items():
             placed = df.join(F.broadcast(spans), "date", "left").withColumn("segment", F.lit(number))
             placed = placed.select(*columns_of(name), *PARTITIONS)
-            # one task a bucket, so a span has one file a bucket
-            placed = placed.repartition(self.settings["buckets"], "id")
+            placed = placed.repartition(tasks, "first_day", bucket)
             placed.write.insertInto(self._name(name))
         self._seen.add(str(number))
 
