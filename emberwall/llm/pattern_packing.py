@@ -24,10 +24,11 @@ import re
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +55,9 @@ RESULTS = {
 REMEMBERED, REMEMBERED_RUNS = 250_000, 150_000
 #: Words split or given to the library at a time.
 AT_ONCE = 1000
+#: Bytes of text whose different words are looked up together; this takes some 15 times as
+#: much memory.
+BYTES_AT_ONCE = 4 << 20
 
 
 # --- tokens -------------------------------------------------------------------
@@ -76,10 +80,21 @@ class Generations:
     def missing(self, keys: Iterable) -> set:
         """The keys that are not known; the others are in the young generation then."""
         unknown = set(keys).difference(self.young)
-        for key in [key for key in unknown if key in self.old]:
-            self.young[key] = self.old[key]
-            unknown.discard(key)
-        return unknown
+        again = self.old.keys() & unknown
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        return unknown - again
+
+    def find(self, keys: list) -> tuple[list, list[int]]:
+        """The values of the keys, None if not known, and the places of those. Known keys
+        are in the young generation then."""
+        values, unknown = list(map(self.young.get, keys)), []
+        for i in [i for i, value in enumerate(values) if value is None]:
+            value = self.old.get(keys[i])
+            if value is None:
+                unknown.append(i)
+            else:
+                self.young[keys[i]] = values[i] = value
+        return values, unknown
 
 
 def plain_words():
@@ -99,7 +114,8 @@ def plain_words():
 
 class Encoder:
     """Ids of whole texts. The tokenizer drops white space and never joins across
-    it, so a text is the sequence of its words. Words are remembered.
+    it, so a text is the sequence of its words. The different words of some texts are
+    looked up once, and remembered; so is the library's tokenizer.
 
     A word of Latin letters without marks to compose is the sequence of its runs of
     letters, single digits and runs of other signs, so different runs are given to the
@@ -112,10 +128,12 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
         self.plain, self.runs_of = plain_words()
         # for these definitions only, so that another vocabulary starts anew
         memory = worker_memory(f"packing {zlib.crc32(definition.encode())}")
+        if "tokenizer" not in memory:
+            memory["tokenizer"] = Tokenizer.from_str(definition)
+        self.tokenizer = memory["tokenizer"]
         self.words = memory.setdefault("words", Generations(REMEMBERED))
         self.runs = memory.setdefault("runs", Generations(REMEMBERED_RUNS))
         # Whether an id ends a run: the vocabulary marks the last piece of each.
@@ -178,24 +196,43 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids as little-endian unsigned 32-bit numbers."""
+        # No check of UTF-8 here: white space is ASCII, and words are only bytes.
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = lists.values.view(pa.binary()).dictionary_encode()
+        parts = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(parts), "<u4")
+        # the ids of every word, one after another
+        at = coded.indices.to_numpy()
+        counts = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = pool[np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], counts)].tobytes()
+        bounds = (4 * ends[lists.offsets.to_numpy()]).tolist()
+        return [ids[begin:end] for begin, end in zip(bounds, bounds[1:])]
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
         self.words.turn()
-        get = self.words.young.get
-        found, open_, unknown = [], [], set()
-        for text in texts:
-            words = text.split()
-            parts = list(map(get, words))
-            if None in parts:
-                places = [i for i, part in enumerate(parts) if part is None]
-                missing = [words[i] for i in places]
-                unknown.update(missing)
-                open_.append((parts, places, missing))
-            found.append(parts)
+        parts, unknown = self.words.find(words)
         if unknown:
-            self.learn(list(self.words.missing(unknown)))
-        for parts, places, missing in open_:
-            for i, word in zip(places, missing):
-                parts[i] = get(word)
-        return [b"".join(parts) for parts in found]
+            missing = [words[i] for i in unknown]
+            self.learn(missing)
+            for i, part in zip(unknown, map(self.words.young.__getitem__, missing)):
+                parts[i] = part
+        return parts
+
+
+def groups_of(texts: list[bytes], size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts in turn, about ``size`` bytes at a time (a longer text alone), each group
+    with the place of its first."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        if i > first and held + len(text) > size:
+            yield first, texts[first:i]
+            first, held = i, 0
+        held += len(text)
+    if texts:
+        yield first, texts[first:]
 
 
 def pieces_of(
@@ -206,7 +243,7 @@ def pieces_of(
     limit: int = 4096,
     end_id: int = 1,
     with_ids: bool = True,
-    texts_at_once: int = 256,
+    bytes_at_once: int = BYTES_AT_ONCE,
 ) -> DataFrame:
     """One row per piece: the columns ``keep`` of ``docs`` (default all whose names
     are free), then ``piece``, ``start``, ``length``, ``ids_crc32`` and, if wanted,
@@ -234,8 +271,7 @@ def pieces_of(
         counts = np.zeros(limit + 1, np.int64)
         for batch in batches:
             texts = column_bytes(batch.column(at))
-            for first in range(0, len(texts), texts_at_once):
-                group = texts[first : first + texts_at_once]
+            for first, group in groups_of(texts, bytes_at_once):
                 owner, piece, start, length, crc, place, ids = [], [], [], [], [], [], []
                 for i, encoded in enumerate(encoder.encode(group)):
                     encoded += end

@@ -25,6 +25,7 @@ from emberwall.llm.pattern_packing import (
     Encoder,
     Generations,
     fit_nonnegative,
+    groups_of,
     make_plan,
     pack,
     patterns,
@@ -518,6 +519,47 @@ def test_words_as_the_library_splits_them():
                 assert np.frombuffer(raw, "<u4").tolist() == ids, text
 
 
+def test_different_words_are_looked_up_once_and_the_tokenizer_is_kept():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    encoder = Encoder(definition)
+    assert Encoder(definition).tokenizer is encoder.tokenizer
+    asked = []
+
+    class Asked(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return dict.get(self, key, default)
+
+    encoder.words.young = Asked(encoder.words.young)
+    encoder.encode([b"one two one", b"two  one\x0btwo\x1c", b""] * 50)
+    assert Counter(asked) == Counter([b"one", b"two", b"two\x1c", b""])
+    memory = common.worker_memory(f"packing {zlib.crc32(definition.encode())}")
+    memory["words"] = Generations(100)  # an ordinary dictionary for those after
+
+
+def test_groups_of_texts_are_whole_and_bounded():
+    texts = [b"x" * n for n in (3, 0, 4, 20, 1, 1, 9, 0)]
+    groups = list(groups_of(texts, 10))
+    assert [x for _, group in groups for x in group] == texts
+    assert all(texts[first : first + len(group)] == group for first, group in groups)
+    assert all(len(group) == 1 or sum(map(len, group)) <= 10 for _, group in groups)
+    assert list(groups_of([], 10)) == [] and list(groups_of([b""], 10)) == [(0, [b""])]
+
+
+def test_texts_without_words_and_bytes_that_are_no_text():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    assert encoder.encode([b"", b" \n\t ", b""]) == [b"", b"", b""]
+    broken = [b"\xff\xfe a\x80b \xe6\x97", b" a\x00b ", b"", b"\x1fa \xc2\xa0 b"]
+    for text, raw in zip(broken, encoder.encode(broken)):
+        shown = text.decode("utf-8", "replace")
+        ids = library.encode(shown, add_special_tokens=False).ids
+        assert np.frombuffer(raw, "<u4").tolist() == ids, text
+
+
 def test_results_keep_their_names(docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     packed = pack(docs, path)
