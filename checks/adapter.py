@@ -56,14 +56,19 @@ def from_pool(number: Column) -> Column:
     return F.get(pool, F.pmod(number, F.lit(len(PORT_POOL))).cast("int"))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The tables are single files, so rows are dealt out for the work to come, before any
+    of it; by their values, which takes no sort of the rows."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *df.columns)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").withColumn("k", payload)
+    return dealt(table(spark, sf_dir, "events")).withColumn("k", payload)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the tables are single files, so the rows are dealt out for the work to come
-    e = events(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    e = events(spark, sf_dir)
     k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
     second = F.col("ts").cast("timestamp")
     amount = F.floor("value").cast("int")
@@ -136,7 +141,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
     )
     value = F.concat_ws(",", *groups)
-    other = table(spark, sf_dir, "conversations").select(
+    other = dealt(table(spark, sf_dir, "conversations")).select(
         F.lit(None).cast("bigint").alias("id"),
         F.concat(
             F.lit(f"Jan  1 00:00:00 {HOST} sshd[99]: "), F.translate("text", "\n\r", "  ")

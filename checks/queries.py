@@ -89,28 +89,48 @@ def _comparable(df: DataFrame, name: str) -> DataFrame:
 
 # --- tables loaded once per session and folder, as dashboards find them -------
 
-_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Typed frames ``v4`` and ``v6``, ``enriched``, and the tables that ``load``
-    writes from the log text for the dashboard."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOADED:
-        lines = adapter.log_lines(spark, sf_dir)
-        geo = adapter.geo(spark, sf_dir)
-        parsed = load.parse_and_store(lines, HOST, YEAR)
-        v4, v6 = parse.rows_of(parsed, 4), parse.rows_of(parsed, 6)
-        enriched = store(load.enrich_v4(v4, geo, **DETECTION), "enriched")
-        suffix = uuid.uuid4().hex
-        names = {n: f"{n}_{suffix}" for n in ("pfsense_log", "ip4", "ip6")}
+class _Loaded(dict):
+    """Typed frames ``v4`` and ``v6``, ``enriched``, and the tables that ``load`` writes
+    from the log text for the dashboard. Each is made when it is first asked for, so a
+    query that reads the typed rows does not wait for the tables, nor the other way."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in ("v4", "v6"):
+            parsed = load.parse_and_store(adapter.log_lines(self.spark, self.sf_dir), HOST, YEAR)
+            self.update(v4=parse.rows_of(parsed, 4), v6=parse.rows_of(parsed, 6))
+        elif name == "enriched":
+            geo = adapter.geo(self.spark, self.sf_dir)
+            self[name] = store(load.enrich_v4(self["v4"], geo, **DETECTION), "enriched")
+        elif name in TABLE_NAMES:
+            self.update(self._tables())
+        else:
+            raise KeyError(name)
+        return self[name]
+
+    def _tables(self) -> dict[str, DataFrame]:
+        spark, suffix = self.spark, uuid.uuid4().hex
+        names = {n: f"{n}_{suffix}" for n in TABLE_NAMES}
         targets = {name: new_path(spark, name) for name in names}
         load.load(
-            lines, HOST, geo, targets, "dashboard", year=YEAR,
+            adapter.log_lines(spark, self.sf_dir), HOST, adapter.geo(spark, self.sf_dir),
+            targets, "dashboard", year=YEAR,
             buckets=spark.sparkContext.defaultParallelism, table_names=names, **DETECTION,
         )
-        made = {name: spark.table(table) for name, table in names.items()}
-        _LOADED[key] = {"v4": v4, "v6": v6, "enriched": enriched, **made}
+        return {name: spark.table(table) for name, table in names.items()}
+
+
+TABLE_NAMES = ("pfsense_log", "ip4", "ip6")
+_LOADED: dict[tuple[str, str], _Loaded] = {}
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> _Loaded:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        _LOADED[key] = _Loaded(spark, sf_dir)
     return _LOADED[key]
 
 

@@ -182,3 +182,37 @@ def test_declared_types_before_the_comparison(spark, tables):
     assert counted["source_port_counted"] == counted["destination_port_counted"] == "bigint"
     panel = dashboard.dash_threat_bandwidth(tables["pfsense_log"], tables["ip4"])
     assert dict(panel.dtypes) == {"time": "int", "count": "bigint"}
+
+
+def test_a_query_makes_only_what_it_reads(spark, monkeypatch):
+    """Typed rows are there without the tables of the dashboard, and the tables without the
+    typed rows; nothing is made twice."""
+    calls = []
+    for name in ("parse_and_store", "enrich_v4", "load"):
+        def counted(*args, _name=name, _run=getattr(load, name), **options):
+            calls.append(_name)
+            return _run(*args, **options)
+
+        monkeypatch.setattr(f"checks.queries.load.{name}", counted)
+    monkeypatch.setattr("checks.queries._LOADED", {})
+    queries()["describe_logs_per_minute"](spark, SMALL)
+    assert calls == ["parse_and_store"]
+    monkeypatch.setattr("checks.queries._LOADED", {})
+    calls.clear()
+    for _ in range(2):
+        queries()["sql_dash_frequency_over_time"](spark, SMALL)
+    # the load parses and enriches once, and it writes all three tables
+    assert calls == ["load", "parse_and_store", "enrich_v4"]
+    assert set(loaded(spark, SMALL)) == {"pfsense_log", "ip4", "ip6"}
+    with pytest.raises(KeyError):
+        loaded(spark, SMALL)["ip5"]
+
+
+def test_lines_are_printed_after_the_rows_are_dealt_out(spark):
+    """Single files are read by few tasks: nothing but reading happens there, and the rows
+    are not sorted to be dealt."""
+    plan = plan_of(adapter._lines(spark, SMALL))
+    assert "RoundRobinPartitioning" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2  # both tables
+    for below in re.split(r"Exchange hashpartitioning", plan)[1:]:
+        assert "get_json_object" not in below
